@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from stenoflow.llm import language_id, quality, toxicity
+from stenoflow.llm import language_id, mixing, quality, secrets, token_counts, toxicity
 
 QUERIES = {
+    "op1_secrets": secrets.op1_secrets,
     "op3_language_id": language_id.op3_language_id,
+    "op4_mixing": mixing.op4_mixing,
+    "op5_token_counts": token_counts.op5_token_counts,
     "op7_toxicity": toxicity.op7_toxicity,
     "op10_quality": quality.op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_mixing": mixing.OP4_SQL}
