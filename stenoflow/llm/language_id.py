@@ -28,7 +28,7 @@ from stenoflow.llm import bytesets as B
 from stenoflow.llm import common as C
 
 #: Rows learned from, per language, at most: the documented bound of the training sample.
-SAMPLE_PER_LANGUAGE = 800
+SAMPLE_PER_LANGUAGE = 500
 #: Languages told apart at most; the most frequent ones are taken.
 MAX_LANGUAGES = 256
 #: Size of the hashed feature space.
@@ -120,12 +120,13 @@ class Model:
     def margins(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n_rows, width = len(offsets) - 1, self.weights.shape[1]
         total, count = np.zeros((n_rows, width)), np.zeros(n_rows)
+        # n-grams that are no features of one text find a row of zeros
+        table = np.vstack([self.weights, np.zeros((1, width), np.float32)])
         for at, hi, ids, keep in _chunks(buf, offsets):
             bounds = np.clip(offsets - at, 0, hi - at)
+            ids[~keep] = DIMENSIONS
             count += B.row_sums(keep.sum(1).astype(float), bounds)
-            for c in range(width):
-                column = self.weights[:, c]
-                total[:, c] += B.row_sums((column[ids] * keep).sum(1), bounds)
+            total += B.row_sums(table[ids[:, 0]] + table[ids[:, 1]] + table[ids[:, 2]], bounds)
         return total / np.maximum(count, 1)[:, None] + self.bias
 
     def predict(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,18 +151,19 @@ class Model:
         return best, np.clip(top[rows, family] * within[rows, best], 0, 1)
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 150) -> tuple[np.ndarray, float]:
     """Linear support vector machine (squared hinge loss) by averaged, accelerated gradient steps."""
     n, d = x.shape
-    w, b = np.zeros(d, x.dtype), 0.0
+    w, b = np.zeros(d, x.dtype), x.dtype.type(0)
     vw, vb = w.copy(), b
+    y, weight = y.astype(x.dtype), weight.astype(x.dtype)
     lip = 2 * float((weight * ((x * x).sum(1) + 1)).sum())
-    lam, step, t = 1e-4, 1.0 / (lip + 1e-4), 1.0
+    lam, step, t = x.dtype.type(1e-4), x.dtype.type(1.0 / (lip + 1e-4)), 1.0
     for _ in range(rounds):
         gap = np.maximum(0, 1 - y * (x @ vw + vb))
         pull = -2 * weight * y * gap
         nw, nb = vw - step * (x.T @ pull + lam * vw), vb - step * pull.sum()
-        nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        nt = (1 + (1 + 4 * t * t) ** 0.5) / 2
         vw, vb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
         w, b, t = nw, nb, nt
     return w, float(b)
