@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stenoflow.llm import html_text, language_id, mixing, quality, secrets, token_counts, toxicity
+from stenoflow.llm import html_text, jaccard_join, language_id, mixing, quality, secrets, token_counts, toxicity
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_mixing": mixing.op4_mixing,
     "op5_token_counts": token_counts.op5_token_counts,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_html_text": html_text.op9_html_text,
     "op10_quality": quality.op10_quality,
 }
