@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -81,3 +82,8 @@ def replace_columns(df: DataFrame, struct: str, names: list[str]) -> DataFrame:
     new = {n.lower() for n in names} | {struct.lower()}
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in new]
     return df.select(*kept, *[F.col(f"`{struct}`.`{n}`").alias(n) for n in names])
+
+
+def run_id(spark: SparkSession) -> str:
+    """A name that no other run uses."""
+    return f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex[:12]}"

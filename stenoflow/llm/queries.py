@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stenoflow.llm import html_text, jaccard_join, language_id, mixing, quality, secrets, token_counts, toxicity
+from stenoflow.llm import decontaminate, html_text, jaccard_join, language_id, mixing, quality, secrets, token_counts, toxicity
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
+    "op2_decontamination": decontaminate.op2_decontamination,
     "op3_language_id": language_id.op3_language_id,
     "op4_mixing": mixing.op4_mixing,
     "op5_token_counts": token_counts.op5_token_counts,
