@@ -117,9 +117,9 @@ def targets(sizes: DataFrame, *, repeats: int = REPEATS) -> DataFrame:
             (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
             / (F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0.0))),
         )
-        # the first source in this order whose cap is not below the level, and all after it, share it
+        # the first source in this order whose cap reaches the level, and all after it, share that level
         .withColumn("open", F.col("cap") >= F.col("level") * F.col("w"))
-        .withColumn("final", F.min(F.when(F.col("open"), F.col("level"))).over(everything))
+        .withColumn("final", F.max(F.when(F.col("open"), F.col("level"))).over(everything))
     )
     return levelled.select(
         "source",
@@ -267,7 +267,7 @@ l AS (
 t AS (
   SELECT source, rank, source_size,
          CASE WHEN cap >= level * w
-              THEN w * min(CASE WHEN cap >= level * w THEN level END) OVER () ELSE cap END AS target
+              THEN w * max(CASE WHEN cap >= level * w THEN level END) OVER () ELSE cap END AS target
   FROM l),
 p AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, t.rank,
