@@ -30,7 +30,7 @@ from stenoflow.llm import bytesets as B
 from stenoflow.llm import common as C
 
 #: Rows learned from, at most: the documented bound of the training sample.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 5_000
 #: Rows with more features than this are not drawn for training (they are scored whole).
 SAMPLE_FEATURES = 60_000
 BITS = 18
@@ -145,30 +145,18 @@ def fit(
     return Model(all_w[:size].astype(np.float32), float(all_w[size]))
 
 
-_BAG = T.StructType().add("ids", T.ArrayType(T.IntegerType())).add("freq", T.ArrayType(T.FloatType()))
-
-
-@F.arrow_udf(_BAG)
+@F.arrow_udf(T.BinaryType())
 def _bag(text: pa.Array) -> pa.Array:
+    """Feature ids (int32), then their relative frequencies (float32), of each text."""
     buf, offsets = B.utf8(text)
-    ids_out, freq_out, ends = [], [], [0]
+    out = []
     for i, j in B.slices(offsets):
         ids, bounds = features(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
             found, count = np.unique(ids[a:b], return_counts=True)
-            ids_out.append(found)
-            freq_out.append((count / max(1, count.sum())).astype(np.float32))
-            ends.append(ends[-1] + len(found))
-    ends = pa.array(np.array(ends, np.int32))
-    flat = np.concatenate(ids_out) if ids_out else np.zeros(0, np.int32)
-    freq = np.concatenate(freq_out) if freq_out else np.zeros(0, np.float32)
-    return pa.StructArray.from_arrays(
-        [
-            pa.ListArray.from_arrays(ends, pa.array(flat.astype(np.int32))),
-            pa.ListArray.from_arrays(ends, pa.array(freq)),
-        ],
-        names=["ids", "freq"],
-    )
+            freq = (count / max(1, count.sum())).astype(np.float32)
+            out.append(found.astype(np.int32).tobytes() + freq.tobytes())
+    return pa.array(out, pa.binary())
 
 
 def train(labelled: DataFrame, *, text: str = "text", label: str = "label", key: str = "doc_id") -> Model:
@@ -182,13 +170,14 @@ def train(labelled: DataFrame, *, text: str = "text", label: str = "label", key:
     drawn = (
         rows.where(order < SAMPLE_ROWS / max(total, 1))
         .select("label", "key", order.alias("o"), _bag("text").alias("bag"))
-        .where(F.size("bag.ids") <= SAMPLE_FEATURES)
+        .where(F.octet_length("bag") <= 8 * SAMPLE_FEATURES)
         .limit(2 * SAMPLE_ROWS)
     )
-    got = [
-        (r["o"], np.asarray(r["bag"]["ids"], np.int32), np.asarray(r["bag"]["freq"], np.float32), r["label"])
-        for r in drawn.toLocalIterator()
-    ]
+    got = []
+    for r in drawn.toLocalIterator():
+        k = len(r["bag"]) // 8
+        ids = np.frombuffer(r["bag"], np.int32, k)
+        got.append((r["o"], ids, np.frombuffer(r["bag"], np.float32, k, 4 * k), r["label"]))
     got.sort(key=lambda r: (r[0], r[3], len(r[1]), r[1].tobytes()))
     return fit([r[1:] for r in got])
 
