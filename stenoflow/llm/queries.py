@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stenoflow.llm import decontaminate, html_text, jaccard_join, language_id, mixing, quality, secrets, token_counts, toxicity
+from stenoflow.llm import decontaminate, html_text, jaccard_join, language_id, mixing, quality, secrets, token_counts, topk_search, toxicity
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_language_id": language_id.op3_language_id,
     "op4_mixing": mixing.op4_mixing,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_topk_search": topk_search.op6_topk_search,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_html_text": html_text.op9_html_text,
