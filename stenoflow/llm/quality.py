@@ -159,22 +159,28 @@ def _bag(text: pa.Array) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
-def train(labelled: DataFrame, *, text: str = "text", label: str = "label", key: str = "doc_id") -> Model:
-    """Learn from at most about SAMPLE_ROWS rows with label 0 or 1, chosen by a hash of the key."""
-    C.ship(labelled.sparkSession)
-    rows = labelled.select(
-        F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.col(key).alias("key")
-    ).where(F.col("label").isin(0, 1))
-    total = rows.select("label").count()
-    order = C.unit_hash(F.col("key"), F.lit("quality"))
-    drawn = (
-        rows.where(order < SAMPLE_ROWS / max(total, 1))
-        .select("label", "key", order.alias("o"), _bag("text").alias("bag"))
+def train(
+    df: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", label: str = "label"
+) -> Model:
+    """Learn from at most about SAMPLE_ROWS rows of df that have a label 0 or 1 in the table of labels.
+
+    The labels are drawn first, by a hash of the key, so that only a table of bounded size
+    meets the texts.
+    """
+    C.ship(df.sparkSession)
+    known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("label")).where(
+        F.col("label").isin(0, 1) & F.col("k").isNotNull()
+    )
+    order = C.unit_hash(F.col("k"), F.lit("quality"))
+    drawn = known.withColumn("o", order).where(F.col("o") < SAMPLE_ROWS / max(known.count(), 1)).limit(2 * SAMPLE_ROWS)
+    rows = (
+        df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("text"))
+        .join(F.broadcast(drawn), "k")
+        .select("label", "o", _bag("text").alias("bag"))
         .where(F.octet_length("bag") <= 8 * SAMPLE_FEATURES)
-        .limit(2 * SAMPLE_ROWS)
     )
     got = []
-    for r in drawn.toLocalIterator():
+    for r in rows.toLocalIterator():
         k = len(r["bag"]) // 8
         ids = np.frombuffer(r["bag"], np.int32, k)
         got.append((r["o"], ids, np.frombuffer(r["bag"], np.float32, k, 4 * k), r["label"]))
@@ -216,8 +222,6 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; documents whose fold is 0 are held out of training."""
     docs = C.table(spark, sf_dir, "documents")
     labels = C.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    labelled = docs.select("doc_id", "text").join(
-        labels.where(C.fold("doc_id", 5) != 0), "doc_id"
-    )
+    model = train(docs, labels.where(C.fold("doc_id", 5) != 0))
     held = (C.fold("doc_id", 5) == 0).alias("held_out")
-    return score(docs.select("doc_id", held, "text"), train(labelled)).drop("text")
+    return score(docs.select("doc_id", held, "text"), model).drop("text")
