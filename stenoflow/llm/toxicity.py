@@ -179,18 +179,30 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(count)], names=["h", "n"])
 
 
-def train(labelled: DataFrame, *, text: str = "text", label: str = "label", key: str = "doc_id") -> Model:
-    """Learn from at most about SAMPLE_ROWS rows of label 0 and of label 1, chosen by a hash of the key."""
-    C.ship(labelled.sparkSession)
-    rows = labelled.select(
-        F.col(text).cast("string").alias("text"), F.col(label).cast("int").alias("label"), F.col(key).alias("key")
-    ).where(F.col("label").isin(0, 1) & F.col("text").isNotNull())
-    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    draw = C.unit_hash(F.col("key"), F.lit("toxicity"))
+def train(
+    df: DataFrame, labels: DataFrame, *, text: str = "text", key: str = "doc_id", label: str = "label"
+) -> Model:
+    """Learn from at most about SAMPLE_ROWS rows of either label, 0 and 1, in the table of labels.
+
+    The labels are drawn first, by a hash of the key, so that only a table of bounded size
+    meets the texts.
+    """
+    C.ship(df.sparkSession)
+    known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("label")).where(
+        F.col("label").isin(0, 1) & F.col("k").isNotNull()
+    )
+    n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     share = F.when(F.col("label") == 1, SAMPLE_ROWS / max(1, n.get(1, 0))).otherwise(
         SAMPLE_ROWS / max(1, n.get(0, 0))
     )
-    sample = C.cut(rows.where(draw < share).limit(4 * SAMPLE_ROWS).select("label", draw.alias("o"), "text"))
+    draw = C.unit_hash(F.col("k"), F.lit("toxicity"))
+    drawn = known.withColumn("o", draw).where(F.col("o") < share).limit(4 * SAMPLE_ROWS)
+    sample = C.cut(
+        df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("text"))
+        .where(F.col("text").isNotNull())
+        .join(F.broadcast(drawn), "k")
+        .select("label", "o", "text")
+    )
     shared = (
         sample.where("label = 1").select("label", "text")
         .mapInArrow(_shared, "h long, n long")
@@ -304,8 +316,6 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; documents whose fold is 1 are held out of training."""
     docs = C.table(spark, sf_dir, "documents")
     labels = C.table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    labelled = docs.select("doc_id", "text").join(
-        labels.where(C.fold("doc_id", 3) != 1), "doc_id"
-    )
+    model = train(docs, labels.where(C.fold("doc_id", 3) != 1))
     held = (C.fold("doc_id", 3) == 1).alias("held_out")
-    return score(docs.select("doc_id", held, "text"), train(labelled)).drop("text")
+    return score(docs.select("doc_id", held, "text"), model).drop("text")
