@@ -241,16 +241,16 @@ def train(
         return None
     share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], SAMPLE_PER_LANGUAGE / r["count"])])
     drawn = (
-        rows.where(C.unit_hash(F.col("key"), F.lit("language")) < F.try_element_at(share, F.col("lang")))
+        rows.withColumn("o", C.unit_hash(F.col("key"), F.lit("language")))
+        .where(F.col("o") < F.try_element_at(share, F.col("lang")))
         .where(has_letter(F.col("text")))
-        .select("lang", _frequencies("text").alias("f"))
+        .select("lang", "o", _frequencies("text").alias("f"))
         .limit(2 * SAMPLE_PER_LANGUAGE * len(counts))
     )
-    features, labels = [], []
-    for r in drawn.toLocalIterator():
-        features.append(np.asarray(r["f"], dtype=np.float32))
-        labels.append(r["lang"])
-    return fit(np.stack(features), labels) if labels else None
+    got = [(r["lang"], r["o"], np.asarray(r["f"], dtype=np.float32)) for r in drawn.toLocalIterator()]
+    # a fixed order makes the fit repeatable
+    got.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
+    return fit(np.stack([r[2] for r in got]), [r[0] for r in got]) if got else None
 
 
 def predict(
