@@ -36,9 +36,9 @@ from stenoflow.llm import common as C
 # Element names by their role in a page.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
-_OUT = frozenset("nav header footer aside form button menu dialog figure".split()) | _RAW | {"head"}
+_OUT = frozenset("nav header footer aside form button menu dialog".split()) | _RAW | {"head"}
 _BLOCK = frozenset(
-    "address article blockquote body center dd details div dl dt fieldset figcaption h1 h2 h3 h4 h5 h6 "
+    "address article blockquote body center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 "
     "hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 _INLINE_LINK = frozenset(["a", "button", "select"])
@@ -210,7 +210,7 @@ def blocks(top: Node) -> list[str]:
             run.append(x)
         elif x.out:
             run.append(" " if x.tag not in _BLOCK else "")
-            if x.tag in _BLOCK or x.tag in ("nav", "header", "footer", "aside", "form", "figure"):
+            if x.tag in _BLOCK or x.tag in ("nav", "header", "footer", "aside", "form"):
                 flush()
         elif x.tag == "br":
             run.append(" ")
