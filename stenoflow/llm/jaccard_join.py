@@ -28,6 +28,7 @@ its keys are null; an empty table gives no rows.  Other columns are not returned
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import partial
 
@@ -246,14 +247,20 @@ def _emit(gram, gid, code, percent: int, go_on: bool):
     return made, [gram[kept], gid[kept], code[kept]]
 
 
-def _places(sig: np.ndarray, bits: int) -> list[np.ndarray]:
+def _places(h: np.ndarray, bits: int) -> list[np.ndarray]:
     mask = np.uint64(bits - 1)
-    return [(B.mix64(sig + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) & mask).astype(np.int64) for k in (1, 2, 3)]
+    return [(B.mix64(h + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) & mask).astype(np.int64) for k in (1, 2, 3)]
+
+
+def _row_hash(sig: np.uint64 | int, key: object) -> np.uint64:
+    """Hash of a signature and the key of the row that speaks for it."""
+    return np.uint64(int.from_bytes(hashlib.blake2b(repr((int(sig), key)).encode(), digest_size=8).digest(), "little"))
 
 
 def _filter_words(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = np.concatenate(_places(batch.column("sig").to_numpy().view(np.uint64), bits))
+        pairs = zip(batch.column("sig").to_numpy().view(np.uint64), batch.column("key").to_pylist(), strict=True)
+        at = np.concatenate(_places(np.array([_row_hash(*p) for p in pairs], np.uint64), bits))
         words, index = np.unique(at >> 5, return_inverse=True)
         value = np.zeros(len(words), np.int64)
         np.bitwise_or.at(value, index, np.int64(1) << (at & 31))
@@ -261,7 +268,7 @@ def _filter_words(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.R
 
 
 def _filter(sigs: DataFrame) -> tuple[np.ndarray, int]:
-    """A Bloom filter of bounded size over a table of signatures."""
+    """A Bloom filter of bounded size over a table of (signature, key)."""
     bits, rows = 1 << 16, sigs.count()
     while bits < min(16 * rows, MAX_FILTER_BITS):
         bits <<= 1
@@ -277,7 +284,7 @@ def _filter(sigs: DataFrame) -> tuple[np.ndarray, int]:
 def _candidate_sets(
     batches: Iterator[pa.RecordBatch], n: int, words: np.ndarray, bits: int
 ) -> Iterator[pa.RecordBatch]:
-    """(sig, set) of the texts that the filter lets through, once a task."""
+    """(sig, set) of the rows that the filter lets through, once a task for each signature."""
     seen: set[int] = set()
     sig, data, held = [], [], 0
 
@@ -286,11 +293,12 @@ def _candidate_sets(
             [pa.array(np.array(sig, np.uint64).view(np.int64)), pa.array(data, pa.binary())], names=["sig", "grams"]
         )
 
-    for _, _, s in _sets(batches, n):
+    for batch, r, s in _sets(batches, n):
         if not len(s):
             continue
         x = _signature(s)
-        if int(x) in seen or not all(int(words[p[0] >> 5]) >> (p[0] & 31) & 1 for p in _places(np.array([x]), bits)):
+        h = np.array([_row_hash(x, batch.column("key")[r].as_py())])
+        if int(x) in seen or not all(int(words[p[0] >> 5]) >> (p[0] & 31) & 1 for p in _places(h, bits)):
             continue
         seen.add(int(x))
         sig.append(x)
@@ -315,16 +323,18 @@ def _overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.int64())
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of signatures whose sets are similar enough."""
-    pairs = C.cut(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    sigs = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-    words, bits = _filter(sigs)
+def _verify(pairs: DataFrame, texts: DataFrame, speakers: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of signatures whose sets are similar enough.
+
+    Of the rows with one signature, the one that speaks for it sends its set; the join below
+    drops what the filter let through by chance.
+    """
+    pairs = C.cut(pairs)
+    needed = C.cut(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(speakers, "sig"))
+    words, bits = _filter(needed)
     sets = texts.mapInArrow(
         partial(_candidate_sets, n=n, words=words, bits=bits), "sig long, grams binary"
-    )
-    sets = sets.groupBy("sig").agg(F.first("grams").alias("grams")).join(sigs, "sig", "left_semi")
-    sets = C.cut(sets)
+    ).groupBy("sig").agg(F.first("grams").alias("grams"))
     one = sets.select(F.col("sig").alias("a"), F.col("grams").alias("ga"))
     two = sets.select(F.col("sig").alias("b"), F.col("grams").alias("gb"))
     size = lambda c: F.octet_length(c) / 8
@@ -344,7 +354,8 @@ def _expand(groups: DataFrame, nodes: DataFrame, extra: list[str]) -> DataFrame:
 
 def _links(texts: DataFrame, ids: DataFrame, ranks: np.ndarray, n: int, percent: int) -> DataFrame:
     """(node, component) of all signatures that link with another."""
-    nodes = C.cut(ids.where("n > 0").select("sig", "gid").distinct())
+    speakers = C.cut(ids.where("n > 0").groupBy("sig").agg(F.first("gid").alias("gid"), F.min("key").alias("key")))
+    nodes, speakers = speakers.select("sig", "gid"), speakers.select("sig", "key")
     rows = texts.mapInArrow(
         partial(_prefix_rows, n=n, percent=percent, ranks=ranks), "gram long, gid long, code long"
     )
@@ -360,14 +371,15 @@ def _links(texts: DataFrame, ids: DataFrame, ranks: np.ndarray, n: int, percent:
     )
     inside = nodes.join(reps, "gid").select(F.col("sig").alias("a"), F.col("rep").alias("b"))
     tried = C.cut(_ordered(star.union(inside)))
-    links = C.cut(_verify(tried, texts, n, percent))
+    links = C.cut(_verify(tried, texts, speakers, n, percent))
     first = connected_components(links)
     member = C.cut(
         nodes.join(first, nodes["sig"] == first["node"], "left")
         .select("sig", "gid", F.coalesce("component", "sig").alias("comp"))
     )
-    groups = member.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    placed = shared.select("gram", "gid", "n", "place").join(groups, "gid")
+    groups = C.cut(member.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")))
+    small = C.within_bytes(groups.count(), 48)
+    placed = shared.select("gram", "gid", "n", "place").join(F.broadcast(groups) if small else groups, "gid")
     open_grams = placed.groupBy("gram").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l <> h")
     live = C.cut(placed.join(open_grams.select("gram"), "gram", "left_semi").dropDuplicates(["gram", "gid"]))
     x, y = live.alias("x"), live.alias("y")
@@ -384,7 +396,7 @@ def _links(texts: DataFrame, ids: DataFrame, ranks: np.ndarray, n: int, percent:
     )
     split = groups.where("lo <> hi").select(c("gid").alias("x"), c("gid").alias("y"))
     pairs = _expand(apart.union(split), member, ["comp"]).where("comp_a <> comp_b").select("a", "b")
-    more = _verify(_ordered(pairs).join(tried, ["a", "b"], "left_anti"), texts, n, percent)
+    more = _verify(_ordered(pairs).join(tried, ["a", "b"], "left_anti"), texts, speakers, n, percent)
     return connected_components(links.union(more))
 
 
@@ -395,7 +407,8 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 def components(
     df: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = THRESHOLD
 ) -> DataFrame:
-    """One row per row of df: key, sig (of its set), n_shingles, component (its least key)."""
+    """One row per row of df: key, sig (of its set), n_shingles, node (one for each component, null
+    for an empty set), component (its least key)."""
     C.ship(df.sparkSession)
     texts = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     only = texts.select("text")
@@ -406,12 +419,12 @@ def components(
             partial(_identify, n=n, percent=percent, ranks=ranks), f"key {kind}, sig long, n int, gid long"
         )
     )
-    found = _links(only, ids, ranks, n, percent)
+    found = _links(texts, ids, ranks, n, percent)
     node = F.when(F.col("n") > 0, F.coalesce("component", "sig"))
     named = C.cut(ids.join(found, ids["sig"] == found["node"], "left").select("key", "sig", "n", node.alias("at")))
     least = named.where("at is not null").groupBy("at").agg(F.min("key").alias("least"))
     return named.join(least, "at", "left").select(
-        "key", "sig", F.col("n").cast("long").alias("n_shingles"),
+        "key", "sig", F.col("n").cast("long").alias("n_shingles"), F.col("at").alias("node"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component"),
     )
 
@@ -423,15 +436,36 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def keep_one(df: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """df with one row of each component, the one with the least key and text."""
-    which = components(df, key=key, text=text).select(
-        F.col("key").alias("__k"), F.col("sig").alias("__sig"), F.col("component").alias("__c"), F.col("n_shingles").alias("__n")
+def _signatures(n: int):
+    @F.arrow_udf(T.LongType())
+    def sig(text: pa.Array) -> pa.Array:
+        out = np.zeros(len(text), np.uint64)
+        for _, r, s in _sets(iter([pa.RecordBatch.from_arrays([text], names=["text"])]), n):
+            out[r] = _signature(s) if len(s) else 0
+        return pa.array(out.view(np.int64))
+
+    return sig
+
+
+def keep_one(df: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:
+    """df with one row of each component, the one with the least key and text.
+
+    Rows with an empty set all stay.  Texts are joined with the bounded table of kept keys and
+    not shuffled; only rows whose key is not unique are looked at again by their sets.
+    """
+    which = components(df, key=key, text=text, n=n).select(
+        F.col("key").alias("__k"), F.col("sig").alias("__s"), F.col("node").alias("__node"), F.col("component").alias("__c")
     )
-    kept = which.where(F.col("__k").eqNullSafe(F.col("__c"))).dropDuplicates(["__k"]).select("__k")
+    first = which.where(F.col("__k").eqNullSafe(F.col("__c")))
+    kept = C.cut(first.groupBy("__k").agg(F.count("*").alias("__rows")))
+    counted = C.cut(which.groupBy("__k").agg(F.count("*").alias("__all")).where("__all > 1").select("__k", F.lit(True).alias("__many")))
+    kept = C.cut(kept.join(counted, kept["__k"].eqNullSafe(counted["__k"]), "left").select(kept["__k"], "__many"))
+    small = C.within_bytes(kept.count(), 64)
+    rows = df.join(F.broadcast(kept) if small else kept, F.col(f"`{key}`").eqNullSafe(F.col("__k")))
     cols = [F.col(f"`{c}`") for c in df.columns]
-    one = Window.partitionBy("__k").orderBy(F.col(f"`{text}`").asc_nulls_last())
-    return (
-        df.join(kept, F.col(f"`{key}`").eqNullSafe(F.col("__k")))
-        .withColumn("__rank", F.row_number().over(one)).where("__rank = 1").select(*cols)
-    )
+    again = rows.where("__many").withColumn("__sig", _signatures(n)(F.col(f"`{text}`").cast("string")))
+    sure = first.select(F.col("__k").alias("__key"), "__s", "__node").distinct()
+    again = again.join(sure, F.col("__k").eqNullSafe(F.col("__key")) & (F.col("__sig") == F.col("__s")))
+    one = Window.partitionBy("__k", "__node").orderBy(F.col(f"`{text}`").asc_nulls_last(), *cols)
+    chosen = again.withColumn("__rank", F.row_number().over(one)).where("__rank = 1 or __node is null")
+    return rows.where("__many is null").select(*cols).union(chosen.select(*cols))
