@@ -306,3 +306,10 @@ def test_mixing_equals_sql(spark):
     want = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, size, source_size, target, taken, passes FROM ({mixing.OP4_SQL})").fetchall()}
     for r in mixing.op4_mixing(spark, DATA).collect():
         assert (r["size"], r["source_size"], pytest.approx(r["target"], abs=1e-5), r["taken"], r["passes"]) == want[r["doc_id"]]
+
+
+def test_one_of_each_component_stays_under_repeated_keys(spark):
+    a, b, c = "a b c d e f g h i j", "k l m n o p q r s t", "u v w x y z 1 2 3 4"
+    rows = [(1, a), (1, a), (1, b), (2, a), (3, b), (4, c), (None, c), (None, "5 6 7 8 9 10"), (5, ""), (5, None)]
+    got = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in got))) == sorted(map(str, [(1, a), (1, b), (4, c), (None, "5 6 7 8 9 10"), (5, ""), (5, None)]))
