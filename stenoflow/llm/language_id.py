@@ -157,7 +157,7 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 150) ->
     w, b = np.zeros(d, x.dtype), x.dtype.type(0)
     vw, vb = w.copy(), b
     y, weight = y.astype(x.dtype), weight.astype(x.dtype)
-    lip = 2 * float((weight * ((x * x).sum(1) + 1)).sum())
+    lip = 2 * float((weight * (np.einsum("ij,ij->i", x, x) + 1)).sum())
     lam, step, t = x.dtype.type(1e-4), x.dtype.type(1.0 / (lip + 1e-4)), 1.0
     for _ in range(rounds):
         gap = np.maximum(0, 1 - y * (x @ vw + vb))
@@ -180,7 +180,7 @@ def fit(features: np.ndarray, labels: list[str]) -> Model | None:
     if not languages:
         return None
     families = sorted({family_of(x) for x in languages})
-    x = (features * SCALE).astype(np.float32)
+    x = features * np.float32(SCALE)
     lab = np.array([languages.index(v) for v in labels])
     fam = np.array([families.index(family_of(v)) for v in labels])
     cols, bias, pairs = [], [], []
@@ -205,8 +205,9 @@ def fit(features: np.ndarray, labels: list[str]) -> Model | None:
     return Model(languages, families, weights, np.array(bias), pairs)
 
 
-@F.arrow_udf(T.ArrayType(T.FloatType()))
+@F.arrow_udf(T.BinaryType())
 def _frequencies(text: pa.Array) -> pa.Array:
+    """Relative n-gram frequencies of each text, as float32 bytes."""
     buf, offsets = B.utf8(text)
     rows = []
     for i in range(len(offsets) - 1):
@@ -214,10 +215,8 @@ def _frequencies(text: pa.Array) -> pa.Array:
         count = np.zeros(DIMENSIONS)
         for _, _, ids, keep in _chunks(part, np.array([0, len(part)])):
             count += np.bincount(ids[keep], minlength=DIMENSIONS)
-        rows.append((count / max(1.0, count.sum())).astype(np.float32))
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.float32)
-    ends = np.arange(len(rows) + 1, dtype=np.int32) * DIMENSIONS
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        rows.append((count / max(1.0, count.sum())).astype(np.float32).tobytes())
+    return pa.array(rows, pa.binary())
 
 
 def has_letter(text: Column) -> Column:
@@ -247,7 +246,7 @@ def train(
         .select("lang", "o", _frequencies("text").alias("f"))
         .limit(2 * SAMPLE_PER_LANGUAGE * len(counts))
     )
-    got = [(r["lang"], r["o"], np.asarray(r["f"], dtype=np.float32)) for r in drawn.toLocalIterator()]
+    got = [(r["lang"], r["o"], np.frombuffer(r["f"], np.float32)) for r in drawn.toLocalIterator()]
     # a fixed order makes the fit repeatable
     got.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
     return fit(np.stack([r[2] for r in got]), [r[0] for r in got]) if got else None

@@ -214,14 +214,19 @@ def mix(
         .select(F.col("key").alias("__k"), F.col("source").alias("__s"), F.col("size").alias("__z"), "p", "n")
     )
     rows = df.withColumn("__size", word_count(F.col(f"`{text}`").cast("string")))
+    per_key = C.cut(per_key)
+    small = C.within_bytes(per_key.count(), 200)
     joined = rows.join(
-        per_key,
+        F.broadcast(per_key) if small else per_key,
         F.col(f"`{key}`").eqNullSafe(F.col("__k"))
         & F.col(f"`{source}`").cast("string").eqNullSafe(F.col("__s"))
         & (F.col("__size") == F.col("__z")),
     )
     one = Window.partitionBy("__k", "__s", "__z").orderBy(F.col(f"`{text}`"))
-    dealt = joined.withColumn("__at", F.row_number().over(one) - 1).withColumn(
+    # only keys that are not unique need their positions dealt out, so other texts are not shuffled for it
+    alone = joined.where("n = 1").withColumn("__at", F.lit(0))
+    shared = joined.where("n > 1").withColumn("__at", F.row_number().over(one) - 1)
+    dealt = alone.unionByName(shared).withColumn(
         "__mine",
         F.expr("filter(transform(p, (x, i) -> struct(i as i, x as x)), e -> e.i % n = __at)"),
     )
