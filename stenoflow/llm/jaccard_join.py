@@ -106,12 +106,13 @@ def _rank_table(texts: DataFrame, n: int) -> np.ndarray:
     table = np.zeros(1 << SKETCH_BITS, np.uint64)
     table[got.column("at").to_numpy()] = got.column("n").to_numpy().astype(np.uint64)
     shift = max(0, int(table.max()).bit_length() - 20)
-    return (table >> np.uint64(shift)) << np.uint64(44)
+    return (table >> np.uint64(shift)).astype(np.uint32)
 
 
 def _prefix(s: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
     """The leading part of a set in the common order, as order keys."""
-    key = np.sort(ranks[(s >> _SHIFT).astype(np.int64)] | (s >> np.uint64(20)))
+    rank = ranks[(s >> _SHIFT).astype(np.int64)].astype(np.uint64)
+    key = np.sort(rank << np.uint64(44) | s >> np.uint64(20))
     return key[: len(s) - -(-percent * len(s) // 100) + 1]
 
 
@@ -378,7 +379,7 @@ def _links(texts: DataFrame, ids: DataFrame, ranks: np.ndarray, n: int, percent:
         .select("sig", "gid", F.coalesce("component", "sig").alias("comp"))
     )
     groups = C.cut(member.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")))
-    small = C.within_bytes(groups.count(), 48)
+    small = C.within_bytes(groups.count(), 110)
     placed = shared.select("gram", "gid", "n", "place").join(F.broadcast(groups) if small else groups, "gid")
     open_grams = placed.groupBy("gram").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l <> h")
     live = C.cut(placed.join(open_grams.select("gram"), "gram", "left_semi").dropDuplicates(["gram", "gid"]))
@@ -460,7 +461,7 @@ def keep_one(df: DataFrame, *, key: str = "doc_id", text: str = "text", n: int =
     kept = C.cut(first.groupBy("__k").agg(F.count("*").alias("__rows")))
     counted = C.cut(which.groupBy("__k").agg(F.count("*").alias("__all")).where("__all > 1").select("__k", F.lit(True).alias("__many")))
     kept = C.cut(kept.join(counted, kept["__k"].eqNullSafe(counted["__k"]), "left").select(kept["__k"], "__many"))
-    small = C.within_bytes(kept.count(), 64)
+    small = C.within_bytes(kept.count(), 110)
     rows = df.join(F.broadcast(kept) if small else kept, F.col(f"`{key}`").eqNullSafe(F.col("__k")))
     cols = [F.col(f"`{c}`") for c in df.columns]
     again = rows.where("__many").withColumn("__sig", _signatures(n)(F.col(f"`{text}`").cast("string")))

@@ -28,7 +28,7 @@ from stenoflow.llm import bytesets as B
 from stenoflow.llm import common as C
 
 #: Rows learned from, per language, at most: the documented bound of the training sample.
-SAMPLE_PER_LANGUAGE = 500
+SAMPLE_PER_LANGUAGE = 300
 #: Languages told apart at most; the most frequent ones are taken.
 MAX_LANGUAGES = 256
 #: Size of the hashed feature space.
@@ -175,12 +175,13 @@ def _balanced(y: np.ndarray) -> np.ndarray:
 
 
 def fit(features: np.ndarray, labels: list[str]) -> Model | None:
-    """Model from relative n-gram frequencies and language labels."""
+    """Model from relative n-gram frequencies, which are scaled in place, and language labels."""
     languages = sorted(set(labels))
     if not languages:
         return None
     families = sorted({family_of(x) for x in languages})
-    x = features * np.float32(SCALE)
+    x = features
+    x *= np.float32(SCALE)
     lab = np.array([languages.index(v) for v in labels])
     fam = np.array([families.index(family_of(v)) for v in labels])
     cols, bias, pairs = [], [], []
@@ -249,7 +250,12 @@ def train(
     got = [(r["lang"], r["o"], np.frombuffer(r["f"], np.float32)) for r in drawn.toLocalIterator()]
     # a fixed order makes the fit repeatable
     got.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
-    return fit(np.stack([r[2] for r in got]), [r[0] for r in got]) if got else None
+    features = np.empty((len(got), DIMENSIONS), np.float32)
+    for i, r in enumerate(got):
+        features[i] = r[2]
+    labels = [r[0] for r in got]
+    del got
+    return fit(features, labels)
 
 
 def predict(

@@ -1,12 +1,12 @@
 """Exact top-k search with BM25, by block-max WAND over shards of an inverted index.
 
-Every partition of the documents is a shard.  A shard indexes all its documents: postings
-with impacts from global statistics, and for each term its largest impact in every block of
-BLOCK documents.  For a query, the block maxima of its terms add up to a bound for each
-block; blocks are visited from the highest bound down, all documents of a visited block are
-scored, and the visit ends at the first block whose bound does not exceed the k-th score so
-far.  The k-th score starts from a bounded sample of documents that was searched before, so
-every shard prunes from its first block on; a subset's k-th score never exceeds that of the
+Every batch of a partition of the documents is a shard.  A shard indexes all its documents:
+postings with impacts from global statistics, and for each term its largest impact in every
+block of BLOCK documents.  For a query, a document's bound is the sum of its postings of rare
+terms and of the block maxima of frequent terms; documents are visited from the highest bound
+down and scored on all terms, and the visit ends when no bound reaches the k-th score so far.
+The k-th score starts from a bounded sample of documents that was searched before, so every
+shard prunes from its first document on; a subset's k-th score never exceeds that of the
 whole, which keeps the search exact.  Shards return what reaches it, and the best k of all
 shards are merged by Spark.
 
@@ -40,6 +40,8 @@ K = 10
 K1, B_LENGTH = 1.2, 0.75
 #: Documents per block of the index.
 BLOCK = 32
+#: Terms in at most this share of a shard's documents are summed before the pruning.
+RARE = 0.3
 #: (query, term) pairs that go to the shards at once, at most about.
 QUERY_POSTINGS = 4_000_000
 #: Documents searched first for a lower bound of each query's k-th score.
@@ -132,60 +134,76 @@ class Shard:
         self.impact = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
         self.term = term
         self.doc_at = np.searchsorted(doc, np.arange(self.size + 1))
-        # block maxima by term
-        self.blocks = -(-self.size // BLOCK)
+        # postings and block maxima by term
         by = np.lexsort((doc, term))
-        t, b, v = term[by], doc[by] // BLOCK, self.impact[by]
+        t, d, v = term[by], doc[by], self.impact[by]
+        self.inv_doc, self.inv_impact = d, v
+        self.inv_at = np.searchsorted(t, np.arange(self.n_terms + 1))
+        self.blocks, b = -(-self.size // BLOCK), d // BLOCK
         first = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (b[1:] != b[:-1])])) if len(t) else by
         self.block = b[first]
         self.block_max = np.maximum.reduceat(v, first) if len(first) else v
-        self.term_at = np.searchsorted(t[first], np.arange(self.n_terms + 1))
+        self.block_at = np.searchsorted(t[first], np.arange(self.n_terms + 1))
         self.weight = np.zeros(self.n_terms + 1)
 
     def bounds(self, terms: np.ndarray) -> np.ndarray:
-        """Of every block, what no document's score exceeds."""
-        a, n = self.term_at[terms], self.term_at[terms + 1] - self.term_at[terms]
-        a, n = a[n > 0], n[n > 0]
-        if not len(n):
-            return np.zeros(self.blocks)
+        """Of every document, what its score does not exceed.
+
+        Postings of rare terms are summed as they are, frequent terms count with the maximum
+        of the document's block.
+        """
+        n = self.inv_at[terms + 1] - self.inv_at[terms]
+        rare = n <= max(BLOCK, RARE * self.size)
+        at = _ranges(self.inv_at[terms[rare]], n[rare])
+        bound = np.bincount(self.inv_doc[at], self.inv_impact[at], minlength=self.size)
+        often = terms[~rare]
+        at = _ranges(self.block_at[often], self.block_at[often + 1] - self.block_at[often])
+        most = np.bincount(self.block[at], self.block_max[at], minlength=self.blocks)
+        return bound + np.repeat(most, BLOCK)[: self.size]
+
+    def scores(self, docs: np.ndarray) -> np.ndarray:
+        """Scores of documents for the terms whose weight is set."""
+        n = self.doc_at[docs + 1] - self.doc_at[docs]
+        at = _ranges(self.doc_at[docs], n)
+        total = np.concatenate([[0.0], np.cumsum(self.impact[at] * self.weight[self.term[at]])])
         ends = np.cumsum(n)
-        at = np.arange(ends[-1]) + np.repeat(a - (ends - n), n)
-        return np.bincount(self.block[at], self.block_max[at], minlength=self.blocks)
+        return total[ends] - total[ends - n]
 
     def search(self, terms: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """The best k documents of those that reach the floor, and their scores."""
+        """The best k documents of those that reach the floor, and their scores.
+
+        Documents are visited by falling bound, in growing steps, until no bound reaches the
+        k-th score.
+        """
         bound = self.bounds(terms)
-        order = np.argsort(-bound, kind="stable")
-        docs, scores = np.zeros(0, np.int64), np.zeros(0)
+        live = np.flatnonzero(bound + 1e-7 >= max(floor, 1e-9))
+        docs, scores, step = np.zeros(0, np.int64), np.zeros(0), 4 * k
         self.weight[terms] = 1
-        at, step = 0, 2
-        while at < len(order):
+        while len(live):
+            if len(live) > step:
+                cut = np.argpartition(bound[live], -step)
+                now, live = live[cut[-step:]], live[cut[:-step]]
+            else:
+                now, live = live, live[:0]
+            docs, scores = np.concatenate([docs, now]), np.concatenate([scores, self.scores(now)])
             least = max(floor, np.partition(scores, -k)[-k] if len(scores) >= k else 0.0)
-            live = order[at : at + step]
-            live = live[bound[live] + 1e-7 >= least] if least > 0 else live[bound[live] > 0]
-            if not len(live):
-                break
-            at, step = at + step, min(64, step * 2)
-            d = (live[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            d = d[d < self.size]
-            a, n = self.doc_at[d], self.doc_at[d + 1] - self.doc_at[d]
-            ends = np.cumsum(n)
-            p = np.arange(ends[-1]) + np.repeat(a - (ends - n), n)
-            total = np.concatenate([[0.0], np.cumsum(self.impact[p] * self.weight[self.term[p]])])
-            s = total[ends] - total[ends - n]
-            ok = (s > 1e-9) & (s + 1e-7 >= least)
-            docs, scores = np.concatenate([docs, d[ok]]), np.concatenate([scores, s[ok]])
-            if len(scores) > 4 * k:
-                keep = scores + 1e-7 >= np.partition(scores, -k)[-k]
-                docs, scores = docs[keep], scores[keep]
-        self.weight[terms] = 0
-        if len(scores) > k:
             # ties at the k-th score stay, the merge ranks them by key
-            keep = scores + 1e-7 >= np.partition(scores, -k)[-k]
+            keep = (scores > 1e-9) & (scores + 1e-7 >= least)
             docs, scores = docs[keep], scores[keep]
+            live = live[bound[live] + 1e-7 >= least]
+            step *= 4
+        self.weight[terms] = 0
         return docs, scores
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size."""
+    ends = np.cumsum(sizes)
+    if not len(ends) or not ends[-1]:
+        return np.zeros(0, np.int64)
+    return np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)
+
+
 def _exact(shard: Shard, d: int, terms: np.ndarray) -> float:
     a, b = shard.doc_at[d], shard.doc_at[d + 1]
     hit = np.isin(shard.term[a:b], terms, assume_unique=True)
