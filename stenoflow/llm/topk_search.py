@@ -281,7 +281,9 @@ def search(
         for r in ranked.where(F.col("r") == k).select("q", "score").toLocalIterator():
             floors[r["q"]] = r["score"]
         named = spark.createDataFrame([(i, x) for i, x in enumerate(keys)], f"q int, query {kind}")
-        parts.append(C.cut(docs.mapInArrow(partial(run, floors=floors), schema).join(named, "q").drop("q")))
+        order = Window.partitionBy("q").orderBy(F.desc("score"), F.col("found").asc_nulls_last())
+        reached = docs.mapInArrow(partial(run, floors=floors), schema).withColumn("r", F.row_number().over(order))
+        parts.append(C.cut(reached.where(F.col("r") <= k).join(named, "q").drop("q", "r")))
     if not parts:
         return spark.createDataFrame([], f"query {kind}, rank int, found {kind}, score double")
     found = parts[0]
