@@ -57,6 +57,11 @@ def tokens(x: Column) -> Column:
     return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
 
 
+def words(x: Column) -> Column:
+    """As tokens, with all white space of Unicode."""
+    return F.filter(F.split(x, r"(?U)[\s\x1c-\x1f]+", -1), lambda w: w != "")
+
+
 def normalise_for_wer(x: Column) -> Column:
     """Lower case, bracketed parts gone, marks, signs and punctuation as blanks, white space collapsed."""
     bare = F.regexp_replace(F.lower(x), r"[<\[][^>\]]*[>\]]|\([^)]*\)", "")

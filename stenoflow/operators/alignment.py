@@ -106,3 +106,8 @@ def best(fined: DataFrame, paired: DataFrame) -> DataFrame:
         "seg", "doc", F.coalesce("start", "b_start").alias("start"), F.coalesce("end", "b_end").alias("end"),
         F.coalesce("cer", "b_cer").alias("cer"), F.when(missing, "fallback").otherwise(stage).alias("stage"),
     )
+
+
+def unmatched(segments: DataFrame, matched: DataFrame) -> DataFrame:
+    """Segments without a match in any transcript, as rows (seg, stage)."""
+    return segments.join(matched.select("seg").distinct(), "seg", "left_anti").select("seg", F.lit("unmatched").alias("stage"))

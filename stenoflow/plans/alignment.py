@@ -1,8 +1,13 @@
-"""Alignment of perturbed benchmark passages with English documents."""
+"""Alignment of perturbed benchmark passages with documents.
+
+The queries with SQL see English documents and ASCII only, because the oracle counts bytes.
+Those named _full, align_exact and align_pipeline see every document, of any language or
+none, and whole Unicode texts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stenoflow.functions import text as X
@@ -31,35 +36,57 @@ f AS (SELECT seg, doc, rank, start, start + length AS "end", cer FROM
  QUALIFY row_number() OVER (PARTITION BY seg, doc, rank ORDER BY cer, start, length) = 1)"""
 
 
-def segments(table) -> DataFrame:
+def _words(whole: bool):
+    return X.words(F.col("text")) if whole else X.tokens(X.ascii_only(F.col("text")))
+
+
+def segments(table, whole: bool = False) -> DataFrame:
     """Passages as a recogniser might hear them: each 7th token lost, each 11th a filler."""
-    t = X.tokens(X.ascii_only(F.col("text")))
-    heard = F.transform(t, lambda x, i: F.when((i + 1) % 7 == 0, None).when((i + 1) % 11 == 0, "um").otherwise(x))
+    heard = F.transform(_words(whole), lambda x, i: F.when((i + 1) % 7 == 0, None).when((i + 1) % 11 == 0, "um").otherwise(x))
     kept = F.filter(heard, lambda x: x.isNotNull())
     return table("benchmark").select(F.col("item_id").alias("seg"), kept.alias("stoks")).withColumn("asr", F.array_join("stoks", " "))
 
 
-def transcripts(table) -> DataFrame:
-    english = table("documents").where("lang = 'en'")
-    return english.select(F.col("doc_id").alias("doc"), X.tokens(X.ascii_only(F.col("text"))).alias("toks"))
+def transcripts(table, whole: bool = False) -> DataFrame:
+    docs = table("documents") if whole else table("documents").where("lang = 'en'")
+    return docs.select(F.col("doc_id").alias("doc"), _words(whole).alias("toks"))
 
 
-def paired(table) -> DataFrame:
-    return alignment.pairs(segments(table), transcripts(table))
+def paired(table, whole: bool = False) -> DataFrame:
+    return alignment.pairs(segments(table, whole), transcripts(table, whole))
 
 
 @query("cer_pairs", f"""WITH {PAIR_SQL} SELECT seg, doc, CAST(greatest(least(lo, n - w), 0) AS INTEGER) AS start,
  round(levenshtein(asr, array_to_string(toks[greatest(least(lo, n - w), 0) + 1 : greatest(least(lo, n - w), 0) + w], ' ')) / CAST(length(asr) AS DOUBLE), 6) AS cer FROM p""")
 def cer_pairs(table):
-    """Error rate of every passage at its first anchor in every document that shares four words."""
+    """Error rate of every passage at its first anchor in every English document that shares four words."""
+    return _cer_pairs(paired(table))
+
+
+@query("cer_pairs_full")
+def cer_pairs_full(table):
+    """The same over all documents and whole texts."""
+    return _cer_pairs(paired(table, True))
+
+
+def _cer_pairs(p: DataFrame) -> DataFrame:
     start = F.greatest(F.least("lo", F.size("toks") - F.col("w")), F.lit(0))
     human = F.array_join(F.slice("toks", start + 1, F.col("w")), " ")
-    return paired(table).select("seg", "doc", start.alias("start"), F.round(alignment.cer(F.col("asr"), human), 6).alias("cer"))
+    return p.select("seg", "doc", start.alias("start"), F.round(alignment.cer(F.col("asr"), human), 6).alias("cer"))
 
 
 @query("align_coarse", f"WITH {COARSE_SQL} SELECT seg, doc, CAST(rank AS INTEGER) AS rank, CAST(pos AS INTEGER) AS pos, round(cer, 6) AS cer FROM co")
 def align_coarse(table):
-    return alignment.coarse(paired(table)).select("seg", "doc", "rank", "pos", F.round("cer", 6).alias("cer"))
+    return _coarse(paired(table))
+
+
+@query("align_coarse_full")
+def align_coarse_full(table):
+    return _coarse(paired(table, True))
+
+
+def _coarse(p: DataFrame) -> DataFrame:
+    return alignment.coarse(p).select("seg", "doc", "rank", "pos", F.round("cer", 6).alias("cer"))
 
 
 @query("align_fine", f"""WITH {FINE_SQL} SELECT seg, doc, CAST(rank AS INTEGER) AS rank, CAST(start AS INTEGER) AS start, CAST("end" AS INTEGER) AS "end", round(cer, 6) AS cer FROM f""")
@@ -67,19 +94,32 @@ def align_fine(table):
     return alignment.fine(alignment.coarse(paired(table))).withColumn("cer", F.round("cer", 6))
 
 
+@query("align_fine_full")
+def align_fine_full(table):
+    return alignment.fine(alignment.coarse(paired(table, True))).withColumn("cer", F.round("cer", 6))
+
+
 @query("align_best", f"""WITH {FINE_SQL}, top AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY seg, doc ORDER BY cer, start, "end") = 1)
 SELECT p.seg, p.doc, CAST(coalesce(start, greatest(least(lo, n - w), 0)) AS INTEGER) AS start, CAST(coalesce("end", greatest(least(lo, n - w), 0) + w) AS INTEGER) AS "end",
  round(coalesce(cer, levenshtein(asr, array_to_string(toks[greatest(least(lo, n - w), 0) + 1 : greatest(least(lo, n - w), 0) + w], ' ')) / CAST(length(asr) AS DOUBLE)), 6) AS cer,
  CASE WHEN cer IS NULL THEN 'fallback' WHEN cer <= 0.3 THEN 'region' WHEN cer <= 0.45 THEN 'global' ELSE 'fallback' END AS stage FROM p LEFT JOIN top USING (seg, doc)""")
 def align_best(table):
-    """The match of every passage in every anchored document, with the stage that accepted it."""
+    """The match of every passage in every anchored English document, with the stage that accepted it."""
     p = paired(table)
     return alignment.best(alignment.fine(alignment.coarse(p)), p).withColumn("cer", F.round("cer", 6))
 
 
+@query("align_best_full")
+def align_best_full(table):
+    """The same over all documents and whole texts; a passage without an anchor is a row of stage unmatched."""
+    p = paired(table, True)
+    got = alignment.best(alignment.fine(alignment.coarse(p)), p)
+    return got.unionByName(alignment.unmatched(segments(table, True), got), allowMissingColumns=True).withColumn("cer", F.round("cer", 6))
+
+
 def _chunks(table) -> DataFrame:
     """Anchored passages cut into segments of twelve tokens, each with its transcript's text."""
-    p = paired(table)
+    p = paired(table, True)
     n = F.ceil(F.col("w") / 12).cast("int")
     toks = F.split("asr", " ")
     part = p.select("seg", "doc", "toks", toks.alias("st"), F.explode(F.sequence(F.lit(0), n - 1)).alias("seg_idx"))
@@ -111,8 +151,17 @@ e AS (SELECT item_id, len(ref) AS n, levenshtein(array_to_string(list_transform(
 
 @query("corpus_wer", f"WITH {WER_SQL} SELECT count(*) AS pairs, CAST(sum(d) AS BIGINT) AS edits, CAST(sum(n) AS BIGINT) AS words, round(100.0 * sum(d) / sum(n), 6) AS wer FROM e")
 def corpus_wer(table):
-    """Word error rate of perturbed passages against the passages, on normalised text."""
-    t = X.tokens(X.normalise_for_wer(X.ascii_only(F.col("text"))))
+    """Word error rate of perturbed passages against the passages, on normalised text reduced to ASCII."""
+    return _corpus_wer(table, X.tokens(X.normalise_for_wer(X.ascii_only(F.col("text")))))
+
+
+@query("corpus_wer_full")
+def corpus_wer_full(table):
+    """The same on whole Unicode texts."""
+    return _corpus_wer(table, X.words(X.normalise_for_wer(F.col("text"))))
+
+
+def _corpus_wer(table, t: Column) -> DataFrame:
     heard = F.transform("ref", lambda x, i: F.when((i + 1) % 7 == 0, None).when((i + 1) % 11 == 0, "um").otherwise(x))
     b = table("benchmark").select("item_id", t.alias("ref")).withColumn("hyp", F.filter(heard, lambda x: x.isNotNull())).where(F.size("ref") > 0)
     e = b.select(X.word_distance(F.col("hyp"), F.col("ref")).alias("d"), F.size("ref").alias("n"))

@@ -116,6 +116,13 @@ def abbrev_expand(table):
     return table("documents").select("doc_id", F.md5(t.cast("binary")).alias("expanded"))
 
 
+@query("abbrev_expand_full")
+def abbrev_expand_full(table):
+    """Whole-word abbreviations in the whole texts, with the word ends of Unicode."""
+    t = X.expand_abbreviations(F.col("text"), ABBREVIATIONS)
+    return table("documents").select("doc_id", F.md5(t.cast("binary")).alias("expanded"))
+
+
 RULES = [("evening", ["evening", "ening"]), ("morning", ["morning", "orning"]), ("hour", ["hour", "ou"])]
 
 
