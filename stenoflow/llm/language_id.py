@@ -7,6 +7,12 @@ to four bytes) of the lower-cased whole text.  A linear model over relative
 frequencies scores a text as the mean of one table entry per n-gram, so
 prediction is a table lookup and a segmented sum.
 
+The score compares the learned languages with each other, so it cannot tell that a text is
+in none of them.  That is told by an absolute measure: the mean surprise of the n-grams of
+letters (minus the log of their largest frequency in a learned language) against a limit
+calibrated on rows that the frequencies were not taken from.  Numbers, keys and marks do
+not count for it, but a text must have some share of letters.
+
 Defined cases: a null text, or a text without a letter, is `und` with score 0.
 Texts of any length are read whole.  Repeated rows get equal results.  With no
 labelled row to learn from, every text is `und`.  Columns named like the
@@ -35,6 +41,12 @@ MAX_LANGUAGES = 256
 DIMENSIONS = 1 << 12
 #: Relative frequencies are small; margins are learned on this multiple of them.
 SCALE = 100.0
+#: A text is known up to so many times the surprise, beyond the mean, of all but this share
+#: of the held-out rows, and at least up to LEAST_SURPRISE; short texts may have SHORT
+#: standard errors more.
+SURPRISE, STRAY, LEAST_SURPRISE, SHORT = 1.5, 0.005, 0.3, 4.0
+#: Least share of letters in the bytes of a known text that are not blank.
+LEAST_LETTERS = 0.1
 
 #: Language families by ISO 639-1 code.
 FAMILIES = {
@@ -108,6 +120,22 @@ def _chunks(buf: np.ndarray, offsets: np.ndarray):
         yield at, hi, ids[at - lo :], keep[at - lo :]
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_PLAIN = _LETTER | B.BLANKS
+
+
+def _of_letters(buf: np.ndarray) -> np.ndarray:
+    """Which n-grams that end at each byte are of letters and blanks, with a letter."""
+    letter, plain = _LETTER[buf], _PLAIN[buf]
+    out = np.zeros((len(buf), 3), bool)
+    for k in range(1, 4):
+        letter[k:] |= _LETTER[buf[:-k]]
+        plain[k:] &= _PLAIN[buf[:-k]]
+        out[:, k - 1] = letter & plain
+    return out
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -116,6 +144,27 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     pairs: list[tuple[int, int]]
+    #: Surprise of each n-gram, its spread, and the most surprise of a known text.
+    surprise: np.ndarray
+    spread: float
+    limit: float
+
+    def known(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Whether each text is in a learned language at all."""
+        total, count, letters, shown = np.zeros((4, len(offsets) - 1))
+        table = np.append(self.surprise, np.float32(0))
+        for at, hi, ids, keep in _chunks(buf, offsets):
+            bounds = np.clip(offsets - at, 0, hi - at)
+            letters += B.row_sums(_LETTER[buf[at:hi]].astype(float), bounds)
+            shown += B.row_sums((~B.BLANKS)[buf[at:hi]].astype(float), bounds)
+            lo = max(0, at - 3)
+            keep &= _of_letters(buf[lo:hi])[at - lo :]
+            ids[~keep] = DIMENSIONS
+            count += B.row_sums(keep.sum(1).astype(float), bounds)
+            total += B.row_sums(table[ids].sum(1, dtype=float), bounds)
+        n = np.maximum(count, 1)
+        # a text without such an n-gram, like a single letter and a stop, is told by its letters alone
+        return (letters >= LEAST_LETTERS * shown) & (total / n <= self.limit + SHORT * self.spread / np.sqrt(n))
 
     def margins(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         n_rows, width = len(offsets) - 1, self.weights.shape[1]
@@ -174,8 +223,41 @@ def _balanced(y: np.ndarray) -> np.ndarray:
     return 0.5 / share
 
 
-def fit(features: np.ndarray, labels: list[str]) -> Model | None:
-    """Model from relative n-gram frequencies, which are scaled in place, and language labels."""
+def _surprise(x: np.ndarray, lab: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Surprise of each n-gram, and the mean and spread in the language that has most of either."""
+    p = np.stack([x[lab == k].mean(0, dtype=np.float64) + 1e-6 for k in np.unique(lab)])
+    p /= p.sum(1, keepdims=True)
+    s = -np.log(p.max(0))
+    mean = p @ s
+    return s.astype(np.float32), float(mean.max()), float(np.maximum(p @ s**2 - mean**2, 0).max()) ** 0.5
+
+
+def _calibrated(x: np.ndarray, counts: np.ndarray, lab: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """Surprise of each n-gram, its spread and the most surprise of a known text."""
+    some = counts > 0
+    x, counts, lab = x[some], counts[some], lab[some]
+    if not len(x):
+        return np.zeros(DIMENSIONS, np.float32), 0.0, np.inf
+    s, mean, spread = _surprise(x, lab)
+    half = np.zeros(len(lab), int)
+    for k in np.unique(lab):
+        half[lab == k] = np.arange((lab == k).sum()) % 2
+    beyond = []
+    for h in (0, 1):
+        # rows of a language that the other half has not are no measure
+        held = (half == h) & np.isin(lab, lab[half != h])
+        if held.any():
+            table, m, d = _surprise(x[half != h], lab[half != h])
+            beyond.append(x[held].astype(np.float32) @ table - m - SHORT * d / np.sqrt(counts[held]))
+    if not beyond:
+        return s, spread, np.inf
+    most = float(np.quantile(np.concatenate(beyond), 1 - STRAY))
+    return s, spread, mean + max(LEAST_SURPRISE, SURPRISE * most)
+
+
+def fit(features: np.ndarray, labels: list[str], letters: np.ndarray, counts: np.ndarray) -> Model | None:
+    """Model from relative n-gram frequencies, which are scaled in place, and language labels;
+    letters and counts are the frequencies and numbers of the n-grams of letters."""
     languages = sorted(set(labels))
     if not languages:
         return None
@@ -203,21 +285,31 @@ def fit(features: np.ndarray, labels: list[str]) -> Model | None:
         bias.append(b * 4)
         pairs.append((a, b_))
     weights = np.stack(cols, 1).astype(np.float32)
-    return Model(languages, families, weights, np.array(bias), pairs)
+    return Model(languages, families, weights, np.array(bias), pairs, *_calibrated(letters, counts, lab))
 
 
-@F.arrow_udf(T.BinaryType())
+_FREQUENCIES = pa.struct([("f", pa.binary()), ("letters", pa.binary()), ("n", pa.float64())])
+
+
+@F.arrow_udf(T.StructType().add("f", T.BinaryType()).add("letters", T.BinaryType()).add("n", T.DoubleType()))
 def _frequencies(text: pa.Array) -> pa.Array:
-    """Relative n-gram frequencies of each text, as float32 bytes."""
+    """Relative n-gram frequencies of each text as float32 bytes; of those of letters as float16, and their number."""
     buf, offsets = B.utf8(text)
     rows = []
     for i in range(len(offsets) - 1):
         part = buf[offsets[i] : offsets[i + 1]]
-        count = np.zeros(DIMENSIONS)
-        for _, _, ids, keep in _chunks(part, np.array([0, len(part)])):
+        count, letters = np.zeros((2, DIMENSIONS))
+        for at, hi, ids, keep in _chunks(part, np.array([0, len(part)])):
             count += np.bincount(ids[keep], minlength=DIMENSIONS)
-        rows.append((count / max(1.0, count.sum())).astype(np.float32).tobytes())
-    return pa.array(rows, pa.binary())
+            lo = max(0, at - 3)
+            keep &= _of_letters(part[lo:hi])[at - lo :]
+            letters += np.bincount(ids[keep], minlength=DIMENSIONS)
+        n = letters.sum()
+        rows.append({
+            "f": (count / max(1.0, count.sum())).astype(np.float32).tobytes(),
+            "letters": (letters / max(1.0, n)).astype(np.float16).tobytes(), "n": n,
+        })
+    return pa.array(rows, _FREQUENCIES)
 
 
 def has_letter(text: Column) -> Column:
@@ -247,15 +339,19 @@ def train(
         .select("lang", "o", _frequencies("text").alias("f"))
         .limit(2 * SAMPLE_PER_LANGUAGE * len(counts))
     )
-    got = [(r["lang"], r["o"], np.frombuffer(r["f"], np.float32)) for r in drawn.toLocalIterator()]
+    got = [
+        (r["lang"], r["o"], np.frombuffer(r["f"]["f"], np.float32), np.frombuffer(r["f"]["letters"], np.float16), r["f"]["n"])
+        for r in drawn.toLocalIterator()
+    ]
     # a fixed order makes the fit repeatable
     got.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
-    features = np.empty((len(got), DIMENSIONS), np.float32)
+    features, letters = np.empty((len(got), DIMENSIONS), np.float32), np.empty((len(got), DIMENSIONS), np.float16)
     for i, r in enumerate(got):
-        features[i] = r[2]
+        features[i], letters[i] = r[2], r[3]
+    counts = np.array([r[4] for r in got])
     labels = [r[0] for r in got]
     del got
-    return fit(features, labels)
+    return fit(features, labels, letters, counts)
 
 
 def predict(
@@ -293,6 +389,22 @@ def predict(
     return C.replace_columns(hit.drop("__hit"), "__lang", [name, score])
 
 
+def in_learned_language(text: Column, model: Model | None) -> Column:
+    """Whether a text is in one of the learned languages at all."""
+    if model is None:
+        return F.lit(False)
+
+    @F.arrow_udf("boolean")
+    def known(column: pa.Array) -> pa.Array:
+        buf, offsets = B.utf8(column)
+        out = []
+        for i, j in B.slices(offsets, B.SLICE_BYTES // 4):
+            out += model.known(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]).tolist()
+        return pa.array(out, pa.bool_())
+
+    return has_letter(text) & known(text)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; documents whose fold is 1 are held out of training."""
     docs = C.table(spark, sf_dir, "documents")

@@ -43,3 +43,20 @@ def test_pipeline(spark):
     assert first.count() == first.select("doc_id").distinct().count()
     assert got.join(docs.select("doc_id"), "doc_id", "left_anti").count() == 0
     assert got.where(F.col("text").rlike(r"[0-9a-f]{32}")).count() == 0
+
+
+STRANGE = {
+    -1: "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    -2: "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    -3: "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+    -4: "xqzv wkpj vqxz jjkq zzwv qpxk vwqj kxzq", -5: "!!! ??? 999 ### a ### 555", -6: "12 843 5519 20 77 a 8123 991 " * 20,
+}
+
+
+def test_pipeline_drops_texts_in_no_learned_language(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    strange = [(k, v, None, "web", len(v)) for k, v in STRANGE.items()]
+    both = docs.unionByName(spark.createDataFrame(strange, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = corpus_pipeline.stage_language_id(spark, both, DATA)
+    assert kept.where("doc_id < 0").count() == 0
+    assert kept.count() >= 0.998 * docs.where(F.col("text").rlike(r"\p{L}")).count()
