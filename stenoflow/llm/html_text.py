@@ -15,7 +15,8 @@ comments inside the subtree are left out by element and by class or id name.
 
 Defined cases: null and empty pages have an empty text.  A page without tags is one
 block.  Unclosed and stray tags are read as browsers do for paragraphs, list items and
-table cells, and are otherwise ignored.  Pages of any length are read whole, with a stack
+table cells, and are otherwise ignored.  Only elements of raw text run to the page's end
+without an end tag; drawings and formulas end at a page element, a selection at a block.  Pages of any length are read whole, with a stack
 instead of recursion.  Repeated rows get equal results.  Columns named like the results
 are replaced by them; other columns stay.
 """
@@ -35,8 +36,17 @@ from stenoflow.llm import common as C
 
 # Element names by their role in a page.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
-_OUT = frozenset("nav header footer aside form button menu dialog".split()) | _RAW | {"head"}
+_RAW = frozenset("script style textarea title iframe".split())
+_FOREIGN = frozenset(["svg", "math"])
+#: Elements whose tag is ignored if no end tag follows, so that the rest of the page is not part of them.
+_ENDED = frozenset("noscript template object".split())
+_OUT = frozenset("nav header footer aside form button menu dialog select".split()) | _RAW | _FOREIGN | _ENDED | {"head"}
+#: Start tags that end a drawing or formula, and elements in which they do not.
+_BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var article section main aside nav header footer".split()
+)
+_INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 _BLOCK = frozenset(
     "address article blockquote body center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 "
     "hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -44,16 +54,40 @@ _BLOCK = frozenset(
 _INLINE_LINK = frozenset(["a", "button", "select"])
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _OUT_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adverti[sz]ement|banner|breadcrumbs?|comments?|cookies?|consent|disclaimer|"
+    r"(?:ads?|advert\w*|adverti[sz]ement|banner|breadcrumbs?|comments?|cookies?|consent|disclaimer|"
     r"footer|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|pagination|popup|promo|"
-    r"related|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])",
+    r"related|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget)\Z",
     re.I,
 )
+#: Parts that a name may have besides; with any other part, as in has-sidebar, it names something else.
+_BESIDE = frozenset(
+    "site main page top bottom left right primary secondary global list bar box area section block wrapper wrap "
+    "container inner outer links link buttons form posts articles user reader id".split()
+)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?|<[!?/][^>]*>?", re.S
 )
-_NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?")
+_NONE = re.compile(r"display\s*:\s*none", re.I)
+
+
+def _named_out(name: str) -> bool:
+    parts = [x for x in re.split(r"[_-]+", name) if x]
+    marks = [bool(_OUT_NAME.match(x)) for x in parts]
+    return any(marks) and all(m or x.lower() in _BESIDE or x.isdigit() for m, x in zip(marks, parts, strict=True))
+
+
+def _marked_out(tag: str, attributes: str) -> bool:
+    """Whether the attributes hide an element or name it as none of the content."""
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or (name == "style" and _NONE.search(value)):
+            return True
+        if name == "aria-hidden" and value.strip().lower() == "true":
+            return True
+        if name in ("class", "id", "role") and tag not in ("main", "article") and any(map(_named_out, value.split())):
+            return True
+    return False
 
 
 class Node:
@@ -83,6 +117,8 @@ def parse(page: str) -> Node:
     """Tree of the page; elements that hold no content are marked out."""
     root = Node("#root", False, False)
     stack, at, n = [root], 0, len(page)
+    last_end: dict[str, int] = {}
+    opened = False
     while at < n:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -102,6 +138,20 @@ def parse(page: str) -> Node:
                 del stack[depth:]
             continue
         attributes = m.group(3) or ""
+        # the place of the drawing or formula that the tag stands in, if it is not a page's part again
+        drawn = 0
+        if opened:
+            drawn = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag in _FOREIGN | _INTEGRATION), 0)
+            opened = drawn > 0
+            if stack[drawn].tag not in _FOREIGN:
+                drawn = 0
+        if drawn and tag in _BREAKOUT:
+            del stack[drawn:]
+            drawn = 0
+        if tag in _BLOCK and tag != "hr" or tag in ("input", "textarea", "select"):
+            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag not in ("option", "optgroup")), 0)
+            if stack[k].tag == "select":
+                del stack[k:]
         if tag in _BLOCK:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
@@ -118,19 +168,30 @@ def parse(page: str) -> Node:
                     del stack[k:]
                     if tag != "tr":
                         break
+        if tag in _ENDED:
+            if tag not in last_end:
+                last_end[tag] = max((e.start() for e in re.finditer(rf"</{tag}(?=[\s/>])", page, re.I)), default=-1)
+            if last_end[tag] < at:
+                continue
         out = tag in _OUT
         if attributes and not out and tag not in ("html", "body"):
-            names = " ".join(v[1] or v[2] or v[3] for v in _NAMES.findall(attributes))
-            out = bool(names and _OUT_NAME.search(names)) or bool(_HIDDEN.search(attributes))
+            out = _marked_out(tag, attributes)
         node = Node(tag, out, tag in _INLINE_LINK)
         stack[-1].children.append(node)
         if tag in _VOID:
             continue
+        closed = attributes.endswith("/")
+        if drawn or tag in _FOREIGN:
+            # self-closing counts in drawings and formulas, and nothing in them is raw text
+            if not closed:
+                stack.append(node)
+                opened = opened or tag in _FOREIGN
+            continue
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        if not attributes.endswith("/") or tag not in _INLINE_LINK:
+        if not closed or tag not in _INLINE_LINK:
             stack.append(node)
     return root
 

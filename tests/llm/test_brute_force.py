@@ -313,3 +313,29 @@ def test_one_of_each_component_stays_under_repeated_keys(spark):
     rows = [(1, a), (1, a), (1, b), (2, a), (3, b), (4, c), (None, c), (None, "5 6 7 8 9 10"), (5, ""), (5, None)]
     got = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(str, ((r["doc_id"], r["text"]) for r in got))) == sorted(map(str, [(1, a), (1, b), (4, c), (None, "5 6 7 8 9 10"), (5, ""), (5, None)]))
+
+
+BODY = "<p>Body text that is long enough to be kept.</p>"
+KEPT = "Body text that is long enough to be kept."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body><div><svg class='i'/>{BODY}<p>More of it.</p></div></body>", f"{KEPT}\nMore of it."),
+        (f"<body><div><math/>{BODY}</div><svg><path d='x'/><text>no</text></svg></body>", KEPT),
+        (f"<body><div><svg><g><path d='x'/>{BODY}</div><svg></svg></body>", KEPT),
+        (f"<body><div><svg><svg><text>a</text></svg><text>b</text></svg>{BODY}</div></body>", KEPT),
+        (f"<body><div><select><option>a<option>b{BODY}</div></body>", KEPT),
+        (f"<body><div><noscript>{BODY}</div></body>", KEPT),
+        (f"<body><div><noscript>Off</noscript>{BODY}</div></body>", KEPT),
+        (f"<body><main class='content has-sidebar'>{BODY}</main></body>", KEPT),
+        (f"<body><article class='no-comments'>{BODY}</article></body>", KEPT),
+        (f"<body><main id='related'>{BODY}</main></body>", KEPT),
+        (f"<body><div class='elementor-widget'>{BODY}</div></body>", KEPT),
+        (f"<body><div title='a hidden gem'>{BODY}</div></body>", KEPT),
+        (f"<body><div>{BODY}<div hidden>No.</div><div class='x site-menu'>No.</div><div style='display: none'>No.</div></div></body>", KEPT),
+    ],
+)
+def test_html_keeps_what_no_mark_takes(page, text):
+    assert html_text.extract(page) == text
