@@ -5,8 +5,12 @@ entropy method adds spans: candidate strings are runs of key characters that mix
 and digits; a window moves over each candidate, its character counts are updated by one
 character in and one out, and so is the sum of c log2 c, which gives the window's entropy.
 The threshold depends on the candidate's character class (hexadecimal or mixed).  Windows
-at or above it are joined to spans.  Candidates that the allow-list matches, such as
-placeholders and counting sequences, give no entropy span; base spans always stay.
+at or above it are joined to spans.  The allow-list holds placeholders and counting
+sequences.  With fragments, as the query and the pipeline scan, a match of it is cut out of
+the candidate and the pieces beside it are measured, an anchored pattern drops a candidate
+that it matches, and candidates of letters alone are measured with a threshold of their
+own.  Without, a match anywhere drops the whole candidate, and so does a lack of digits.
+Base spans always stay.
 
 Offsets are code points of the whole text, ends exclusive.
 
@@ -39,6 +43,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Least entropy, in bits, of a window of hexadecimal and of mixed characters.
 HEX_BITS = 3.0
 MIXED_BITS = 3.7
+#: The same for candidates without a digit, where they are measured; prose reaches less.
+LETTER_BITS = 3.9
 #: Candidates that match any of these are no secrets.
 ALLOW = (
     r"(?i)example|sample|placeholder|dummy|changeme|your[_-]?",
@@ -73,7 +79,7 @@ def _hot_windows(candidate: Column) -> Column:
     """Spans (start, end) of a candidate in which windows reach the entropy of its class."""
     word = candidate["text"]
     n = F.char_length(word)
-    bits = F.when(word.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$"), HEX_BITS).otherwise(MIXED_BITS)
+    bits = F.when(word.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$"), HEX_BITS).when(~word.rlike("[0-9]"), LETTER_BITS).otherwise(MIXED_BITS)
     most = WINDOW * (F.log2(F.lit(float(WINDOW))) - bits)  # of the sum of c log2 c in a hot window
     weigh = lambda c: F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(0.0)
     code = lambda i: F.instr(F.lit(ALPHABET), F.substring(word, i, F.lit(1)))
@@ -120,6 +126,36 @@ def _hot_windows(candidate: Column) -> Column:
     )
 
 
+def _without(pieces: Column, pattern: str) -> Column:
+    """The pieces (start, end, text) with the matches of a pattern cut out."""
+
+    def cut(piece: Column) -> Column:
+        gaps = F.split(piece["text"], pattern, -1)
+        steps = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(piece["text"], F.lit(pattern), F.lit(0)).alias("hit"))
+        zero = F.struct(piece["start"].alias("at"), F.array().cast(_SPANS).alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            end = acc["at"] + F.char_length(x["gap"])
+            rest = F.struct(acc["at"].alias("start"), end.alias("end"), x["gap"].alias("text"))
+            at = end + F.coalesce(F.char_length(x["hit"]), F.lit(0))
+            return F.struct(at.alias("at"), F.concat(acc["out"], F.array(rest)).alias("out"))
+
+        return F.when(piece["text"].rlike(pattern), F.aggregate(steps, zero, step, lambda acc: acc["out"])).otherwise(F.array(piece))
+
+    return F.flatten(F.transform(pieces, cut))
+
+
+def _fragment_spans(text: Column, allow: tuple[str, ...]) -> Column:
+    pieces = _matches(text, CANDIDATE, 0, WINDOW)
+    whole = [p for p in allow if p.startswith("^")]
+    if whole:
+        pieces = F.filter(pieces, lambda c: ~reduce(lambda a, b: a | b, [c["text"].rlike(p) for p in whole]))
+    for p in allow:
+        pieces = pieces if p in whole else _without(pieces, p)
+    likely = F.filter(pieces, lambda c: (F.char_length(c["text"]) >= WINDOW) & c["text"].rlike("[A-Za-z]"))
+    return F.flatten(F.transform(likely, _hot_windows))
+
+
 def _entropy_spans(text: Column, allow: tuple[str, ...]) -> Column:
     mixes = r"[0-9][+/_=-]{0,19}[A-Za-z]|[A-Za-z][+/_=-]{0,19}[0-9]"
     likely = F.filter(
@@ -130,7 +166,7 @@ def _entropy_spans(text: Column, allow: tuple[str, ...]) -> Column:
 
 
 def scan(
-    df: DataFrame, *, text: str = "text", to: str = "secrets", allow: tuple[str, ...] = ALLOW
+    df: DataFrame, *, text: str = "text", to: str = "secrets", allow: tuple[str, ...] = ALLOW, fragments: bool = False
 ) -> DataFrame:
     """df with an array of (kind, start, end), ordered by start, then as the kinds are listed."""
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -145,7 +181,7 @@ def scan(
         )
 
     found = [kind(i, k, _matches(t, *p)) for i, (k, p) in enumerate(KINDS.items())]
-    found.append(kind(len(KINDS), "entropy", _entropy_spans(t, allow)))
+    found.append(kind(len(KINDS), "entropy", (_fragment_spans if fragments else _entropy_spans)(t, allow)))
     listed = F.transform(
         F.array_sort(F.concat(*found)), lambda s: F.struct(s["kind"], s["start"], s["end"])
     )
@@ -178,7 +214,7 @@ def redact(text: Column, spans: Column, mask: str = "[secret]") -> Column:
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = scan(docs).drop("text")
+    found = scan(docs, fragments=True).drop("text")
     base = F.filter("secrets", lambda s: s["kind"] != "entropy")
     count = lambda k: F.size(F.filter("secrets", lambda s: s["kind"] == k)).cast("long")
     return found.select(

@@ -339,3 +339,25 @@ KEPT = "Body text that is long enough to be kept."
 )
 def test_html_keeps_what_no_mark_takes(page, text):
     assert html_text.extract(page) == text
+
+
+def test_allowed_words_hide_no_secret_beside_them(spark):
+    import corpus_pipeline
+
+    key, letters = "q7Zp2Lx9Vb4Nc8Tr1Wm6Kd3Hs5", "qWxZvBkPjYmGtRhNcLdFsUaE"
+    found = {
+        f"see bucket/example-prod/{key} now": key, f"for=your-app-{key}": key, f"{'A' * 12}/{key}": key,
+        f"a {letters} b": letters, f"your_key/{letters}": letters,
+    }
+    none = [
+        "123e4567-e89b-12d3-a456-426614174000", "placeholder-your-example", "0123456789abcdef0123456789", "A" * 60,
+        "the-quick-brown-fox-jumps-over-the-lazy-dog", "Donaudampfschifffahrtsgesellschaft", "getElementsByClassName",
+    ]
+    df = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate([*found, *none])], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["text"]: r["s"] for r in secrets.scan(df, to="s", fragments=True).select("text", "s").collect()}
+    for text, secret in found.items():
+        a = text.index(secret)
+        assert any(s["start"] <= a + 4 and s["end"] >= a + len(secret) - 4 for s in got[text]), text
+    assert not any(got[text] for text in none)
+    masked = {r["doc_id"]: r["text"] for r in corpus_pipeline.stage_secret_scan(spark, df, DATA).collect()}
+    assert all(secret[4:-4] not in masked[i] for i, secret in enumerate(found.values()))
