@@ -1,14 +1,18 @@
 """Exact top-k search with BM25, by block-max WAND over shards of an inverted index.
 
-Every batch of a partition of the documents is a shard.  A shard indexes all its documents:
-postings with impacts from global statistics, and for each term its largest impact in every
-block of BLOCK documents.  For a query, a document's bound is the sum of its postings of rare
-terms and of the block maxima of frequent terms; documents are visited from the highest bound
-down and scored on all terms, and the visit ends when no bound reaches the k-th score so far.
-The k-th score starts from a bounded sample of documents that was searched before, so every
-shard prunes from its first document on; a subset's k-th score never exceeds that of the
-whole, which keeps the search exact.  Shards return what reaches it, and the best k of all
-shards are merged by Spark.
+A partition of the documents is a shard; it is indexed in segments (its Arrow batches), and
+the best k of every query and their least score, the threshold, go from segment to segment.
+In a segment the query's terms are ordered by the most that each can add.  The pivot is the
+first term at which these sums reach the threshold: a document without the pivot or a later
+term cannot be found, so only the postings from the pivot on are read.  Documents that they
+reach get a bound: what those postings add, and for the terms before the pivot the block
+maxima of the document's block.  Blocks in which no bound reaches the threshold are
+skipped; in the others documents are scored by falling bound while the threshold rises.
+
+Thresholds start from a ladder of samples: the sample of one in SAMPLE_STEP documents is
+searched first, with thresholds from the sample of one in SAMPLE_STEP of it, and so on.  A
+subset's k-th score never exceeds that of the whole, which keeps the search exact, and a
+query's rows out of all shards are about k x SAMPLE_STEP, however many shards there are.
 
 Global statistics are the number of documents, their mean length, and the document
 frequency of every query term, counted over all documents.  Queries are a stated set and go
@@ -19,8 +23,9 @@ score = sum of log(1 + (N - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 *
 
 Defined cases: null and empty texts are never found and find nothing; a document that holds
 no query term is not returned, so a query may have fewer than k rows; equal scores (to 9
-decimals) rank by key, null keys last; repeated rows are separate documents; empty tables
-give no rows; other columns are not returned.
+decimals) rank by key, null keys last; repeated rows are separate documents, and rows of
+queries with one key are separate queries with equal rows; empty tables give no rows; other
+columns are not returned.
 """
 
 from __future__ import annotations
@@ -30,6 +35,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,13 +45,14 @@ from stenoflow.llm import common as C
 K = 10
 K1, B_LENGTH = 1.2, 0.75
 #: Documents per block of the index.
-BLOCK = 32
-#: Terms in at most this share of a shard's documents are summed before the pruning.
-RARE = 0.3
+BLOCK = 64
 #: (query, term) pairs that go to the shards at once, at most about.
 QUERY_POSTINGS = 4_000_000
-#: Documents searched first for a lower bound of each query's k-th score.
-SAMPLE_DOCUMENTS = 3_000
+#: Each sample of the ladder is one in so many documents of the next, down to SAMPLE_LEAST.
+SAMPLE_STEP = 8
+SAMPLE_LEAST = 4_000
+#: Room for sums of floats in another order.
+SLACK = 1e-7
 
 _TABLE = B.byte_table(True, B.ALNUM)
 
@@ -85,11 +92,23 @@ class Queries:
         self.terms, at = np.unique(flat, return_inverse=True)
         self.at = at.astype(np.int32)
         self.bounds = np.cumsum([0] + [len(h) for h in hashes])
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def of(self, q: int) -> np.ndarray:
+        return self.at[self.bounds[q] : self.bounds[q + 1]].astype(np.int64)
+
+
+class Places:
+    """Which hashes are query terms, and where."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
         self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[(self.terms >> np.uint64(42)).astype(np.int64)] = True
+        self.maybe[(terms >> np.uint64(42)).astype(np.int64)] = True
 
-    def places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the hashes are query terms, and where."""
+    def __call__(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(self.maybe[(h >> np.uint64(42)).astype(np.int64)])
         if not len(at):
             return at, at
@@ -98,14 +117,14 @@ class Queries:
         return at[ok], place[ok]
 
 
-def postings(buf: np.ndarray, offsets: np.ndarray, queries: Queries):
+def postings(buf: np.ndarray, offsets: np.ndarray, places: Places):
     """(document, term, tf) sorted by document and term, and the documents' lengths."""
     docs, terms, counts, lengths = [], [], [], []
-    t = max(1, len(queries.terms))
+    t = max(1, len(places.terms))
     for i, j in B.slices(offsets, 4 * B.SLICE_BYTES):
         h, bounds = terms_of(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         lengths.append(np.diff(bounds))
-        at, place = queries.places(h)
+        at, place = places(h)
         row = np.searchsorted(bounds, at, "right") - 1
         key, count = np.unique((row + i) * t + place, return_counts=True)
         docs.append(key // t)
@@ -115,51 +134,43 @@ def postings(buf: np.ndarray, offsets: np.ndarray, queries: Queries):
     return join(docs, np.int64), join(terms, np.int64), join(counts, np.float64), join(lengths, np.float64)
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch], queries: Queries) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(len(queries.terms), np.int64)
+def _frequencies(batches: Iterator[pa.RecordBatch], terms: np.ndarray) -> Iterator[pa.RecordBatch]:
+    total, places = np.zeros(len(terms), np.int64), Places(terms)
     for batch in batches:
-        _, term, _, _ = postings(*B.utf8(batch.column("text")), queries)
+        _, term, _, _ = postings(*B.utf8(batch.column("text")), places)
         total += np.bincount(term, minlength=len(total))
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
 
 
-class Shard:
+class Segment:
     """Inverted index of some documents for a block of queries."""
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, queries: Queries, idf: np.ndarray, mean: float):
-        doc, term, tf, length = postings(buf, offsets, queries)
-        self.size, self.n_terms = len(length), len(queries.terms)
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, places: Places, idf: np.ndarray, mean: float, rank: np.ndarray):
+        doc, term, tf, length = postings(buf, offsets, places)
+        self.size, self.rank = len(length), rank
+        n_terms = len(places.terms)
         norm = K1 * (1 - B_LENGTH + B_LENGTH * length / max(mean, 1e-9))
-        self.impact = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
-        self.term = term
+        # the documents' terms
+        self.term, self.impact = term, idf[term] * tf * (K1 + 1) / (tf + norm[doc])
         self.doc_at = np.searchsorted(doc, np.arange(self.size + 1))
-        # postings and block maxima by term
-        by = np.lexsort((doc, term))
-        t, d, v = term[by], doc[by], self.impact[by]
-        self.inv_doc, self.inv_impact = d, v
-        self.inv_at = np.searchsorted(t, np.arange(self.n_terms + 1))
-        self.blocks, b = -(-self.size // BLOCK), d // BLOCK
-        first = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (b[1:] != b[:-1])])) if len(t) else by
-        self.block = b[first]
-        self.block_max = np.maximum.reduceat(v, first) if len(first) else v
-        self.block_at = np.searchsorted(t[first], np.arange(self.n_terms + 1))
-        self.weight = np.zeros(self.n_terms + 1)
-
-    def bounds(self, terms: np.ndarray) -> np.ndarray:
-        """Of every document, what its score does not exceed.
-
-        Postings of rare terms are summed as they are, frequent terms count with the maximum
-        of the document's block.
-        """
-        n = self.inv_at[terms + 1] - self.inv_at[terms]
-        rare = n <= max(BLOCK, RARE * self.size)
-        at = _ranges(self.inv_at[terms[rare]], n[rare])
-        bound = np.bincount(self.inv_doc[at], self.inv_impact[at], minlength=self.size)
-        often = terms[~rare]
-        at = _ranges(self.block_at[often], self.block_at[often + 1] - self.block_at[often])
-        most = np.bincount(self.block[at], self.block_max[at], minlength=self.blocks)
-        return bound + np.repeat(most, BLOCK)[: self.size]
+        # postings by term, their maxima, and for frequent terms those of each block
+        by = np.argsort(term, kind="stable")
+        self.inv_doc, self.inv_impact = doc[by], self.impact[by]
+        count = np.bincount(term, minlength=n_terms)
+        self.inv_at = np.concatenate([[0], np.cumsum(count)])
+        self.most = np.zeros(n_terms)
+        held = np.flatnonzero(count)
+        if len(held):
+            self.most[held] = np.maximum.reduceat(self.inv_impact, self.inv_at[held])
+        self.blocks = -(-self.size // BLOCK)
+        often = np.flatnonzero(count > self.blocks)
+        self.row = np.full(n_terms, -1)
+        self.row[often] = np.arange(len(often))
+        self.block_max = np.zeros((len(often), max(1, self.blocks)))
+        row = self.row[term]
+        np.maximum.at(self.block_max, (row[row >= 0], doc[row >= 0] // BLOCK), self.impact[row >= 0])
+        self.weight = np.zeros(n_terms)
 
     def scores(self, docs: np.ndarray) -> np.ndarray:
         """Scores of documents for the terms whose weight is set."""
@@ -169,31 +180,50 @@ class Shard:
         ends = np.cumsum(n)
         return total[ends] - total[ends - n]
 
-    def search(self, terms: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
-        """The best k documents of those that reach the floor, and their scores.
-
-        Documents are visited by falling bound, in growing steps, until no bound reaches the
-        k-th score.
-        """
-        bound = self.bounds(terms)
-        live = np.flatnonzero(bound + 1e-7 >= max(floor, 1e-9))
+    def candidates(self, terms: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Documents whose bound reaches the threshold, and their bounds."""
+        terms = terms[self.most[terms] > 0]
+        terms = terms[np.argsort(self.most[terms], kind="stable")]
+        pivot = int(np.searchsorted(np.cumsum(self.most[terms]), threshold - SLACK))
+        before, after = terms[:pivot], terms[pivot:]
+        at = _ranges(self.inv_at[after], self.inv_at[after + 1] - self.inv_at[after])
+        read = np.bincount(self.inv_doc[at], self.inv_impact[at], minlength=self.size)
+        rows = self.row[before]
+        more = self.block_max[rows[rows >= 0]].sum(0) + self.most[before[rows < 0]].sum()
+        least = max(threshold, 1e-9) - SLACK
+        docs = np.flatnonzero((read > 0) & (read + np.repeat(more, BLOCK)[: self.size] >= least))
+        return docs, read[docs] + more[docs // BLOCK]
+
+    def search(self, terms: np.ndarray, k: int, threshold: float) -> list[tuple[float, int]]:
+        """(score, document) of the best k documents that reach the threshold."""
+        live, bound = self.candidates(terms, threshold)
         docs, scores, step = np.zeros(0, np.int64), np.zeros(0), 4 * k
         self.weight[terms] = 1
         while len(live):
             if len(live) > step:
-                cut = np.argpartition(bound[live], -step)
-                now, live = live[cut[-step:]], live[cut[:-step]]
+                cut = np.argpartition(bound, -step)
+                now, live, bound = live[cut[-step:]], live[cut[:-step]], bound[cut[:-step]]
             else:
-                now, live = live, live[:0]
+                now, live, bound = live, live[:0], bound[:0]
             docs, scores = np.concatenate([docs, now]), np.concatenate([scores, self.scores(now)])
-            least = max(floor, np.partition(scores, -k)[-k] if len(scores) >= k else 0.0)
-            # ties at the k-th score stay, the merge ranks them by key
-            keep = (scores > 1e-9) & (scores + 1e-7 >= least)
+            if len(scores) > k:
+                threshold = max(threshold, np.partition(scores, -k)[-k])
+            keep = (scores > 1e-9) & (scores + SLACK >= threshold)
             docs, scores = docs[keep], scores[keep]
-            live = live[bound[live] + 1e-7 >= least]
+            wanted = bound + SLACK >= threshold
+            live, bound = live[wanted], bound[wanted]
             step *= 4
+        found = [(self.exact(d), d) for d in docs.tolist()]
         self.weight[terms] = 0
-        return docs, scores
+        if len(found) > k:
+            found = sorted(found, key=lambda x: (-x[0], self.rank[x[1]]))[:k]
+        return found
+
+    def exact(self, d: int) -> float:
+        """The score of a document for the terms whose weight is set, whatever the order of its terms."""
+        a, b = self.doc_at[d], self.doc_at[d + 1]
+        v = self.impact[a:b][self.weight[self.term[a:b]] > 0]
+        return round(float(np.sort(v).sum()), 9)
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -204,31 +234,35 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def _exact(shard: Shard, d: int, terms: np.ndarray) -> float:
-    a, b = shard.doc_at[d], shard.doc_at[d + 1]
-    hit = np.isin(shard.term[a:b], terms, assume_unique=True)
-    return float(np.sort(shard.impact[a:b][hit]).sum())
+def _order(hit: tuple) -> tuple:
+    return -hit[0], hit[1] is None, hit[1]
 
 
 def _search(
     batches: Iterator[pa.RecordBatch], queries: Queries, idf: np.ndarray, mean: float, floors: np.ndarray, k: int
 ) -> Iterator[pa.RecordBatch]:
+    """(q, found, score): the best k documents of the shard for every query, if they reach its floor."""
+    places = Places(queries.terms)
+    best: dict[int, list[tuple]] = {}
+    threshold, kind = floors.copy(), None
     for batch in batches:
-        shard = Shard(*B.utf8(batch.column("text")), queries, idf, mean)
-        q_out, d_out, s_out = [], [], []
-        for q in range(len(queries.bounds) - 1):
-            terms = queries.at[queries.bounds[q] : queries.bounds[q + 1]].astype(np.int64)
-            docs, _ = shard.search(terms, k, floors[q]) if len(terms) else ((), ())
-            for d in docs:
-                q_out.append(q)
-                d_out.append(d)
-                s_out.append(_exact(shard, d, terms))
+        keys = batch.column("key")
+        kind = keys.type
+        rank = pc.rank(keys, sort_keys="ascending", null_placement="at_end", tiebreaker="first").to_numpy()
+        segment = Segment(*B.utf8(batch.column("text")), places, idf, mean, rank)
+        for q in range(len(queries)):
+            terms = queries.of(q)
+            hits = segment.search(terms, k, threshold[q]) if len(terms) else ()
+            if not hits:
+                continue
+            top = sorted([*best.get(q, ()), *((s, keys[d].as_py()) for s, d in hits)], key=_order)[:k]
+            best[q] = top
+            if len(top) == k:
+                threshold[q] = max(threshold[q], top[-1][0])
+    if best:
+        rows = [(q, *hit) for q, top in best.items() for hit in top]
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(q_out, pa.int32()),
-                batch.column("key").take(pa.array(d_out, pa.int64())),
-                pa.array(np.round(s_out, 9), pa.float64()),
-            ],
+            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[2] for r in rows], kind), pa.array([r[1] for r in rows], pa.float64())],
             names=["q", "found", "score"],
         )
 
@@ -246,6 +280,16 @@ def _blocks(rows: DataFrame) -> Iterator[tuple[list, list[np.ndarray]]]:
         yield keys, terms
 
 
+def _shares(n: int) -> list[float]:
+    """Shares of the ladder's samples, least first."""
+    shares = []
+    share = 1 / SAMPLE_STEP
+    while n * share > SAMPLE_LEAST / SAMPLE_STEP:
+        shares.append(share)
+        share /= SAMPLE_STEP
+    return shares[::-1]
+
+
 def search(
     df: DataFrame, queries: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = K
 ) -> DataFrame:
@@ -261,38 +305,38 @@ def search(
     )
     n = stats["n"] or 0
     mean = (stats["words"] or 0) / max(1, n)
-    sample = docs.where(C.unit_hash(F.col("key"), F.lit("search")) < SAMPLE_DOCUMENTS / max(1, n))
     rows = C.cut(asked.mapInArrow(_query_rows, f"key {kind}, terms binary"))
+    schema = f"q int, found {kind}, score double"
+    order = Window.partitionBy("q").orderBy(F.desc("score"), F.col("found").asc_nulls_last())
     parts = []
     for keys, terms in _blocks(rows):
         block = Queries(terms)
         df_count = np.zeros(len(block.terms))
         counted = (
-            docs.select("text").mapInArrow(partial(_frequencies, queries=block), "at long, n long")
+            docs.select("text").mapInArrow(partial(_frequencies, terms=block.terms), "at long, n long")
             .groupBy("at").agg(F.sum("n").alias("n")).toArrow()
         )
         df_count[counted.column("at").to_numpy()] = counted.column("n").to_numpy()
         idf = np.log(1 + (n - df_count + 0.5) / (df_count + 0.5))
-        schema = f"q int, found {kind}, score double"
         run = partial(_search, queries=block, idf=idf, mean=mean, k=k)
+        best = lambda d, floors: d.mapInArrow(partial(run, floors=floors), schema).withColumn(
+            "rank", F.row_number().over(order)
+        )
         floors = np.zeros(len(keys))
-        first = sample.mapInArrow(partial(run, floors=floors), schema)
-        ranked = first.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"))))
-        for r in ranked.where(F.col("r") == k).select("q", "score").toLocalIterator():
-            floors[r["q"]] = r["score"]
+        for share in _shares(n):
+            sample = docs.where(C.unit_hash(F.col("key"), F.col("text"), F.lit("search")) < share)
+            # a sample of few rows is one shard
+            ranked = best(sample.coalesce(max(1, int(n * share / SAMPLE_LEAST))), floors)
+            for r in ranked.where(F.col("rank") == k).select("q", "score").toLocalIterator():
+                floors[r["q"]] = max(floors[r["q"]], r["score"])
         named = spark.createDataFrame([(i, x) for i, x in enumerate(keys)], f"q int, query {kind}")
-        order = Window.partitionBy("q").orderBy(F.desc("score"), F.col("found").asc_nulls_last())
-        reached = docs.mapInArrow(partial(run, floors=floors), schema).withColumn("r", F.row_number().over(order))
-        parts.append(C.cut(reached.where(F.col("r") <= k).join(named, "q").drop("q", "r")))
+        parts.append(C.cut(best(docs, floors).where(F.col("rank") <= k).join(named, "q").select("query", "rank", "found", "score")))
     if not parts:
         return spark.createDataFrame([], f"query {kind}, rank int, found {kind}, score double")
     found = parts[0]
     for p in parts[1:]:
         found = found.union(p)
-    best = Window.partitionBy("query").orderBy(F.desc("score"), F.col("found").asc_nulls_last())
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query", "rank", "found", "score"
-    )
+    return found
 
 
 def asked(key: Column) -> Column:
@@ -305,5 +349,25 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
     found = search(docs, docs.where(asked(F.col("doc_id"))))
     return found.select(
-        F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("found").alias("doc_id"), "score"
+        F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), F.col("found").alias("doc_id"), F.round("score", 6).alias("score")
     )
+
+
+OP6_SQL = r"""
+WITH w AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM documents),
+p AS (SELECT doc_id, term, CAST(count(*) AS DOUBLE) AS tf FROM w GROUP BY ALL),
+l AS (SELECT doc_id, sum(tf) AS length FROM p GROUP BY 1),
+g AS (SELECT count(*) AS n, (SELECT sum(length) FROM l) / count(*) AS mean FROM documents),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY 1),
+i AS (
+  SELECT p.doc_id, p.term, ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * length / mean)) AS impact
+  FROM p JOIN l USING (doc_id) JOIN f USING (term), g),
+s AS (
+  SELECT q.doc_id AS query_id, i.doc_id, round(sum(impact ORDER BY impact), 9) AS score
+  FROM p q JOIN i USING (term) WHERE q.doc_id % 50 = 0 GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10
+"""

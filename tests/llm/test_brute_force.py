@@ -203,7 +203,39 @@ def test_search(spark, docs):
                 score[i] = round(s, 9)
         want = sorted(score.items(), key=lambda x: (-x[1], x[0]))[:10]
         assert [s for s, _ in got[q]] == pytest.approx([s for _, s in want], abs=1e-5)
-        assert [d for _, d in got[q]][:3] == [d for d, _ in want][:3]
+        assert [d for _, d in got[q]] == [d for d, _ in want]
+
+
+def test_search_of_shards_segments_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "SAMPLE_LEAST", 40)
+    monkeypatch.setattr(topk_search, "BLOCK", 4)
+    monkeypatch.setattr(topk_search, "QUERY_POSTINGS", 60)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 30)
+    try:
+        r = random.Random(9)
+        rows = [(i, " ".join(f"w{int(r.paretovariate(0.7)) % 50}" for _ in range(r.randint(0, 25)))) for i in range(600)]
+        rows += [(1000 + i, "w1 w2 w3 tie") for i in range(120)] + [(1050, "w1 w2 w3 tie"), (None, "w1 w2 w3 tie"), (2000, None)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        asked = df.where("doc_id % 37 = 0 or doc_id is null or doc_id = 1050")
+        got = collections.defaultdict(list)
+        for x in topk_search.search(df, asked).collect():
+            got[x["query"]].append((x["rank"], x["found"], round(x["score"], 8)))
+        tf = [(i, collections.Counter((t or "").split())) for i, t in rows]
+        df_ = collections.Counter(w for _, c in tf for w in c)
+        n, mean = len(tf), sum(sum(c.values()) for _, c in tf) / len(tf)
+        want = collections.defaultdict(list)
+        for q, terms in tf:
+            if not (q is None or q % 37 == 0 or q == 1050):
+                continue
+            score = []
+            for i, c in tf:
+                norm = 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)
+                s = sum(math.log(1 + (n - df_[w] + 0.5) / (df_[w] + 0.5)) * c[w] * 2.2 / (c[w] + norm) for w in terms if w in c)
+                score += [(-round(s, 9), i is None, i)] if s > 0 else []
+            want[q] += [(k, i, round(-s, 8)) for k, (s, _, i) in enumerate(sorted(score)[:10], 1)]
+        assert {q: sorted(v) for q, v in got.items()} == {q: sorted(v) for q, v in want.items() if v}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def jaccard_components(rows):
