@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 import tempfile
 import uuid
@@ -33,20 +34,23 @@ def ship(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for cut lineage; a session without one gets a folder of its own."""
+    """The cluster's shared folder for cut lineage; only a session on this machine alone gets a folder of its own."""
     sc = spark.sparkContext
     place = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if place is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("a cluster needs a shared folder in spark.checkpoint.dir")
         place = tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp")
-    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(place)
-    return place
+    return place.rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from there."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write df as a table in the shared checkpoint folder, once, and go on from there."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/cut-{run_id(spark)}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,13 +1,14 @@
 """Exact top-k search with BM25, by block-max WAND over shards of an inverted index.
 
-A partition of the documents is a shard; it is indexed in segments (its Arrow batches), and
-the best k of every query and their least score, the threshold, go from segment to segment.
-In a segment the query's terms are ordered by the most that each can add.  The pivot is the
-first term at which these sums reach the threshold: a document without the pivot or a later
-term cannot be found, so only the postings from the pivot on are read.  Documents that they
-reach get a bound: what those postings add, and for the terms before the pivot the block
-maxima of the document's block.  Blocks in which no bound reaches the threshold are
-skipped; in the others documents are scored by falling bound while the threshold rises.
+A partition of the documents is a shard; it is indexed in segments (parts of its Arrow
+batches), and the best k of every query and their least score, the threshold, go from segment
+to segment.  A segment's documents are put in blocks of documents that share frequent terms.
+In each block the query's terms are ordered with frequent ones, which add least, first: their
+block maxima are summed, and where they do not reach the threshold, the pivot is a rare term
+and only documents with postings of rare terms can be found.  Blocks in which no document's
+bound (postings of rare terms plus block maxima of frequent ones) reaches the threshold are
+skipped; in the others documents are scored.  Bounds and scores of many queries are one
+matrix product a block.
 
 Thresholds start from a ladder of samples: the sample of one in SAMPLE_STEP documents is
 searched first, with thresholds from the sample of one in SAMPLE_STEP of it, and so on.  A
@@ -51,8 +52,14 @@ QUERY_POSTINGS = 4_000_000
 #: Each sample of the ladder is one in so many documents of the next, down to SAMPLE_LEAST.
 SAMPLE_STEP = 8
 SAMPLE_LEAST = 4_000
-#: Room for sums of floats in another order.
-SLACK = 1e-7
+#: Share of a score that sums of 32-bit floats may be off by; scores returned are of 64 bits.
+SLACK = 1e-4
+#: Bytes of text in a segment, and queries searched in it together, at most about.
+SEGMENT_BYTES = 32 << 20
+TOGETHER = 256
+#: Terms in more than this share of a segment's documents are frequent, as long as their table
+#: has room; this bounds memory and changes no result.
+FREQUENT, DENSE_CELLS = 1 / 16, 12_000_000
 
 _TABLE = B.byte_table(True, B.ALNUM)
 
@@ -144,86 +151,102 @@ def _frequencies(batches: Iterator[pa.RecordBatch], terms: np.ndarray) -> Iterat
 
 
 class Segment:
-    """Inverted index of some documents for a block of queries."""
+    """Inverted index of some documents for a block of queries.
 
-    def __init__(self, buf: np.ndarray, offsets: np.ndarray, places: Places, idf: np.ndarray, mean: float, rank: np.ndarray):
+    Documents are numbered anew so that blocks hold documents that share frequent terms, which
+    keeps block maxima close to the impacts.  Frequent terms are held as a dense table of
+    documents and one of block maxima, rare terms as postings.
+    """
+
+    def __init__(self, buf: np.ndarray, offsets: np.ndarray, places: Places, idf: np.ndarray, mean: float):
         doc, term, tf, length = postings(buf, offsets, places)
-        self.size, self.rank = len(length), rank
-        n_terms = len(places.terms)
+        self.size, n_terms = len(length), len(places.terms)
         norm = K1 * (1 - B_LENGTH + B_LENGTH * length / max(mean, 1e-9))
-        # the documents' terms
-        self.term, self.impact = term, idf[term] * tf * (K1 + 1) / (tf + norm[doc])
+        impact = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
+        self.term, self.impact = term, impact
         self.doc_at = np.searchsorted(doc, np.arange(self.size + 1))
-        # postings by term, their maxima, and for frequent terms those of each block
-        by = np.argsort(term, kind="stable")
-        self.inv_doc, self.inv_impact = doc[by], self.impact[by]
+        self.weight = np.zeros(n_terms)
         count = np.bincount(term, minlength=n_terms)
-        self.inv_at = np.concatenate([[0], np.cumsum(count)])
-        self.most = np.zeros(n_terms)
-        held = np.flatnonzero(count)
-        if len(held):
-            self.most[held] = np.maximum.reduceat(self.inv_impact, self.inv_at[held])
-        self.blocks = -(-self.size // BLOCK)
-        often = np.flatnonzero(count > self.blocks)
+        often = np.flatnonzero(count > max(self.size * FREQUENT, 8))
+        often = often[np.argsort(-count[often], kind="stable")][: DENSE_CELLS // max(1, self.size)]
         self.row = np.full(n_terms, -1)
         self.row[often] = np.arange(len(often))
-        self.block_max = np.zeros((len(often), max(1, self.blocks)))
-        row = self.row[term]
-        np.maximum.at(self.block_max, (row[row >= 0], doc[row >= 0] // BLOCK), self.impact[row >= 0])
-        self.weight = np.zeros(n_terms)
-
-    def scores(self, docs: np.ndarray) -> np.ndarray:
-        """Scores of documents for the terms whose weight is set."""
+        dense = np.zeros((self.size, len(often)), np.float32)
+        of_often = self.row[term] >= 0
+        dense[doc[of_often], self.row[term[of_often]]] = impact[of_often]
+        parts = _alike(dense, np.arange(self.size))
+        #: Documents by place, and where the blocks begin.
+        self.docs = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        self.starts = np.cumsum([0, *map(len, parts)])
+        self.dense = dense[self.docs]
+        self.block_max = np.maximum.reduceat(self.dense, self.starts[:-1], axis=0) if parts else dense
+        place = np.empty(self.size, np.int64)
+        place[self.docs] = np.arange(self.size)
+        rare_doc, rare_term, rare_impact = doc[~of_often], term[~of_often], impact[~of_often]
+        by = np.argsort(rare_term, kind="stable")
+        self.inv_place, self.inv_impact = place[rare_doc[by]], rare_impact[by]
+        self.inv_at = np.concatenate([[0], np.cumsum(np.bincount(rare_term, minlength=n_terms))])
+
+    def search(self, asked: list[np.ndarray], k: int, thresholds: np.ndarray, rank: np.ndarray) -> Iterator[list[tuple[float, int]]]:
+        """Of every query, the (score, document) of the best k documents that reach its threshold."""
+        if not self.size:
+            yield from ([] for _ in asked)
+            return
+        n = len(asked)
+        frequent = np.zeros((n, self.dense.shape[1]), np.float32)
+        read = np.zeros((n, self.size), np.float32)
+        for i, terms in enumerate(asked):
+            row = self.row[terms]
+            frequent[i, row[row >= 0]] = 1
+            rare = terms[row < 0]
+            at = _ranges(self.inv_at[rare], self.inv_at[rare + 1] - self.inv_at[rare])
+            read[i] = np.bincount(self.inv_place[at], self.inv_impact[at], minlength=self.size)
+        # sums of 32-bit floats are off by less than this
+        least = np.maximum(thresholds, 1e-6) * (1 - SLACK)
+        # what frequent terms can add at most in each block; where that does not reach the threshold, the pivot
+        # is a rare term, and a block in which the postings of rare terms lift no document to it is skipped
+        bound = frequent @ self.block_max.T + np.maximum.reduceat(read, self.starts[:-1], axis=1)
+        live = bound >= least[:, None]
+        score = np.full((n, self.size), -1, np.float32)
+        for b in np.flatnonzero(live.any(0)):
+            which, part = np.flatnonzero(live[:, b]), slice(self.starts[b], self.starts[b + 1])
+            score[which, part] = read[which, part] + frequent[which] @ self.dense[part].T
+        for i, terms in enumerate(asked):
+            s, low = score[i], least[i]
+            found = np.flatnonzero(s >= low)
+            if len(found) > k:
+                low = max(low, np.partition(s[found], -k)[-k] * (1 - SLACK))
+                found = found[s[found] >= low]
+            yield self._best(self.docs[found], terms, k, rank) if len(found) else []
+
+    def _best(self, docs: np.ndarray, terms: np.ndarray, k: int, rank: np.ndarray) -> list[tuple[float, int]]:
+        """The best k of some documents by their exact scores, equal ones by rank."""
         n = self.doc_at[docs + 1] - self.doc_at[docs]
         at = _ranges(self.doc_at[docs], n)
-        total = np.concatenate([[0.0], np.cumsum(self.impact[at] * self.weight[self.term[at]])])
-        ends = np.cumsum(n)
-        return total[ends] - total[ends - n]
-
-    def candidates(self, terms: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-        """Documents whose bound reaches the threshold, and their bounds."""
-        terms = terms[self.most[terms] > 0]
-        terms = terms[np.argsort(self.most[terms], kind="stable")]
-        pivot = int(np.searchsorted(np.cumsum(self.most[terms]), threshold - SLACK))
-        before, after = terms[:pivot], terms[pivot:]
-        at = _ranges(self.inv_at[after], self.inv_at[after + 1] - self.inv_at[after])
-        read = np.bincount(self.inv_doc[at], self.inv_impact[at], minlength=self.size)
-        rows = self.row[before]
-        more = self.block_max[rows[rows >= 0]].sum(0) + self.most[before[rows < 0]].sum()
-        least = max(threshold, 1e-9) - SLACK
-        docs = np.flatnonzero((read > 0) & (read + np.repeat(more, BLOCK)[: self.size] >= least))
-        return docs, read[docs] + more[docs // BLOCK]
-
-    def search(self, terms: np.ndarray, k: int, threshold: float) -> list[tuple[float, int]]:
-        """(score, document) of the best k documents that reach the threshold."""
-        live, bound = self.candidates(terms, threshold)
-        docs, scores, step = np.zeros(0, np.int64), np.zeros(0), 4 * k
         self.weight[terms] = 1
-        while len(live):
-            if len(live) > step:
-                cut = np.argpartition(bound, -step)
-                now, live, bound = live[cut[-step:]], live[cut[:-step]], bound[cut[:-step]]
-            else:
-                now, live, bound = live, live[:0], bound[:0]
-            docs, scores = np.concatenate([docs, now]), np.concatenate([scores, self.scores(now)])
-            if len(scores) > k:
-                threshold = max(threshold, np.partition(scores, -k)[-k])
-            keep = (scores > 1e-9) & (scores + SLACK >= threshold)
-            docs, scores = docs[keep], scores[keep]
-            wanted = bound + SLACK >= threshold
-            live, bound = live[wanted], bound[wanted]
-            step *= 4
-        found = [(self.exact(d), d) for d in docs.tolist()]
+        # summed in the order of the terms, so equal documents have equal scores
+        exact = np.bincount(np.repeat(np.arange(len(docs)), n), self.impact[at] * self.weight[self.term[at]], minlength=len(docs))
         self.weight[terms] = 0
-        if len(found) > k:
-            found = sorted(found, key=lambda x: (-x[0], self.rank[x[1]]))[:k]
-        return found
-
-    def exact(self, d: int) -> float:
-        """The score of a document for the terms whose weight is set, whatever the order of its terms."""
-        a, b = self.doc_at[d], self.doc_at[d + 1]
-        v = self.impact[a:b][self.weight[self.term[a:b]] > 0]
-        return round(float(np.sort(v).sum()), 9)
+        exact = np.round(exact, 9)
+        order = np.lexsort((rank[docs], -exact))[:k]
+        return [(float(exact[j]), int(docs[j])) for j in order if exact[j] > 0]
+
+
+def _alike(dense: np.ndarray, docs: np.ndarray) -> list[np.ndarray]:
+    """Blocks of documents that share frequent terms, by halving along the direction of most variance."""
+    if not len(docs):
+        return []
+    if len(docs) <= BLOCK or not dense.shape[1]:
+        return [docs[i : i + BLOCK] for i in range(0, len(docs), BLOCK)]
+    x = dense[docs]
+    x -= x.mean(0)
+    v = np.linspace(1, 2, x.shape[1], dtype=np.float32)
+    for _ in range(4):
+        v = x.T @ (x @ v)
+        v /= np.linalg.norm(v) + np.float32(1e-9)
+    half = len(docs) // 2
+    order = np.argsort(x @ v, kind="stable")
+    return _alike(dense, docs[order[:half]]) + _alike(dense, docs[order[half:]])
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -246,19 +269,21 @@ def _search(
     best: dict[int, list[tuple]] = {}
     threshold, kind = floors.copy(), None
     for batch in batches:
-        keys = batch.column("key")
-        kind = keys.type
-        rank = pc.rank(keys, sort_keys="ascending", null_placement="at_end", tiebreaker="first").to_numpy()
-        segment = Segment(*B.utf8(batch.column("text")), places, idf, mean, rank)
-        for q in range(len(queries)):
-            terms = queries.of(q)
-            hits = segment.search(terms, k, threshold[q]) if len(terms) else ()
-            if not hits:
-                continue
-            top = sorted([*best.get(q, ()), *((s, keys[d].as_py()) for s, d in hits)], key=_order)[:k]
-            best[q] = top
-            if len(top) == k:
-                threshold[q] = max(threshold[q], top[-1][0])
+        buf, offsets = B.utf8(batch.column("text"))
+        kind = batch.column("key").type
+        for i, j in B.slices(offsets, SEGMENT_BYTES):
+            keys = batch.column("key").slice(i, j - i)
+            rank = pc.rank(keys, sort_keys="ascending", null_placement="at_end", tiebreaker="first").to_numpy()
+            segment = Segment(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], places, idf, mean)
+            for at in range(0, len(queries), TOGETHER):
+                some = range(at, min(at + TOGETHER, len(queries)))
+                found = segment.search([queries.of(q) for q in some], k, threshold[some.start : some.stop], rank)
+                for q, hits in zip(some, found, strict=True):
+                    if hits:
+                        top = sorted([*best.get(q, ()), *((s, keys[d].as_py()) for s, d in hits)], key=_order)[:k]
+                        best[q] = top
+                        if len(top) == k:
+                            threshold[q] = max(threshold[q], top[-1][0])
     if best:
         rows = [(q, *hit) for q, top in best.items() for hit in top]
         yield pa.RecordBatch.from_arrays(
