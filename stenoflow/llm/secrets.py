@@ -4,6 +4,7 @@ Three base patterns give spans of assignments, access keys and hexadecimal keys.
 entropy method adds spans: candidate strings are runs of key characters that mix letters
 and digits; a window moves over each candidate, its character counts are updated by one
 character in and one out, and so is the sum of c log2 c, which gives the window's entropy.
+Long candidates are read in overlapping pieces, so the cost is in proportion to the text.
 The threshold depends on the candidate's character class (hexadecimal or mixed).  Windows
 at or above it are joined to spans.  The allow-list holds placeholders and counting
 sequences.  With fragments, as the query and the pipeline scan, a match of it is cut out of
@@ -12,7 +13,8 @@ that it matches, and candidates of letters alone are measured with a threshold o
 own.  Without, a match anywhere drops the whole candidate, and so does a lack of digits.
 Base spans always stay.
 
-Offsets are code points of the whole text, ends exclusive.
+Offsets are code points of the whole text, ends exclusive.  Spans that begin together are
+ordered as the kinds are listed.
 
 Defined cases: a null text is read as empty and has no span; other columns stay, and a
 column named like a result is replaced; repeated rows get equal results; an empty table
@@ -21,6 +23,7 @@ gives no rows.  Only DataFrame functions are used.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,94 +56,143 @@ ALLOW = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
 )
 
+#: Windows of a candidate, elements of an array and characters of a text that are worked on
+#: together; they change no result, only keep the cost in proportion to length.
+PIECE, CHUNK, BLOCK = 64, 128, 4096
+
 _SPANS = "array<struct<start:int,end:int,text:string>>"
 
 
+def _let(value: Column, then) -> Column:
+    """then(value), with the value computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _running(values: Column, step, zero: Column) -> Column:
+    """For every element, the fold of those before it; in chunks, so that no long array is copied at each step."""
+
+    def within(part: Column) -> Column:
+        start = F.struct(zero.alias("at"), F.array().cast("array<int>").alias("out"))
+        add = lambda acc, x: F.struct(step(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(part, start, add, lambda acc: acc["out"])
+
+    chunks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.ceil(F.size(values) / CHUNK).cast("int") - 1, F.lit(0))),
+        lambda k: F.slice(values, k * CHUNK + 1, F.lit(CHUNK)),
+    )
+    joined = lambda c: F.arrays_zip(c.alias("part"), within(F.transform(c, lambda p: F.aggregate(p, zero, step))).alias("before"))
+    shifted = lambda x: F.transform(within(x["part"]), lambda v: step(v, x["before"]))
+    return F.flatten(_let(chunks, lambda c: F.transform(joined(c), shifted)))
+
+
+def _sums(values: Column) -> Column:
+    return _running(values, lambda a, b: a + b, F.lit(0))
+
+
 def _matches(text: Column, pattern: str, group: int, least: int) -> Column:
     """Leftmost non-overlapping matches whose group has the least length, as (start, end, text)."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     held = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    gaps = F.split(text, pattern, -1)
-    steps = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("hit"), held.alias("held"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.char_length(x["gap"])
-        end = start + F.char_length(x["hit"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("text"))
-        kept = F.when(F.char_length(x["held"]) >= least, F.concat(acc["out"], F.array(span)))
-        return F.struct(end.alias("at"), kept.otherwise(acc["out"]).alias("out"))
-
-    spans = F.aggregate(steps, zero, step, lambda acc: acc["out"])
+
+    def placed(hits: Column) -> Column:
+        gaps = F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(hits)), lambda g: F.char_length(g))
+        rows = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), held.alias("held"))
+        return _let(rows, lambda r: F.transform(
+            F.arrays_zip(r.alias("x"), _sums(F.transform(r, lambda x: x["gap"] + F.char_length(x["hit"]))).alias("before")),
+            lambda y: F.struct(
+                (y["before"] + y["x"]["gap"]).alias("start"), (y["before"] + y["x"]["gap"] + F.char_length(y["x"]["hit"])).alias("end"),
+                y["x"]["hit"].alias("text"), F.char_length(y["x"]["held"]).alias("n"),
+            ),
+        ))
+
+    spans = F.transform(F.filter(_let(found, placed), lambda s: s["n"] >= least), lambda s: F.struct(s["start"], s["end"], s["text"]))
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPANS))
 
 
-def _hot_windows(candidate: Column) -> Column:
-    """Spans (start, end) of a candidate in which windows reach the entropy of its class."""
-    word = candidate["text"]
-    n = F.char_length(word)
-    bits = F.when(word.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$"), HEX_BITS).when(~word.rlike("[0-9]"), LETTER_BITS).otherwise(MIXED_BITS)
-    most = WINDOW * (F.log2(F.lit(float(WINDOW))) - bits)  # of the sum of c log2 c in a hot window
-    weigh = lambda c: F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(0.0)
-    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(word, i, F.lit(1)))
-    zero = F.struct(
-        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"),
-        F.lit(0.0).alias("sum"),
-        F.lit(-1).alias("open"),
-        F.lit(-1).alias("close"),
-        F.array().cast("array<struct<start:int,end:int>>").alias("out"),
-    )
+def _hot_flags(piece: Column, most: Column) -> Column:
+    """For every window of a piece, 1 if it is hot and 0 if not, as a string.
+
+    Counts are one sign for each character of the alphabet; taking in a character and letting
+    one go changes two of them and adds two terms to the sum of c log2 c.
+    """
+    weights = F.array(*[F.lit(c * math.log2(c) if c > 1 else 0.0) for c in range(WINDOW + 2)])
+    weigh = lambda c: F.element_at(weights, c + 1)
+    code = lambda i: F.instr(F.lit(ALPHABET), F.substring(piece, i, F.lit(1)))
+    count = lambda counts, at: F.ascii(F.substring(counts, at, F.lit(1))) - 64
+    put = lambda counts, n, at: F.overlay(counts, F.char(n + 64), at, F.lit(1))
+    zero = F.struct(F.lit("@" * len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"), F.lit("").alias("flags"))
 
     def step(acc: Column, i: Column) -> Column:
         """Takes in character i and lets character i - WINDOW go; i counts from 1."""
-        came, gone = code(i), F.when(i > WINDOW, code(i - WINDOW)).otherwise(0)
-        one = lambda x: F.when(x, 1).otherwise(0)
-        had = F.when(gone > 0, F.element_at(acc["counts"], F.greatest(gone, F.lit(1)))).otherwise(0)
-        less = F.when(gone > 0, weigh(had - 1) - weigh(had)).otherwise(0.0)
-        has = F.element_at(acc["counts"], came) - one(came == gone)
-        total = acc["sum"] + less + weigh(has + 1) - weigh(has)
-        hot = (i >= WINDOW) & (total <= most + 1e-9)
-        begin = i - WINDOW
-        apart = hot & (acc["open"] >= 0) & (begin > acc["close"])
-        done = F.array(F.struct(acc["open"].alias("start"), acc["close"].alias("end")))
-        return F.struct(
-            F.transform(
-                acc["counts"], lambda c, k: c + one(k + 1 == came) - one(k + 1 == gone)
-            ).alias("counts"),
-            total.alias("sum"),
-            F.when(apart | (hot & (acc["open"] < 0)), begin).otherwise(acc["open"]).alias("open"),
-            F.when(hot, i).otherwise(acc["close"]).alias("close"),
-            F.when(apart, F.concat(acc["out"], done)).otherwise(acc["out"]).alias("out"),
+        gone = F.when(i > WINDOW, code(i - WINDOW)).otherwise(0)
+        left = _let(
+            F.struct(gone.alias("at"), F.when(i > WINDOW, count(acc["counts"], gone)).otherwise(0).alias("n")),
+            lambda g: F.struct(
+                F.when(g["at"] > 0, put(acc["counts"], g["n"] - 1, g["at"])).otherwise(acc["counts"]).alias("counts"),
+                F.when(g["at"] > 0, acc["sum"] + weigh(g["n"] - 1) - weigh(g["n"])).otherwise(acc["sum"]).alias("sum"),
+                code(i).alias("came"),
+            ),
         )
+        taken = _let(left, lambda g: _let(
+            F.struct(count(g["counts"], g["came"]).alias("n"), g.alias("g")),
+            lambda h: F.struct(
+                put(h["g"]["counts"], h["n"] + 1, h["g"]["came"]).alias("counts"),
+                (h["g"]["sum"] + weigh(h["n"] + 1) - weigh(h["n"])).alias("sum"),
+            ),
+        ))
+        flag = lambda t: F.when(i < WINDOW, "").when(t["sum"] <= most + 1e-9, "1").otherwise("0")
+        return _let(taken, lambda t: F.struct(t["counts"], t["sum"], F.concat(acc["flags"], flag(t)).alias("flags")))
+
+    return F.aggregate(F.sequence(F.lit(1), F.char_length(piece)), zero, step, lambda acc: acc["flags"])
 
-    def finish(acc: Column) -> Column:
-        last = F.array(F.struct(acc["open"].alias("start"), acc["close"].alias("end")))
-        return F.when(acc["open"] >= 0, F.concat(acc["out"], last)).otherwise(acc["out"])
 
-    inside = F.aggregate(F.sequence(F.lit(1), n), zero, step, finish)
-    return F.transform(
-        inside,
-        lambda s: F.struct(
-            (candidate["start"] + s["start"]).alias("start"), (candidate["start"] + s["end"]).alias("end")
-        ),
+def _hot_windows(candidate: Column) -> Column:
+    """Spans (start, end) of a candidate in which windows reach the entropy of its class.
+
+    The candidate is read in pieces of PIECE windows, so its length costs no more than its characters.
+    """
+    word = candidate["text"]
+    bits = F.when(word.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$"), HEX_BITS).when(~word.rlike("[0-9]"), LETTER_BITS).otherwise(MIXED_BITS)
+    most = WINDOW * (F.log2(F.lit(float(WINDOW))) - bits)  # of the sum of c log2 c in a hot window
+    pattern = F.lit(rf"(.{{1,{PIECE}}})(?=(.{{0,{WINDOW - 1}}}))")
+    pieces = F.zip_with(
+        F.regexp_extract_all(word, pattern, F.lit(1)), F.regexp_extract_all(word, pattern, F.lit(2)), lambda a, b: F.concat(a, b)
     )
+    flags = F.array_join(F.transform(pieces, lambda p: _hot_flags(p, most)), "")
+    apart = f"0{{{WINDOW},}}"
+
+    def spans(f: Column) -> Column:
+        runs = F.arrays_zip(F.split(f, apart, -1).alias("run"), F.regexp_extract_all(f, F.lit(apart), F.lit(0)).alias("gap"))
+        length = lambda r: F.char_length(r["run"]) + F.coalesce(F.char_length(r["gap"]), F.lit(0))
+        placed = lambda r: F.arrays_zip(r.alias("r"), _sums(F.transform(r, length)).alias("at"))
+        begin = candidate["start"]
+        return F.transform(
+            F.filter(_let(runs, placed), lambda x: F.contains(x["r"]["run"], F.lit("1"))),
+            lambda x: F.struct(
+                (begin + x["at"] + F.instr(x["r"]["run"], F.lit("1")) - 1).alias("start"),
+                (begin + x["at"] + F.char_length(F.rtrim(x["r"]["run"], F.lit("0"))) + WINDOW - 1).alias("end"),
+            ),
+        )
+
+    return _let(flags, spans)
 
 
 def _without(pieces: Column, pattern: str) -> Column:
     """The pieces (start, end, text) with the matches of a pattern cut out."""
 
     def cut(piece: Column) -> Column:
-        gaps = F.split(piece["text"], pattern, -1)
-        steps = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(piece["text"], F.lit(pattern), F.lit(0)).alias("hit"))
-        zero = F.struct(piece["start"].alias("at"), F.array().cast(_SPANS).alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            end = acc["at"] + F.char_length(x["gap"])
-            rest = F.struct(acc["at"].alias("start"), end.alias("end"), x["gap"].alias("text"))
-            at = end + F.coalesce(F.char_length(x["hit"]), F.lit(0))
-            return F.struct(at.alias("at"), F.concat(acc["out"], F.array(rest)).alias("out"))
-
-        return F.when(piece["text"].rlike(pattern), F.aggregate(steps, zero, step, lambda acc: acc["out"])).otherwise(F.array(piece))
+        rows = F.arrays_zip(
+            F.split(piece["text"], pattern, -1).alias("gap"), F.regexp_extract_all(piece["text"], F.lit(pattern), F.lit(0)).alias("hit")
+        )
+        length = lambda x: F.char_length(x["gap"]) + F.coalesce(F.char_length(x["hit"]), F.lit(0))
+        rest = _let(rows, lambda r: F.transform(
+            F.arrays_zip(r.alias("x"), _sums(F.transform(r, length)).alias("at")),
+            lambda y: F.struct(
+                (piece["start"] + y["at"]).alias("start"), (piece["start"] + y["at"] + F.char_length(y["x"]["gap"])).alias("end"),
+                y["x"]["gap"].alias("text"),
+            ),
+        ))
+        return F.when(piece["text"].rlike(pattern), rest).otherwise(F.array(piece))
 
     return F.flatten(F.transform(pieces, cut))
 
@@ -197,18 +249,24 @@ def _joined(spans: Column) -> Column:
 
 def redact(text: Column, spans: Column, mask: str = "[secret]") -> Column:
     """The text with every span, or union of overlapping spans, replaced by the mask."""
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        begins = s["start"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(begins, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"),
-        )
-
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, zero, step, rest)).otherwise(text)
+    ends = lambda x: F.transform(x, lambda s: s["end"])
+
+    def piece(blocks: Column, begin: Column, end: Column) -> Column:
+        """Part of the text, sought in its blocks and not from its start."""
+        first = F.floor(begin / BLOCK).cast("int")
+        some = F.slice(blocks, first + 1, F.floor(end / BLOCK).cast("int") - first + 1)
+        return F.substring(F.array_join(some, ""), begin - first * BLOCK + 1, end - begin)
+
+    def masked(b: Column) -> Column:
+        # the end of all spans before each: a span that begins beyond it begins a mask
+        reached = F.arrays_zip(spans.alias("s"), _running(ends(spans), lambda x, y: F.greatest(x, y), F.lit(0)).alias("to"))
+        kept = F.filter(reached, lambda x: x["s"]["start"] >= x["to"])
+        parts = F.transform(kept, lambda x: F.concat(piece(b, x["to"], x["s"]["start"]), F.lit(mask)))
+        rest = _let(F.array_max(ends(spans)), lambda e: piece(b, e, F.greatest(F.char_length(text), e)))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, _let(blocks, masked)).otherwise(text)
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
