@@ -73,6 +73,22 @@ def within_bytes(rows: int, row_bytes: int, limit: int = 64 << 20) -> bool:
     return rows * row_bytes <= limit
 
 
+def look_up(rows: DataFrame, table: DataFrame, on: str, hot_rows: int) -> DataFrame:
+    """rows, left-joined with a table that holds each key once.
+
+    A small table is broadcast.  Beside a larger one, keys with more than hot_rows rows (so at
+    most one for so many rows) are looked up by broadcast, and only the other rows are shuffled.
+    """
+    if within_bytes(table.count(), 64, 16 << 20):
+        return rows.join(F.broadcast(table), on, "left")
+    hot = F.broadcast(cut(rows.groupBy(on).count().where(F.col("count") > hot_rows).where(F.col(on).isNotNull()).select(on)))
+    none = rows.where(F.col(on).isNull())
+    some = rows.where(F.col(on).isNotNull())
+    busy = some.join(hot, on, "left_semi").join(F.broadcast(table.join(hot, on, "left_semi")), on, "left")
+    rest = some.join(hot, on, "left_anti").join(table, on, "left")
+    return busy.unionByName(rest).unionByName(none, allowMissingColumns=True)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, or name with underscores added until df has no such column in any case."""
     taken = {c.lower() for c in df.columns}

@@ -8,7 +8,9 @@ from a count sketch of fixed size, and any order gives exact results.
 * Texts with equal prefixes and sizes are one group; only groups enter the candidate search.
 * Group prefixes are sorted by n-gram, size band and place.  The first group of each band,
   which has the fewest n-grams of its own, is the band's pivot, and every other group is
-  first held against the pivots of its band and of the next smaller one.
+  first held against the pivots of its band and of the next smaller one.  An n-gram that may
+  have more than HOT_ROWS groups is dealt to parts with pivots of their own, and the pivots of
+  all its parts are held against each other in the same way.
 * Verified links to pivots give components.  The pairs that are left are those of groups
   that share a prefix n-gram, pass the size and place filters and are in different
   components; a pair inside a component cannot change a component, so no hot group of copies
@@ -46,6 +48,10 @@ WORDS = 5
 #: Per cent of the union that the intersection must reach.
 THRESHOLD = 75
 SKETCH_BITS = 20
+#: Rows of one key beyond which they are dealt to parts, or joined without a shuffle.
+HOT_ROWS = 10_000
+#: Groups, or sets, that a task remembers in order not to send them twice; more only cost repeats.
+REMEMBERED = 1 << 18
 #: Most bits of the filter of texts that take part in candidate pairs.
 MAX_FILTER_BITS = 1 << 27
 
@@ -99,14 +105,14 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "n"])
 
 
-def _rank_table(texts: DataFrame, n: int) -> np.ndarray:
-    """Counts of n-grams by the leading bits of their hashes, scaled to 20 bits."""
+def _rank_table(texts: DataFrame, n: int) -> tuple[np.ndarray, int]:
+    """Counts of n-grams by the leading bits of their hashes, shifted to 20 bits, and the shift."""
     rows = texts.mapInArrow(partial(_sketch, n=n), "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
     got = rows.toArrow()
     table = np.zeros(1 << SKETCH_BITS, np.uint64)
     table[got.column("at").to_numpy()] = got.column("n").to_numpy().astype(np.uint64)
     shift = max(0, int(table.max()).bit_length() - 20)
-    return (table >> np.uint64(shift)).astype(np.uint32)
+    return (table >> np.uint64(shift)).astype(np.uint32), shift
 
 
 def _prefix(s: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
@@ -143,7 +149,7 @@ def _identify(batches: Iterator[pa.RecordBatch], n: int, percent: int, ranks: np
 
 
 def _prefix_rows(batches: Iterator[pa.RecordBatch], n: int, percent: int, ranks: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(gram, gid, code) of the prefix of every group, once a task.
+    """(gram, gid, code) of the prefix of every group; few groups more than once a task.
 
     The code sorts by size band, then place, and holds the size too.
     """
@@ -165,6 +171,8 @@ def _prefix_rows(batches: Iterator[pa.RecordBatch], n: int, percent: int, ranks:
         gid = _group_of(p, len(s))
         if int(gid) in seen:
             continue
+        if len(seen) >= REMEMBERED:
+            seen.clear()
         seen.add(int(gid))
         k = len(p)
         band = int(np.log(len(s)) / np.log(100 / percent) + 1e-9)
@@ -189,16 +197,17 @@ _HELD = 1 << 16
 def _pivots(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows of n-grams that several groups share, each with its pivots.
 
-    Rows come sorted by gram, code and gid.  The rows of the last gram of a batch wait for the
+    Rows come sorted by gram, part, code and gid; a part of 0 or more is one of several of its
+    gram, which is then shared in any case.  The rows of the last gram of a batch wait for the
     next batch; of a hot gram only the heads of its last two bands do.
     """
     none = np.zeros(0, np.int64)
-    rest, hot = [none, none, none], False
+    rest, hot = [none] * 4, False
     for batch in batches:
-        cols = [np.concatenate([r, batch.column(c).to_numpy()]) for r, c in zip(rest, ("gram", "gid", "code"), strict=True)]
+        cols = [np.concatenate([r, batch.column(c).to_numpy()]) for r, c in zip(rest, ("gram", "part", "gid", "code"), strict=True)]
         if not len(cols[0]):
             continue
-        last = int(np.argmax(cols[0] == cols[0][-1]))
+        last = int(np.argmax((cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])))
         made, _ = _emit(*[c[:last] for c in cols], percent, hot)
         if made is not None:
             yield made
@@ -213,7 +222,10 @@ def _pivots(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield made
 
 
-def _emit(gram, gid, code, percent: int, go_on: bool):
+_PIVOT_ROWS = "gram long, gid long, code long, part long, head boolean, p1 long, p2 long"
+
+
+def _emit(gram, part, gid, code, percent: int, go_on: bool):
     """The batch of shared rows with pivots, and the heads of the last two bands.
 
     go_on: the first gram is known to be shared.
@@ -221,16 +233,17 @@ def _emit(gram, gid, code, percent: int, go_on: bool):
     if not len(gram):
         return None, None
     band, place, n = code >> 54, (code >> 27) & ((1 << 27) - 1), code & ((1 << 27) - 1)
-    first_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
+    first_gram = np.concatenate([[True], (gram[1:] != gram[:-1]) | (part[1:] != part[:-1])])
     first_band = first_gram | np.concatenate([[True], band[1:] != band[:-1]])
     gram_at = np.flatnonzero(first_gram)
-    shared = (np.maximum.reduceat(gid, gram_at) != np.minimum.reduceat(gid, gram_at))[np.cumsum(first_gram) - 1]
+    group = np.cumsum(first_gram) - 1
+    shared = (np.maximum.reduceat(gid, gram_at) != np.minimum.reduceat(gid, gram_at))[group] | (part >= 0)
     if go_on:
-        shared |= gram == gram[0]
+        shared |= group == 0
     heads = np.flatnonzero(first_band)
     index = np.cumsum(first_band) - 1
     head, before = heads[index], heads[np.maximum(index - 1, 0)]
-    near = (index > 0) & (gram[before] == gram) & (band[before] == band - 1)
+    near = (index > 0) & (group[before] == group) & (band[before] == band - 1)
     ok1 = (gid[head] != gid) & _may_link(n, place, n[head], place[head], percent)
     ok2 = near & (gid[before] != gid) & _may_link(n, place, n[before], place[before], percent)
     rows = np.flatnonzero(shared)
@@ -238,14 +251,20 @@ def _emit(gram, gid, code, percent: int, go_on: bool):
     if len(rows):
         made = pa.RecordBatch.from_arrays(
             [
-                pa.array(gram[rows]), pa.array(gid[rows]), pa.array(n[rows].astype(np.int32)),
-                pa.array(place[rows].astype(np.int32)),
+                pa.array(gram[rows]), pa.array(gid[rows]), pa.array(code[rows]), pa.array(part[rows]),
+                pa.array((head == np.arange(len(gid)))[rows]),
                 pa.array(gid[head][rows], mask=~ok1[rows]), pa.array(gid[before][rows], mask=~ok2[rows]),
             ],
-            names=["gram", "gid", "n", "place", "p1", "p2"],
+            names=["gram", "gid", "code", "part", "head", "p1", "p2"],
         )
     kept = heads[-2:]
-    return made, [gram[kept], gid[kept], code[kept]]
+    return made, [gram[kept], part[kept], gid[kept], code[kept]]
+
+
+def _with_pivots(rows: DataFrame, percent: int) -> DataFrame:
+    """Shared rows of (gram, part, gid, code) with their pivots."""
+    dealt = rows.repartition("gram", "part").sortWithinPartitions("gram", "part", "code", "gid")
+    return dealt.mapInArrow(partial(_pivots, percent=percent), _PIVOT_ROWS)
 
 
 def _places(h: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -285,7 +304,7 @@ def _filter(sigs: DataFrame) -> tuple[np.ndarray, int]:
 def _candidate_sets(
     batches: Iterator[pa.RecordBatch], n: int, words: np.ndarray, bits: int
 ) -> Iterator[pa.RecordBatch]:
-    """(sig, set) of the rows that the filter lets through, once a task for each signature."""
+    """(sig, set) of the rows that the filter lets through; few signatures more than once a task."""
     seen: set[int] = set()
     sig, data, held = [], [], 0
 
@@ -301,6 +320,8 @@ def _candidate_sets(
         h = np.array([_row_hash(x, batch.column("key")[r].as_py())])
         if int(x) in seen or not all(int(words[p[0] >> 5]) >> (p[0] & 31) & 1 for p in _places(h, bits)):
             continue
+        if len(seen) >= REMEMBERED:
+            seen.clear()
         seen.add(int(x))
         sig.append(x)
         data.append(s.tobytes())
@@ -331,6 +352,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, speakers: DataFrame, n: int, per
     drops what the filter let through by chance.
     """
     pairs = C.cut(pairs)
+    if pairs.isEmpty():
+        return pairs
     needed = C.cut(pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct().join(speakers, "sig"))
     words, bits = _filter(needed)
     sets = texts.mapInArrow(
@@ -353,34 +376,38 @@ def _expand(groups: DataFrame, nodes: DataFrame, extra: list[str]) -> DataFrame:
     return groups.join(pick("x", "a"), "x").join(pick("y", "b"), "y")
 
 
-def _links(texts: DataFrame, ids: DataFrame, ranks: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(node, component) of all signatures that link with another."""
-    speakers = C.cut(ids.where("n > 0").groupBy("sig").agg(F.first("gid").alias("gid"), F.min("key").alias("key")))
-    nodes, speakers = speakers.select("sig", "gid"), speakers.select("sig", "key")
+def _links(texts: DataFrame, ids: DataFrame, ranks: np.ndarray, shift: int, n: int, percent: int) -> DataFrame:
+    """(sig, comp, least) of every signature: its component and the least key in it."""
+    nodes = C.cut(ids.where("n > 0").groupBy("sig").agg(F.first("gid").alias("gid"), F.min("key").alias("key")))
+    speakers = nodes.select("sig", "key")
     rows = texts.mapInArrow(
         partial(_prefix_rows, n=n, percent=percent, ranks=ranks), "gram long, gid long, code long"
     )
-    shared = C.cut(
-        rows.repartition("gram").sortWithinPartitions("gram", "code", "gid")
-        .mapInArrow(partial(_pivots, percent=percent), "gram long, gid long, n int, place int, p1 long, p2 long")
-    )
+    # the leading bits of a gram in the common order are its count in the sketch
+    parts = F.ceil(F.shiftleft(F.shiftrightunsigned("gram", 44), shift) / HOT_ROWS)
+    part = F.when(parts > 1, F.pmod(F.xxhash64("gid"), parts)).otherwise(F.lit(-1)).cast("long")
+    shared = C.cut(_with_pivots(rows.withColumn("part", part), percent))
+    heads = shared.where("head and part >= 0").select("gram", F.lit(-1).cast("long").alias("part"), "gid", "code").distinct()
+    pivots = shared.union(_with_pivots(heads, percent)).select("gid", F.explode(F.array("p1", "p2")).alias("pivot"))
     reps = nodes.groupBy("gid").agg(F.min("sig").alias("rep"))
     star = (
-        shared.select("gid", F.explode(F.array("p1", "p2")).alias("pivot")).where("pivot is not null").distinct()
+        pivots.where("pivot is not null").distinct()
         .join(reps.select(F.col("gid").alias("pivot"), F.col("rep").alias("b")), "pivot")
         .join(nodes, "gid").select(F.col("sig").alias("a"), "b")
     )
     inside = nodes.join(reps, "gid").select(F.col("sig").alias("a"), F.col("rep").alias("b"))
     tried = C.cut(_ordered(star.union(inside)))
-    links = C.cut(_verify(tried, texts, speakers, n, percent))
-    first = connected_components(links)
+    first = connected_components(_verify(tried, texts, speakers, n, percent))
     member = C.cut(
         nodes.join(first, nodes["sig"] == first["node"], "left")
-        .select("sig", "gid", F.coalesce("component", "sig").alias("comp"))
+        .select("sig", "gid", "key", F.coalesce("component", "sig").alias("comp"))
     )
     groups = C.cut(member.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")))
-    small = C.within_bytes(groups.count(), 110)
-    placed = shared.select("gram", "gid", "n", "place").join(F.broadcast(groups) if small else groups, "gid")
+    bits = (1 << 27) - 1
+    placed = C.look_up(
+        shared.select("gram", "gid", F.col("code").bitwiseAND(bits).alias("n"), F.shiftright("code", 27).bitwiseAND(bits).alias("place")),
+        groups, "gid", HOT_ROWS,
+    )
     open_grams = placed.groupBy("gram").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l <> h")
     live = C.cut(placed.join(open_grams.select("gram"), "gram", "left_semi").dropDuplicates(["gram", "gid"]))
     x, y = live.alias("x"), live.alias("y")
@@ -398,7 +425,13 @@ def _links(texts: DataFrame, ids: DataFrame, ranks: np.ndarray, n: int, percent:
     split = groups.where("lo <> hi").select(c("gid").alias("x"), c("gid").alias("y"))
     pairs = _expand(apart.union(split), member, ["comp"]).where("comp_a <> comp_b").select("a", "b")
     more = _verify(_ordered(pairs).join(tried, ["a", "b"], "left_anti"), texts, speakers, n, percent)
-    return connected_components(links.union(more))
+    # links between components join components, so only these are walked again
+    comp = lambda k: member.select(F.col("sig").alias(k), F.col("comp").alias(f"c{k}"))
+    merged = connected_components(more.join(comp("a"), "a").join(comp("b"), "b").select("ca", "cb"), "ca", "cb")
+    merged = merged.select(F.col("node").alias("comp"), F.col("component").alias("to"))
+    last = C.cut(C.look_up(member, merged, "comp", HOT_ROWS).select("sig", "key", F.coalesce("to", "comp").alias("comp")))
+    least = last.groupBy("comp").agg(F.min("key").alias("least"))
+    return C.look_up(last.drop("key"), C.cut(least), "comp", HOT_ROWS)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -413,19 +446,17 @@ def components(
     C.ship(df.sparkSession)
     texts = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     only = texts.select("text")
-    ranks = _rank_table(only, n)
+    ranks, shift = _rank_table(only, n)
     kind = texts.schema["key"].dataType.simpleString()
     ids = C.cut(
         texts.mapInArrow(
             partial(_identify, n=n, percent=percent, ranks=ranks), f"key {kind}, sig long, n int, gid long"
         )
     )
-    found = _links(texts, ids, ranks, n, percent)
-    node = F.when(F.col("n") > 0, F.coalesce("component", "sig"))
-    named = C.cut(ids.join(found, ids["sig"] == found["node"], "left").select("key", "sig", "n", node.alias("at")))
-    least = named.where("at is not null").groupBy("at").agg(F.min("key").alias("least"))
-    return named.join(least, "at", "left").select(
-        "key", "sig", F.col("n").cast("long").alias("n_shingles"), F.col("at").alias("node"),
+    found = C.cut(_links(texts, ids, ranks, shift, n, percent))
+    # copies share a signature: a hot one is not shuffled to one task
+    return C.look_up(ids, found, "sig", HOT_ROWS).select(
+        "key", "sig", F.col("n").cast("long").alias("n_shingles"), F.col("comp").alias("node"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component"),
     )
 
@@ -437,6 +468,25 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS t
+  FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(t[i : i + 4], ' ') AS gram
+  FROM w, unnest(range(1, greatest(len(t) - 3, 2))) AS u(i) WHERE len(t) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM g a JOIN g b USING (gram) JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+c AS (SELECT a, b FROM p UNION SELECT c.a, p.b FROM c JOIN p ON p.a = c.b)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, coalesce(min(b), doc_id) AS component_id
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = doc_id GROUP BY doc_id
+"""
+
+
 def _signatures(n: int):
     @F.arrow_udf(T.LongType())
     def sig(text: pa.Array) -> pa.Array:

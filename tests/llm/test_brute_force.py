@@ -5,12 +5,13 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from stenoflow.llm import decontaminate, graph, html_text, jaccard_join, mixing, secrets, token_counts, topk_search
+from stenoflow.llm import common, decontaminate, graph, html_text, jaccard_join, mixing, secrets, token_counts, topk_search
 
 from .conftest import DATA
 
@@ -68,6 +69,27 @@ def test_secrets_query_and_mask(spark, docs):
     assert [x["t"] for x in s] == ["a [secret] b", "none"]
 
 
+def test_long_texts_cost_their_length(spark):
+    r = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = [
+        "".join(r.choice(letters) for _ in range(200_000)), " ".join(f"token = k{i:07d}x" for i in range(20_000)),
+        "é" + "".join(r.choice("aB1") for _ in range(5_000)) + "".join(r.choice(letters) for _ in range(300)) + " end",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    begun = time.monotonic()
+    got = secrets.scan(df).withColumn("m", secrets.redact(F.col("text"), F.col("secrets"))).orderBy("i").collect()
+    assert time.monotonic() - begun < 60
+    for x in got:
+        assert [f"{s['kind']}:{s['start']}:{s['end']}" for s in x["secrets"] if s["kind"] != "entropy"] == base_spans(x["text"])
+        assert [f"entropy:{s['start']}:{s['end']}" for s in x["secrets"] if s["kind"] == "entropy"] == entropy_spans(x["text"])
+        masked, at = [], 0
+        for s in x["secrets"]:
+            masked += [x["text"][at : s["start"]], "[secret]"] if s["start"] >= at else []
+            at = max(at, s["end"])
+        assert x["m"] == "".join(masked) + x["text"][at:]
+
+
 def infix(a, b):
     row = [0] * (len(b) + 1)
     for i, x in enumerate(a, 1):
@@ -266,8 +288,13 @@ def test_jaccard_join(spark, docs):
     assert got == jaccard_components(rows)
 
 
-def test_jaccard_join_of_chains_and_hot_groups(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [10_000, 4])
+def test_jaccard_join_of_chains_and_hot_groups(spark, monkeypatch, hot):
     monkeypatch.setattr(jaccard_join, "_HELD", 7)
+    monkeypatch.setattr(jaccard_join, "HOT_ROWS", hot)
+    if hot < 10_000:
+        monkeypatch.setattr(common, "within_bytes", lambda *_: False)
+        monkeypatch.setattr(jaccard_join, "REMEMBERED", 3)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
     try:
         r, rows = random.Random(6), []
