@@ -11,7 +11,11 @@ density on it is the page's threshold.  Content is the subtree below the thresho
 its children's densities; its blocks are joined in page order.
 
 Menus, headers, footers, side bars, notices, adverts, forms, scripts, styles and reader
-comments inside the subtree are left out by element and by class or id name.
+comments inside the subtree are left out by element and by class or id name; so are blocks of
+several links that stay under the threshold, and lines of rights at the end.  Elements of a
+sentence are not dropped by name, and a header inside an article is the article's own.
+
+Of equal density sums the outer node is taken, of nodes beside each other the later one.
 
 Defined cases: null and empty pages have an empty text.  A page without tags is one
 block.  Unclosed and stray tags are read as browsers do for paragraphs, list items and
@@ -40,7 +44,12 @@ _RAW = frozenset("script style textarea title iframe".split())
 _FOREIGN = frozenset(["svg", "math"])
 #: Elements whose tag is ignored if no end tag follows, so that the rest of the page is not part of them.
 _ENDED = frozenset("noscript template object".split())
-_OUT = frozenset("nav header footer aside form button menu dialog select".split()) | _RAW | _FOREIGN | _ENDED | {"head"}
+_OUT = frozenset("nav header footer aside form button menu dialog select svg annotation annotation-xml".split()) | _RAW | _ENDED | {"head"}
+#: Elements of a sentence; their names say nothing about the place in a page, so none drops them.
+_PHRASE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub "
+    "sup time tt u var".split()
+)
 #: Start tags that end a drawing or formula, and elements in which they do not.
 _BREAKOUT = frozenset(
     "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
@@ -65,9 +74,13 @@ _BESIDE = frozenset(
     "container inner outer links link buttons form posts articles user reader id".split()
 )
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?|<[!?/][^>]*>?", re.S
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=)*)>?|<[!?/][^>]*>?", re.S
 )
-_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
+#: Share of link characters from which a block of several links is a list of links.
+LINK_LIST = 0.8
+#: A line of rights at the end of a page.
+_RIGHTS = re.compile(r"\s*(?:©|\(c\)|copyright\s*(?:©|\(c\)|\d{4}))", re.I)
 _NONE = re.compile(r"display\s*:\s*none", re.I)
 
 
@@ -85,7 +98,7 @@ def _marked_out(tag: str, attributes: str) -> bool:
             return True
         if name == "aria-hidden" and value.strip().lower() == "true":
             return True
-        if name in ("class", "id", "role") and tag not in ("main", "article") and any(map(_named_out, value.split())):
+        if name in ("class", "id", "role") and tag not in _PHRASE and tag not in ("main", "article") and any(map(_named_out, value.split())):
             return True
     return False
 
@@ -119,6 +132,18 @@ def parse(page: str) -> Node:
     stack, at, n = [root], 0, len(page)
     last_end: dict[str, int] = {}
     opened = False
+    # open elements by name, so that stray end tags are told without a search
+    count: dict[str, int] = {}
+
+    def close(k: int) -> None:
+        for x in stack[k:]:
+            count[x.tag] -= 1
+        del stack[k:]
+
+    def push(node: Node) -> None:
+        stack.append(node)
+        count[node.tag] = count.get(node.tag, 0) + 1
+
     while at < n:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -132,10 +157,16 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if m.group(1):
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
+            if not count.get(tag):
+                continue
             # an inline end tag closes nothing beyond the block that it stands in
-            if depth and (tag in _BLOCK or tag in _OUT or not any(x.tag in _BLOCK for x in stack[depth + 1 :])):
-                del stack[depth:]
+            wide = tag in _BLOCK or tag in _OUT
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k].tag == tag:
+                    close(k)
+                    break
+                if not wide and stack[k].tag in _BLOCK:
+                    break
             continue
         attributes = m.group(3) or ""
         # the place of the drawing or formula that the tag stands in, if it is not a page's part again
@@ -146,16 +177,16 @@ def parse(page: str) -> Node:
             if stack[drawn].tag not in _FOREIGN:
                 drawn = 0
         if drawn and tag in _BREAKOUT:
-            del stack[drawn:]
+            close(drawn)
             drawn = 0
         if tag in _BLOCK and tag != "hr" or tag in ("input", "textarea", "select"):
             k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag not in ("option", "optgroup")), 0)
             if stack[k].tag == "select":
-                del stack[k:]
+                close(k)
         if tag in _BLOCK:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == "p":
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k].tag in _BLOCK or stack[k].tag in _OUT:
                     break
@@ -165,7 +196,7 @@ def parse(page: str) -> Node:
                 if stack[k].tag in stop:
                     break
                 if stack[k].tag in ends:
-                    del stack[k:]
+                    close(k)
                     if tag != "tr":
                         break
         if tag in _ENDED:
@@ -173,7 +204,8 @@ def parse(page: str) -> Node:
                 last_end[tag] = max((e.start() for e in re.finditer(rf"</{tag}(?=[\s/>])", page, re.I)), default=-1)
             if last_end[tag] < at:
                 continue
-        out = tag in _OUT
+        # a header inside an article is the article's own
+        out = tag in _OUT and not (tag == "header" and count.get("article"))
         if attributes and not out and tag not in ("html", "body"):
             out = _marked_out(tag, attributes)
         node = Node(tag, out, tag in _INLINE_LINK)
@@ -184,7 +216,7 @@ def parse(page: str) -> Node:
         if drawn or tag in _FOREIGN:
             # self-closing counts in drawings and formulas, and nothing in them is raw text
             if not closed:
-                stack.append(node)
+                push(node)
                 opened = opened or tag in _FOREIGN
             continue
         if tag in _RAW:
@@ -192,7 +224,7 @@ def parse(page: str) -> Node:
             at = end.end() if end else n
             continue
         if not closed or tag not in _INLINE_LINK:
-            stack.append(node)
+            push(node)
     return root
 
 
@@ -232,8 +264,13 @@ def measure(root: Node) -> Node:
     return body
 
 
-def content(body: Node) -> Node:
-    """The subtree with the largest density sum among those that the body path's threshold admits."""
+def _links(node: Node) -> bool:
+    """Whether a node is hardly more than links."""
+    return node.link_chars >= LINK_LIST * node.chars
+
+
+def content(body: Node) -> tuple[Node, float]:
+    """The subtree with the largest density sum among those that the body path's threshold admits, and the threshold."""
     inside = _post_order(body)
     best = max(reversed(inside), key=lambda x: x.total)
     parent = {id(c): x for x in inside for c in x.children if isinstance(c, Node)}
@@ -245,15 +282,23 @@ def content(body: Node) -> Node:
     # an ancestor takes over while text that lies beside the chosen subtree is as dense as the threshold
     while node is not body and id(node) in parent:
         up = parent[id(node)]
-        beside = [c for c in up.children if isinstance(c, Node) and not c.out and c is not node and c.chars]
+        beside = [c for c in up.children if isinstance(c, Node) and not c.out and c is not node and c.chars and not _links(c)]
         if any(c.density >= threshold or c.tag in _HEADINGS or c.tag == "p" for c in beside):
             chosen = up
         node = up
-    return chosen
+    return chosen, threshold
+
+
+def _below(node: Node, threshold: float) -> bool:
+    """Whether a block below the chosen subtree is a list of links that stays under the threshold."""
+    return node.tag in _BLOCK and node.link_tags > 1 and node.density < threshold and _links(node)
+
 
+def blocks(top: Node, threshold: float = 0.0) -> list[str]:
+    """Texts of the blocks below a node, in page order, white space collapsed.
 
-def blocks(top: Node) -> list[str]:
-    """Texts of the blocks below a node, in page order, white space collapsed."""
+    Lists of links under the threshold, and lines of rights at the end, are left out.
+    """
     found, run = [], []
 
     def flush():
@@ -269,7 +314,7 @@ def blocks(top: Node) -> list[str]:
             flush()
         elif isinstance(x, str):
             run.append(x)
-        elif x.out:
+        elif x.out or (x is not top and _below(x, threshold)):
             run.append(" " if x.tag not in _BLOCK else "")
             if x.tag in _BLOCK or x.tag in ("nav", "header", "footer", "aside", "form"):
                 flush()
@@ -282,6 +327,8 @@ def blocks(top: Node) -> list[str]:
                 stack.append(None)
             stack.extend(reversed(x.children))
     flush()
+    while found and _RIGHTS.match(found[-1]):
+        found.pop()
     return found
 
 
@@ -290,7 +337,7 @@ def extract(page: str | None) -> str:
     if not page:
         return ""
     body = measure(parse(page))
-    return "\n".join(blocks(content(body)))
+    return "\n".join(blocks(*content(body)))
 
 
 _EXTRACTED = T.StringType()
@@ -305,11 +352,12 @@ def main_text(df: DataFrame, *, page: str = "html", to: tuple[str, str] = ("text
     """df with the main text of each page and its length in code points."""
     C.ship(df.sparkSession)
     text, n_chars = to
-    got = df.withColumn("__t", _main_text(F.col(f"`{page}`").cast("string"))).withColumn(
-        "__page",
-        F.struct(F.col("__t").alias(text), F.char_length("__t").cast("long").alias(n_chars)),
+    t, name = C.free_name(df, "__t"), C.free_name(df, "__page")
+    got = df.withColumn(t, _main_text(F.col(f"`{page}`").cast("string"))).withColumn(
+        name,
+        F.struct(F.col(t).alias(text), F.char_length(t).cast("long").alias(n_chars)),
     )
-    return C.replace_columns(got.drop("__t"), "__page", [text, n_chars])
+    return C.replace_columns(got.drop(t), name, [text, n_chars])
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -420,3 +420,33 @@ def test_allowed_words_hide_no_secret_beside_them(spark):
     assert not any(got[text] for text in none)
     masked = {r["doc_id"]: r["text"] for r in corpus_pipeline.stage_secret_scan(spark, df, DATA).collect()}
     assert all(secret[4:-4] not in masked[i] for i, secret in enumerate(found.values()))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p title='the hidden truth'>Shown text.</p>", "Shown text."),
+        ("<body><p>First <a href=x title=don't>link</a> text.</p><p>Second 'part' of it.</p></body>", "First link text.\nSecond 'part' of it."),
+        ("<body><p>Look at <a class='share-price'>the share price</a> of <span class=share>it</span> now.</p></body>", "Look at the share price of it now."),
+        ("<body><header>Site</header><article><header><h1>Title</h1></header><p>Body text of some length.</p></article></body>", "Title\nBody text of some length."),
+        ("<body><div><p>Mass is <math><mi>m</mi><annotation>m_0</annotation></math> here, in short.</p></div></body>", "Mass is m here, in short."),
+        (
+            "<body><ul><li><a href=1>Home</a><li><a href=2>News</a><li><a href=3>Sports</a></ul><p>The first paragraph of the story is here, with words.</p>"
+            "<p>The second one has <a href=4>a link</a> and more words to read.</p><ul><li><a href=5>Older story</a><li><a href=6>Other story</a></ul><p>Copyright 2020 Someone</p></body>",
+            "The first paragraph of the story is here, with words.\nThe second one has a link and more words to read.",
+        ),
+        (
+            "<body><div><div><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></div><div><div>Plain text of a page without any names, long enough.</div>"
+            "<div>Another block of it.</div></div><div><a href=4>Imprint</a> <a href=5>Privacy</a></div></div></body>",
+            "Plain text of a page without any names, long enough.\nAnother block of it.",
+        ),
+    ],
+)
+def test_html_without_names(page, text):
+    assert html_text.extract(page) == text
+
+
+def test_html_of_stray_end_tags_costs_its_length():
+    begun = time.monotonic()
+    assert html_text.extract("<div>" * 20_000 + "deep text" + "</i></section>" * 20_000) == "deep text"
+    assert time.monotonic() - begun < 5
