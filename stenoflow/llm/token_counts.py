@@ -9,11 +9,12 @@ the transition emits the change of the token count (which is negative where a lo
 token takes in shorter ones).  States and transitions are compiled on first use and
 shared by all texts of a worker.
 
-No piece holds a blank after a character of another kind, so at such places the machine
-is back in one of its start states.  A text is cut into chunks; a chunk's map of states
-is (what it reads before its first such place, the count after that, the state in which
-it ends), chunks are mapped independently, and neighbouring maps compose in a scan of
-logarithmic depth.
+A text is cut into chunks.  A chunk's map of states takes a start state to the state in which
+it ends and the tokens counted; it is made for the state that a short run-up to the chunk
+gives, which is the true one as soon as the machine has forgotten where it began, and for
+other states when they are met.  Neighbouring maps compose, in a scan of logarithmic depth.
+No piece holds a blank after a character of another kind, so at such places the machine is
+back in one of its start states, and the words between them are single transitions.
 
 Defined cases: null and empty texts have no token.  Texts of any length are read whole.
 Repeated rows get equal counts.  Columns named like the results are replaced by them;
@@ -35,6 +36,8 @@ from stenoflow.llm import common as C
 BLANK = "▁"
 #: Characters per chunk of a text.
 CHUNK = 1 << 14
+#: Characters before a chunk from which its start state is guessed.
+WARM_UP = 96
 #: Compiled transitions kept by a worker; past this the machine is compiled afresh.
 MAX_TRANSITIONS = 600_000
 MAX_UNITS = 600_000
@@ -177,46 +180,72 @@ class Transducer:
         return sum(map(self.units.__getitem__, units))
 
     # -- chunks ----------------------------------------------------------------------------
-    def chunk_map(self, text: str) -> tuple:
-        """(head, None, 0) of a chunk without a resting place, else (head, end state, count)."""
-        at = _rest(text)
-        if at < 0:
-            return text, None, 0
-        last = _last_rest(text)
-        end, count = self.run(text[last:], self.start)
-        return text[:at], end, count + (self.settled(text[at:last]) if last > at else 0)
-
-    def compose(self, a: tuple, b: tuple) -> tuple:
-        """The map of two neighbouring chunks."""
-        if a[1] is None:
-            joined = a[0] + b[0]
-            at = _rest(joined) if b[1] is None or a[0] else -1
-            if b[1] is None and at < 0:
-                return joined, None, 0
-            if at < 0:
-                return joined, b[1], b[2]
-            end, count = self.run(joined[at:], self.start)
-            return (joined[:at], end, count) if b[1] is None else (joined[:at], b[1], count + b[2])
-        end, count = self.run(b[0], a[1])
-        return (a[0], end, a[2] + count) if b[1] is None else (a[0], b[1], a[2] + count + b[2])
-
     def count(self, text: str) -> int:
         """Tokens of a whole text."""
         if not text:
             return 0
-        if self.made > MAX_TRANSITIONS or len(self.units) > MAX_UNITS:
-            self._reset()
+        self._tidy()
         text = BLANK + text.replace(" ", BLANK)
         if len(text) <= CHUNK:
             return self.settled(text)
-        maps = [self.chunk_map(text[i : i + CHUNK]) for i in range(0, len(text), CHUNK)]
+        maps = []
+        for at in range(0, len(text), CHUNK):
+            self._tidy()
+            likely = self.run(text[max(0, at - WARM_UP) : at], self.start)[0] if at else self.start
+            maps.append(ChunkMap(self, text[at : at + CHUNK], (), likely))
         while len(maps) > 1:
-            maps = [
-                self.compose(maps[i], maps[i + 1]) if i + 1 < len(maps) else maps[i]
-                for i in range(0, len(maps), 2)
-            ]
-        head, _, count = maps[0]
-        return self.run(head, self.start)[1] + count
+            maps = [ChunkMap(self, "", tuple(maps[i : i + 2]), maps[i].likely) for i in range(0, len(maps), 2)]
+        return maps[0](self.start)[1]
+
+    def _tidy(self) -> None:
+        """Compiles afresh when the machine has grown too large; states in use stay valid."""
+        if self.made > MAX_TRANSITIONS or len(self.units) > MAX_UNITS:
+            self._reset()
+
+
+class ChunkMap:
+    """What a stretch of text does to states: start state to (end state, count).
+
+    The map is filled in for the likely start state when it is made: of a chunk, by running the
+    machine, or of two neighbouring stretches, by composing their maps.  Start states that it
+    lacks are added when they are met, in the same way, so a wrong guess costs time alone.
+    """
+
+    __slots__ = ("machine", "text", "parts", "likely", "known", "inner")
+
+    def __init__(self, machine: Transducer, text: str, parts: tuple, likely: State):
+        self.machine, self.text, self.parts, self.likely = machine, text, parts, likely
+        self.known: dict[int, tuple] = {}
+        #: Of a chunk with a resting place: where it is, the end state and the count from there.
+        self.inner: tuple | None = None
+        self(likely)
+
+    def __call__(self, state: State) -> tuple[State, int]:
+        got = self.known.get(id(state))
+        if got is None:
+            # the state is kept, so its id is not used again
+            got = self.known[id(state)] = (*self._go(state), state)
+        return got[:2]
+
+    def _go(self, state: State) -> tuple[State, int]:
+        if self.parts:
+            total = 0
+            for part in self.parts:
+                state, count = part(state)
+                total += count
+            return state, total
+        if self.inner is None:
+            at = _rest(self.text)
+            if at < 0:
+                self.inner = at, None, 0
+            else:
+                last = _last_rest(self.text)
+                end, count = self.machine.run(self.text[last:], self.machine.start)
+                self.inner = at, end, count + (self.machine.settled(self.text[at:last]) if last > at else 0)
+        at, end, count = self.inner
+        if at < 0:
+            return self.machine.run(self.text, state)
+        return end, self.machine.run(self.text[:at], state)[1] + count
 
 
 def _rest(text: str) -> int:
@@ -243,12 +272,20 @@ _loaded: dict[str, Transducer] = {}
 
 
 def transducer(model_file: str) -> Transducer:
-    """The worker's transducer of a SentencePiece BPE model file."""
+    """The worker's transducer of a SentencePiece BPE model: a file, or the name of a public vocabulary.
+
+    A name is looked up where the worker runs.
+    """
     if model_file not in _loaded:
         from sentencepiece import sentencepiece_model_pb2 as pb
 
+        path = model_file
+        if "/" not in model_file:
+            import public_tokenizers
+
+            path = public_tokenizers.path(model_file)
         m = pb.ModelProto()
-        with open(model_file, "rb") as f:
+        with open(path, "rb") as f:
             m.ParseFromString(f.read())
         spec = m.normalizer_spec
         if m.trainer_spec.model_type != 2 or spec.precompiled_charsmap or spec.remove_extra_whitespaces:
@@ -281,20 +318,19 @@ def count_tokens(
         return pa.array([machine.count(t) if t else 0 for t in column.to_pylist()], pa.int64())
 
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    counted = df.withColumn("__n", tokens(t)).withColumn(
-        "__counts",
+    n, name = C.free_name(df, "__n"), C.free_name(df, "__counts")
+    counted = df.withColumn(n, tokens(t)).withColumn(
+        name,
         F.struct(
             F.octet_length(t).cast("long").alias(n_bytes),
-            F.col("__n").alias(n_tokens),
-            (F.col("__n") > limit).alias(over),
+            F.col(n).alias(n_tokens),
+            (F.col(n) > limit).alias(over),
         ),
     )
-    return C.replace_columns(counted.drop("__n"), "__counts", list(to))
+    return C.replace_columns(counted.drop(n), name, list(to))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the 32k-piece byte-pair model."""
-    import public_tokenizers
-
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+    return count_tokens(docs, "piece_bpe_32k.model").drop("text")
