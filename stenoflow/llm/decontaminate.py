@@ -6,18 +6,24 @@ pieces at least one occurs in the text unchanged: all pieces are sought at once
 automaton, and every hit is verified by Myers' bit-parallel edit distance of the item
 within the window that the hit allows.
 
+An item that is too short for an edit is found only as whole words; a longer one may begin or
+end inside a word, which the edits allow.
+
 The benchmark side is a query set: its items go to the tasks in blocks of at most
-BLOCK_BYTES, one pass over the texts for each block, so no item count is assumed.
+BLOCK_BYTES.  With more than one block there is one pass over the texts for each, written as a
+table before the next, so driver, plan and tasks hold one block at a time.
 
 Defined cases: null and empty texts contain nothing; null and empty items, and items
-without a word, are never found; repeated items are each reported; very long texts are
-read whole; other columns stay, and a column named like a result is replaced.
+without a word, are never found; an item with a null id is found like any other, and its hits
+have a null item; ids are of any type; repeated items are each reported; of equal best matches
+of an item the one that ends first is reported; very long texts are read whole; other columns
+stay, and a column named like a result is replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -25,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from stenoflow.llm import common as C
 
@@ -84,7 +91,7 @@ def _masks(item: str) -> dict[str, int]:
 class Matcher:
     """Finds the items of one block in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[object, str]], rate: float):
         self.items = []
         self.automaton = ahocorasick.Automaton()
         by_piece: dict[str, list[tuple[int, int]]] = {}
@@ -112,6 +119,8 @@ class Matcher:
             for place, a in where:
                 item, budget = self.items[place][1:3]
                 start = last + 1 - length - a
+                if not budget and not _whole_words(body, start, last + 1):
+                    continue
                 windows.setdefault(place, []).append((start - budget, start + len(item) + budget))
         found = []
         for place, spans in sorted(windows.items()):
@@ -133,6 +142,10 @@ class Matcher:
         return found
 
 
+def _whole_words(body: str, start: int, end: int) -> bool:
+    return (start == 0 or body[start - 1] == " ") and (end == len(body) or body[end] == " ")
+
+
 def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
     """Unions of overlapping spans, in order."""
     a, b = None, None
@@ -150,25 +163,23 @@ def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
 _matchers: dict[str, Matcher] = {}
 
 
-def _matcher(items: list[tuple[int, str]], rate: float) -> Matcher:
-    key = hashlib.sha256(repr((items, rate)).encode()).hexdigest()
-    if key not in _matchers:
+def _matcher(block: str, items: list[tuple[object, str]], rate: float) -> Matcher:
+    """The worker's matcher of a block, compiled once."""
+    if block not in _matchers:
         _matchers.clear()
-        _matchers[key] = Matcher(items, rate)
-    return _matchers[key]
+        _matchers[block] = Matcher(items, rate)
+    return _matchers[block]
 
 
-_HIT = (
-    T.StructType().add("item", T.LongType()).add("distance", T.IntegerType())
-    .add("start", T.IntegerType()).add("end", T.IntegerType())
-)
-_ARROW_HIT = pa.list_(pa.struct([("item", pa.int64()), ("distance", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
+def _hit_type(item: T.DataType) -> T.ArrayType:
+    hit = T.StructType().add("item", item).add("distance", T.IntegerType()).add("start", T.IntegerType()).add("end", T.IntegerType())
+    return T.ArrayType(hit)
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[object, str]]]:
     block, held = [], 0
-    rows = benchmark.select(F.col(item).cast("long").alias("i"), F.col(text).cast("string").alias("t"))
-    for r in rows.where("i is not null and t is not null").orderBy("i", "t").toLocalIterator():
+    rows = benchmark.select(F.col(f"`{item}`").alias("i"), F.col(f"`{text}`").cast("string").alias("t"))
+    for r in rows.where("t is not null").orderBy("i", "t").toLocalIterator():
         block.append((r["i"], r["t"]))
         held += len(r["t"])
         if held >= BLOCK_BYTES:
@@ -178,11 +189,13 @@ def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[i
         yield block
 
 
-def _search(items: list[tuple[int, str]], rate: float):
-    @F.arrow_udf(T.ArrayType(_HIT))
+def _search(items: list[tuple[object, str]], rate: float, kind: T.ArrayType):
+    block, arrow = uuid.uuid4().hex, to_arrow_type(kind)
+
+    @F.arrow_udf(kind)
     def hits(column: pa.Array) -> pa.Array:
-        matcher = _matcher(items, rate)
-        return pa.array([matcher.find(x) if x else [] for x in column.to_pylist()], _ARROW_HIT)
+        matcher = _matcher(block, items, rate)
+        return pa.array([matcher.find(x) if x else [] for x in column.to_pylist()], arrow)
 
     return hits
 
@@ -199,14 +212,14 @@ def find(
 ) -> DataFrame:
     """df with an array of (item, distance, start, end): the best match of every item found."""
     C.ship(df.sparkSession)
+    name, found = C.free_name(df, "__found"), C.free_name(df, "__hits")
+    kind = _hit_type(benchmark.schema[item].dataType)
     t = F.col(f"`{text}`").cast("string")
-    parts = []
-    for block in _blocks(benchmark, item, item_text):
-        parts.append(_search(block, rate)(t))
-    none = F.array().cast(T.ArrayType(_HIT))
-    name = C.free_name(df, "__hits")
-    joined = F.concat(none, *parts) if parts else none
-    return C.replace_columns(df.withColumn(name, F.struct(joined.alias(to))), name, [to])
+    got = df.withColumn(found, F.array().cast(kind))
+    for number, block in enumerate(_blocks(benchmark, item, item_text)):
+        got = C.cut(got) if number else got
+        got = got.withColumn(found, F.concat(found, _search(block, rate, kind)(t)))
+    return C.replace_columns(got.withColumn(name, F.struct(F.col(found).alias(to))).drop(found), name, [to])
 
 
 def clean(df: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
