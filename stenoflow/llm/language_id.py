@@ -35,8 +35,9 @@ from stenoflow.llm import common as C
 
 #: Rows learned from, per language, at most: the documented bound of the training sample.
 SAMPLE_PER_LANGUAGE = 300
-#: Languages told apart at most; the most frequent ones are taken.
-MAX_LANGUAGES = 256
+#: Rows learned from in all languages together, at most: with more languages each has fewer
+#: rows, and no language is left out as long as there are not more languages than rows.
+SAMPLE_ROWS = 6_000
 #: Size of the hashed feature space.
 DIMENSIONS = 1 << 12
 #: Relative frequencies are small; margins are learned on this multiple of them.
@@ -321,23 +322,24 @@ def train(
 ) -> Model | None:
     """Learn from a bounded sample of rows with a language and a letter in the text.
 
-    The sample takes at most about SAMPLE_PER_LANGUAGE rows of each language, chosen by
-    a hash of the key; only their hashed frequencies reach the driver.
+    The sample takes at most about SAMPLE_PER_LANGUAGE rows of each language and SAMPLE_ROWS in
+    all, chosen by a hash of the key; only their hashed frequencies reach the driver.
     """
     C.ship(labelled.sparkSession)
     rows = labelled.select(
         F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.col(key).alias("key")
     ).where(F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
+    counts = C.cut(rows.groupBy("lang").agg(F.count("*").alias("count")))
+    n = counts.count()
+    if not n:
         return None
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], SAMPLE_PER_LANGUAGE / r["count"])])
+    each = max(1, min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // n))
     drawn = (
-        rows.withColumn("o", C.unit_hash(F.col("key"), F.lit("language")))
-        .where(F.col("o") < F.try_element_at(share, F.col("lang")))
-        .where(has_letter(F.col("text")))
+        rows.join(F.broadcast(counts) if C.within_bytes(n, 100) else counts, "lang")
+        .withColumn("o", C.unit_hash(F.col("key"), F.lit("language")))
+        .where((F.col("o") < each / F.col("count")) & has_letter(F.col("text")))
         .select("lang", "o", _frequencies("text").alias("f"))
-        .limit(2 * SAMPLE_PER_LANGUAGE * len(counts))
+        .limit(2 * each * n)
     )
     got = [
         (r["lang"], r["o"], np.frombuffer(r["f"]["f"], np.float32), np.frombuffer(r["f"]["letters"], np.float16), r["f"]["n"])
@@ -363,7 +365,8 @@ def predict(
     t = F.col(f"`{text}`").cast("string")
     if model is None:
         got = F.struct(F.lit("und").alias(name), F.lit(0.0).alias(score))
-        return C.replace_columns(df.withColumn("__lang", got), "__lang", [name, score])
+        both = C.free_name(df, "__lang")
+        return C.replace_columns(df.withColumn(both, got), both, [name, score])
 
     @F.arrow_udf("struct<lang: string, score: double>")
     def classify(column: pa.Array) -> pa.Array:
@@ -379,14 +382,15 @@ def predict(
         )
 
     known = has_letter(t)
-    hit = df.withColumn("__hit", classify(t)).withColumn(
-        "__lang",
+    hit, both = C.free_name(df, "__hit"), C.free_name(df, "__lang")
+    found = df.withColumn(hit, classify(t)).withColumn(
+        both,
         F.struct(
-            F.when(known, F.col("__hit.lang")).otherwise("und").alias(name),
-            F.when(known, F.col("__hit.score")).otherwise(0.0).alias(score),
+            F.when(known, F.col(f"{hit}.lang")).otherwise("und").alias(name),
+            F.when(known, F.col(f"{hit}.score")).otherwise(0.0).alias(score),
         ),
     )
-    return C.replace_columns(hit.drop("__hit"), "__lang", [name, score])
+    return C.replace_columns(found.drop(hit), both, [name, score])
 
 
 def in_learned_language(text: Column, model: Model | None) -> Column:

@@ -31,8 +31,6 @@ from stenoflow.llm import common as C
 
 #: Rows learned from, at most: the documented bound of the training sample.
 SAMPLE_ROWS = 5_000
-#: Rows with more features than this are not drawn for training (they are scored whole).
-SAMPLE_FEATURES = 60_000
 BITS = 18
 #: Relative frequencies are multiplied by this before the dot product.
 SCALE = 20.0
@@ -177,7 +175,6 @@ def train(
         df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("text"))
         .join(F.broadcast(drawn), "k")
         .select("label", "o", _bag("text").alias("bag"))
-        .where(F.octet_length("bag") <= 8 * SAMPLE_FEATURES)
     )
     got = []
     for r in rows.toLocalIterator():
@@ -209,13 +206,11 @@ def score(
         ]
         return pa.array(np.concatenate(out) if out else np.zeros(0))
 
-    scored = df.withColumn("__p", value(F.col(f"`{text}`").cast("string"))).withColumn(
-        "__quality",
-        F.struct(
-            F.col("__p").alias(name), (F.col("__p") >= threshold).cast("int").alias(predicted)
-        ),
+    p, both = C.free_name(df, "__p"), C.free_name(df, "__quality")
+    scored = df.withColumn(p, value(F.col(f"`{text}`").cast("string"))).withColumn(
+        both, F.struct(F.col(p).alias(name), (F.col(p) >= threshold).cast("int").alias(predicted))
     )
-    return C.replace_columns(scored.drop("__p"), "__quality", [name, predicted])
+    return C.replace_columns(scored.drop(p), both, [name, predicted])
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,10 +8,10 @@ the gradient of the document's likelihood gives every sentence its share of the
 and sentences at or above `SENTENCE_THRESHOLD` are then located as offending.  Weights
 are kept at or above zero, since words can only add evidence.
 
-Training has three bounded steps on a sample of labelled rows: features that many toxic
-texts share (aggregated by Spark, top CANDIDATES), their counts in clean texts (which
-leaves those with a lift), and the fit of the noisy-or on the driver, which receives
-only sentence numbers of lifted features.
+Training has three steps on a bounded sample of labelled rows, whose vocabulary bounds all
+that follows: features that several toxic texts share (aggregated by Spark), their counts in
+clean texts (which leaves those with a lift), and the fit of the noisy-or on the driver, which
+receives only sentence numbers of lifted features.
 
 Defined cases: null and empty texts have no sentence and score 0.  A text without
 sentence marks is one sentence.  Texts of any length are read whole.  Rows whose label
@@ -35,11 +35,10 @@ from stenoflow.llm import common as C
 
 #: Rows of either label learned from, at most: the documented bound of the training sample.
 SAMPLE_ROWS = 6_000
-#: Features that are counted, and those that may get a weight, at most.
-CANDIDATES = 32_768
-FEATURES = 4_096
-#: Toxic texts of the sample that a feature needs.
-MIN_DOCUMENTS = 5
+#: Toxic texts of the sample that a feature needs: this, or a share of them where they are few.
+MIN_DOCUMENTS, MIN_SHARE = 5, 0.1
+#: How much more often than in clean texts a feature must stand in toxic ones.
+LEAST_LIFT = 4.0
 #: Scores from here up predict label 1.
 THRESHOLD = 0.7
 SENTENCE_THRESHOLD = 0.5
@@ -207,8 +206,8 @@ def train(
         sample.where("label = 1").select("label", "text")
         .mapInArrow(_shared, "h long, n long")
         .groupBy("h").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= MIN_DOCUMENTS)
-        .orderBy(F.desc("n"), "h").limit(CANDIDATES).collect()
+        .where(F.col("n") >= min(MIN_DOCUMENTS, max(1, int(MIN_SHARE * n.get(1, 0)))))
+        .collect()
     )
     candidates = Lookup(np.array([r["h"] for r in shared], np.int64).view(np.uint64))
     pos = dict(zip((r["h"] for r in shared), (r["n"] for r in shared), strict=True))
@@ -229,8 +228,7 @@ def train(
         clean[r["at"]] = r["n"]
     n_toxic, n_clean = min(n.get(1, 0), SAMPLE_ROWS) or 1, min(n.get(0, 0), SAMPLE_ROWS) or 1
     lift = (toxic / n_toxic) / ((clean + 0.5) / n_clean)
-    kept = np.flatnonzero(lift >= 4)
-    kept = kept[np.argsort(-toxic[kept] * np.log(lift[kept]), kind="stable")[:FEATURES]]
+    kept = np.flatnonzero(lift >= LEAST_LIFT)
     lookup = Lookup(candidates.known[kept])
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,8 +266,8 @@ def score(
 ) -> DataFrame:
     """df with the noisy-or score, the prediction, and the offending sentences.
 
-    `offending` lists (start, end, p) in UTF-8 bytes of the text for every sentence at or
-    above SENTENCE_THRESHOLD, in text order.
+    `offending` lists (start, end, p) in code points of the text, ends exclusive, for every
+    sentence at or above SENTENCE_THRESHOLD, in text order.
     """
     C.ship(df.sparkSession)
     name, predicted, offending = to
@@ -285,8 +283,11 @@ def score(
             p = model.sentence_scores(ids, sentence, len(row))
             docs.append(noisy_or(p, row, j - i))
             bad = np.flatnonzero(p >= SENTENCE_THRESHOLD)
-            begin = local[row[bad]]
-            parts.append((start[bad] - begin, end[bad] - begin, p[bad]))
+            # bytes to code points: those that continue a character do not count
+            place = np.zeros(local[-1] + 1, np.int64)
+            np.cumsum(buf[offsets[i] : offsets[j]] & 0xC0 != 0x80, out=place[1:])
+            begin = place[local[row[bad]]]
+            parts.append((place[start[bad]] - begin, place[end[bad]] - begin, p[bad]))
             ends += (ends[-1] + np.searchsorted(row[bad], np.arange(j - i), "right")).tolist()
         start, end, p = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ([], [], [])
         spans = pa.StructArray.from_arrays(
@@ -301,15 +302,16 @@ def score(
             names=["p", "spans"],
         )
 
-    scored = df.withColumn("__tox", value(F.col(f"`{text}`").cast("string"))).withColumn(
-        "__toxic",
+    tox, both = C.free_name(df, "__tox"), C.free_name(df, "__toxic")
+    scored = df.withColumn(tox, value(F.col(f"`{text}`").cast("string"))).withColumn(
+        both,
         F.struct(
-            F.col("__tox.p").alias(name),
-            (F.col("__tox.p") >= threshold).cast("int").alias(predicted),
-            F.col("__tox.spans").alias(offending),
+            F.col(f"{tox}.p").alias(name),
+            (F.col(f"{tox}.p") >= threshold).cast("int").alias(predicted),
+            F.col(f"{tox}.spans").alias(offending),
         ),
     )
-    return C.replace_columns(scored.drop("__tox"), "__toxic", list(to))
+    return C.replace_columns(scored.drop(tox), both, list(to))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
