@@ -504,19 +504,22 @@ def keep_one(df: DataFrame, *, key: str = "doc_id", text: str = "text", n: int =
     Rows with an empty set all stay.  Texts are joined with the bounded table of kept keys and
     not shuffled; only rows whose key is not unique are looked at again by their sets.
     """
-    which = components(df, key=key, text=text, n=n).select(
-        F.col("key").alias("__k"), F.col("sig").alias("__s"), F.col("node").alias("__node"), F.col("component").alias("__c")
-    )
-    first = which.where(F.col("__k").eqNullSafe(F.col("__c")))
-    kept = C.cut(first.groupBy("__k").agg(F.count("*").alias("__rows")))
-    counted = C.cut(which.groupBy("__k").agg(F.count("*").alias("__all")).where("__all > 1").select("__k", F.lit(True).alias("__many")))
-    kept = C.cut(kept.join(counted, kept["__k"].eqNullSafe(counted["__k"]), "left").select(kept["__k"], "__many"))
+    which = C.cut(components(df, key=key, text=text, n=n))
+    first = which.where(F.col("key").eqNullSafe(F.col("component")))
+    counted = which.groupBy("key").agg(F.count("*").alias("all")).where("all > 1").select("key", F.lit(True).alias("many"))
+    kept = first.select(F.col("key").alias("k")).distinct()
+    kept = C.cut(kept.join(counted, kept["k"].eqNullSafe(counted["key"]), "left").select("k", "many"))
     small = C.within_bytes(kept.count(), 110)
-    rows = df.join(F.broadcast(kept) if small else kept, F.col(f"`{key}`").eqNullSafe(F.col("__k")))
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    again = rows.where("__many").withColumn("__sig", _signatures(n)(F.col(f"`{text}`").cast("string")))
-    sure = first.select(F.col("__k").alias("__key"), "__s", "__node").distinct()
-    again = again.join(sure, F.col("__k").eqNullSafe(F.col("__key")) & (F.col("__sig") == F.col("__s")))
-    one = Window.partitionBy("__k", "__node").orderBy(F.col(f"`{text}`").asc_nulls_last(), *cols)
-    chosen = again.withColumn("__rank", F.row_number().over(one)).where("__rank = 1 or __node is null")
-    return rows.where("__many is null").select(*cols).union(chosen.select(*cols))
+    # the row is one column, so its names meet no other
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(f"`{key}`").alias("rk"),
+        F.col(f"`{text}`").cast("string").alias("t"),
+    )
+    rows = rows.join(F.broadcast(kept) if small else kept, F.col("rk").eqNullSafe(F.col("k")))
+    cols = [F.col(f"row.`{c}`").alias(c) for c in df.columns]
+    again = rows.where("many").withColumn("s", _signatures(n)(F.col("t")))
+    sure = first.select("key", "sig", "node").distinct()
+    again = again.join(sure, F.col("k").eqNullSafe(F.col("key")) & (F.col("s") == F.col("sig")))
+    one = Window.partitionBy("k", "node").orderBy(F.col("t").asc_nulls_last(), "row")
+    chosen = again.withColumn("rank", F.row_number().over(one)).where("rank = 1 or node is null")
+    return rows.where("many is null").select(*cols).union(chosen.select(*cols))

@@ -208,33 +208,29 @@ def mix(
     """
     taken = plan(df, key=key, source=source, text=text).where("passes > 0")
     # equal rows of the plan are interchangeable, so a key that is repeated is joined once
-    per_key = (
+    per_key = C.cut(
         taken.groupBy("key", "source", "size")
         .agg(F.sort_array(F.flatten(F.collect_list("positions"))).alias("p"), F.count("*").alias("n"))
-        .select(F.col("key").alias("__k"), F.col("source").alias("__s"), F.col("size").alias("__z"), "p", "n")
     )
-    rows = df.withColumn("__size", word_count(F.col(f"`{text}`").cast("string")))
-    per_key = C.cut(per_key)
     small = C.within_bytes(per_key.count(), 200)
+    # the row is one column, so its names meet no other
+    kept = [c for c in df.columns if c.lower() not in ("epoch", "position")]
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{key}`").alias("k"),
+        F.col(f"`{source}`").cast("string").alias("s"), F.col(f"`{text}`").cast("string").alias("t"),
+    ).withColumn("z", word_count(F.col("t")))
     joined = rows.join(
         F.broadcast(per_key) if small else per_key,
-        F.col(f"`{key}`").eqNullSafe(F.col("__k"))
-        & F.col(f"`{source}`").cast("string").eqNullSafe(F.col("__s"))
-        & (F.col("__size") == F.col("__z")),
+        F.col("k").eqNullSafe(F.col("key")) & F.col("s").eqNullSafe(F.col("source")) & (F.col("z") == F.col("size")),
     )
-    one = Window.partitionBy("__k", "__s", "__z").orderBy(F.col(f"`{text}`"))
+    one = Window.partitionBy("k", "s", "z").orderBy("t")
     # only keys that are not unique need their positions dealt out, so other texts are not shuffled for it
-    alone = joined.where("n = 1").withColumn("__at", F.lit(0))
-    shared = joined.where("n > 1").withColumn("__at", F.row_number().over(one) - 1)
-    dealt = alone.unionByName(shared).withColumn(
-        "__mine",
-        F.expr("filter(transform(p, (x, i) -> struct(i as i, x as x)), e -> e.i % n = __at)"),
-    )
-    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in ("epoch", "position")]
-    return (
-        dealt.select(*kept, F.posexplode("__mine").alias("epoch", "__e"))
-        .select(*kept, "epoch", F.col("__e.x").alias("position"))
-        .orderBy("position", F.col(f"`{key}`"), "epoch")
+    alone = joined.where("n = 1").withColumn("at", F.lit(0))
+    shared = joined.where("n > 1").withColumn("at", F.row_number().over(one) - 1)
+    mine = F.expr("filter(transform(p, (x, i) -> struct(i as i, x as x)), e -> e.i % n = at)")
+    dealt = alone.unionByName(shared).select("row", "k", F.posexplode(mine).alias("epoch", "e"))
+    return dealt.orderBy(F.col("e.x"), "k", "epoch").select(
+        *[F.col(f"row.`{c}`").alias(c) for c in kept], "epoch", F.col("e.x").alias("position")
     )
 
 

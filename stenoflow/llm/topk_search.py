@@ -355,7 +355,8 @@ def search(
             for r in ranked.where(F.col("rank") == k).select("q", "score").toLocalIterator():
                 floors[r["q"]] = max(floors[r["q"]], r["score"])
         named = spark.createDataFrame([(i, x) for i, x in enumerate(keys)], f"q int, query {kind}")
-        parts.append(C.cut(best(docs, floors).where(F.col("rank") <= k).join(named, "q").select("query", "rank", "found", "score")))
+        top = C.cut(best(docs, floors).where(F.col("rank") <= k))
+        parts.append(top.join(F.broadcast(named), "q").select("query", "rank", "found", "score"))
     if not parts:
         return spark.createDataFrame([], f"query {kind}, rank int, found {kind}, score double")
     found = parts[0]

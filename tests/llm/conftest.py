@@ -18,7 +18,7 @@ def odd(spark):
         (7, "1234 5678 !!", "es", "c", 9), (8, "日本語 テキスト ß É ſ", "ja", "c", 1), (None, None, None, None, None), (1, "Another text under a known key.", "en", "a", 2),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    extra = {c: "clash" for c in ("score", "size", "target", "taken", "spans", "secrets", "contamination", "n_tokens", "key", "sig", "component", "position", "epoch", "lang_pred", "offending", "predicted")}
+    extra = {c: "clash" for c in ("score", "size", "target", "taken", "spans", "secrets", "contamination", "n_tokens", "key", "sig", "component", "position", "epoch", "lang_pred", "offending", "predicted", "n", "p", "q", "at", "k", "row", "t", "__p", "__k", "__t", "__lang", "__hit", "__tox", "__n", "__found", "__sig", "found", "rank", "h")}
     from pyspark.sql import functions as F
 
     return df.select("*", *[F.lit(v).alias(k) for k, v in extra.items()])

@@ -199,12 +199,17 @@ def test_token_counts_equal_the_library(spark, docs):
         assert (r["n_tokens"], r["n_bytes"]) == (len(library.encode(text)), len(text.encode()))
     r, machine = random.Random(4), token_counts.transducer(file)
     bits = ["a", "the", "in", "g", " ", "  ", "▁", "\n", "é", "ß", "<s>", "</s>", "<unk>", "<0x41>", "日", "😀", "1", "23", "!!", "####", "\r\n", "\x00", "ſ"]
-    for size in (1 << 14, 1, 2, 5):
-        token_counts.CHUNK = size
-        for _ in range(1500):
+    for size, run_up in ((1 << 14, 96), (1, 96), (2, 1), (5, 3), (7, 0)):
+        token_counts.CHUNK, token_counts.WARM_UP = size, run_up
+        for _ in range(1200):
             text = "".join(r.choice(bits) for _ in range(r.randint(0, 40)))
             assert machine.count(text) == len(library.encode(text)), repr(text)
-    token_counts.CHUNK = 1 << 14
+        for letters in ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", "aab", "的一是不了人我在", "thein"):
+            text = "".join(r.choice(letters) for _ in range(700))
+            assert machine.count(text) == len(library.encode(text)), letters
+    token_counts.CHUNK, token_counts.WARM_UP = 1 << 14, 96
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(100_000))
+    assert machine.count(text) == len(library.encode(text))
 
 
 def test_search(spark, docs):
