@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, written to the shared checkpoint folder of the session (or to its own, where none is set)."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        place = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(place or tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp"))
-    return df.checkpoint(eager=True)
+    """df, written once as a table in the shared checkpoint folder; only a session on this machine alone gets a folder of its own."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    place = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if place is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("a cluster needs a shared folder in spark.checkpoint.dir")
+        place = tempfile.mkdtemp(prefix="spark-checkpoint-", dir="/tmp")
+        sc.setCheckpointDir(place)
+    path = f"{place.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
