@@ -2,14 +2,17 @@
 
 Each segment is sought from where the last one ended: windows forward and, five to one,
 backward; the best regions are refined; a poor result is sought again from the start; the
-last resort is the best text at the cursor.  The order makes this one task per transcript;
+last resort is the best text at the cursor.  Where too few tokens are left for any text, the
+segment has no match (nulls) and the cursor stays.  The order makes this one task per transcript;
 the set-based operators are the default.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -54,25 +57,37 @@ class Aligner:
         if not asr:
             return [1.0] * len(lengths)
         words = self.tokens[start : start + max(lengths)]
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1 if words else []
-        cuts = [int(ends[min(n, len(words)) - 1]) if words else 0 for n in lengths]
+        ends = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words]) - 1]).astype(int)
+        cuts = [int(ends[min(n, len(words))]) for n in lengths]
         return [d / len(asr) for d in distances(asr, " ".join(words), cuts)]
 
+    def ahead(self, width: int, cursor: int) -> Iterator[int]:
+        """Window starts from the cursor on; the last window is moved back to end with the transcript."""
+        n, step = len(self.tokens), max(width // 2, 1)
+        for pos in range(cursor, n, step):
+            if pos + width >= n:
+                yield max(n - width, 0) if pos + width > n else pos
+                if pos + width > n:
+                    return
+            else:
+                yield pos
+
+    def behind(self, width: int, cursor: int) -> Iterator[int]:
+        """Window starts before the cursor; the last one is at the limit."""
+        limit, step = max(cursor - self.back, 0), max(width // 2, 1)
+        while cursor > limit:
+            cursor = max(cursor - step, limit)
+            yield cursor
+
     def regions(self, asr: str, width: int, cursor: int) -> list[int]:
         """Window starts worth refining, or the first new best that is good enough."""
-        step, last = max(width // 2, 1), max(len(self.tokens) - width, 0)
-        ahead, behind = iter(range(min(cursor, last), last + 1, step)) if cursor < len(self.tokens) else iter(()), iter(
-            range(min(cursor - step, last), max(cursor - self.back, 0) - 1, -step)
-        )
+        ahead, behind = self.ahead(width, cursor), self.behind(width, cursor)
         seen, least = [], 1e9
         open_ = True
         while open_:
             open_ = False
             for source, turns in ((ahead, self.forward_turns), (behind, 1)):
-                for _ in range(turns):
-                    pos = next(source, None)
-                    if pos is None or pos < 0:
-                        break
+                for pos in islice(source, turns):
                     open_ = True
                     c = self.score(asr, pos, [width])[0]
                     seen.append((c, pos))
@@ -82,26 +97,29 @@ class Aligner:
                             return [pos]
         return [p for _, p in heapq.nsmallest(self.top, seen)]
 
-    def refine(self, asr: str, width: int, region: int) -> tuple[float, int, int]:
-        lengths = list(range(max(1, width - self.margin), width + self.margin + 1))
-        best, good = (1e9, region, region), False
-        for start in range(max(0, region - self.margin), min(region + self.margin, max(len(self.tokens) - 1, 0)) + 1):
-            scores = self.score(asr, start, lengths)
+    def refine(self, asr: str, width: int, region: int) -> tuple[float, int, int] | None:
+        """(cer, start, end) of the best text near a region; None where too few tokens are left for the least length."""
+        n, best, good = len(self.tokens), None, False
+        for start in range(max(0, region - self.margin), region + self.margin + 1):
+            lengths = range(max(0, width - self.margin), min(width + self.margin, n - start) + 1)
+            if not lengths:
+                continue
+            scores = self.score(asr, start, list(lengths))
             k = int(np.argmin(scores))
-            if scores[k] < best[0]:
-                best = (scores[k], start, min(start + lengths[k], len(self.tokens)))
+            if best is None or scores[k] < best[0]:
+                best = (scores[k], start, start + lengths[k])
+            good = good or best[0] <= self.fine_cer
             if good and scores[k] > self.fine_cer:
                 break
-            good = good or scores[k] <= self.fine_cer
         return best
 
-    def find(self, asr: str, cursor: int) -> tuple[float, int, int]:
+    def find(self, asr: str, cursor: int) -> tuple[float, int, int] | None:
         width = max(len(asr.split()), 1)
         for start, limit in ((cursor, self.region_cer), (0, self.global_cer)):
-            found = [self.refine(asr, width, r) for r in self.regions(asr, width, start)]
-            if found and min(found)[0] <= limit:
+            found = [m for r in self.regions(asr, width, start) if (m := self.refine(asr, width, r)) and m[0] <= limit]
+            if found:
                 return min(found, key=lambda f: f[0])
-        return self.refine(asr, width, min(cursor, max(len(self.tokens) - 1, 0)))
+        return self.refine(asr, width, cursor)
 
 
 def _align(part: pd.DataFrame) -> pd.DataFrame:
@@ -111,13 +129,17 @@ def _align(part: pd.DataFrame) -> pd.DataFrame:
     try:
         aligner = Aligner((part["text"].iloc[0] or "").split())
         for i, asr in zip(part["seg_idx"], part["asr"], strict=True):
-            c, a, b = aligner.find(asr or "", cursor)
-            rows.append((video, transcript, int(i), a, b, float(c), " ".join(aligner.tokens[a:b]), None))
-            cursor = b
+            match = aligner.find(asr or "", cursor)
+            if match is None:
+                rows.append((video, transcript, int(i), None, None, None, None, None))
+                continue
+            c, a, cursor = match
+            rows.append((video, transcript, int(i), a, cursor, float(c), " ".join(aligner.tokens[a:cursor]), None))
     except Exception as e:  # one bad transcript is reported, the others go on
         rows = [(video, transcript, None, None, None, None, None, repr(e)[:500])]
     names = [f.split()[0] for f in SCHEMA.split(", ")]
-    return pd.DataFrame(rows, columns=names)
+    frame = pd.DataFrame(rows, columns=names)
+    return frame.astype({"seg_idx": "Int32", "start_idx": "Int32", "end_idx": "Int32", "cer": "Float64"})
 
 
 def align(segments: DataFrame) -> DataFrame:

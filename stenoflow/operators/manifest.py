@@ -145,3 +145,35 @@ def rank_rows(df: DataFrame, order: list[str]) -> DataFrame:
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
     return parts.join(F.broadcast(offsets), "_p").withColumn("rank", F.col("_o") + F.col("_i") + 1).drop("_p", "_i", "_o")
+
+
+def unique_or_raise(df: DataFrame, key: list[str]) -> DataFrame:
+    """df; a repeated key ends the query.  Counted by key, so a hot key does not meet in one task as rows."""
+    n = df.groupBy(*key).agg(F.count("*").alias("_n"))
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in key])
+    bad = n.agg(F.max(F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("repeated key: "), shown))).otherwise(F.lit(0))).alias("_bad"))
+    return df.join(F.broadcast(bad), F.coalesce("_bad", F.lit(0)).cast("int") == 0).drop("_bad")
+
+
+def lookup_inner(df: DataFrame, other: DataFrame, on: str, order: str, value: str) -> DataFrame:
+    """Rows of df with the value of the last row of other under the same key; rows without one go."""
+    return df.join(last_wins(other, [on], order, value), on)
+
+
+def both_unmatched(left: DataFrame, right: DataFrame, key: str, examples: int) -> DataFrame:
+    """(side, key, n): of the keys that only one side has, the first examples of each side, and how many there are."""
+    only = unmatched(left, right, key)
+    w = Window.partitionBy("side").orderBy(key)
+    n = only.groupBy("side").agg(F.count("*").alias("n"))
+    first = only.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= examples).drop("_r")
+    return first.join(F.broadcast(n), "side")
+
+
+def id_first(df: DataFrame, *ids: str) -> DataFrame:
+    """Ids first, the other columns in their order."""
+    return df.select(*ids, *[c for c in df.columns if c not in ids])
+
+
+def page_of(df: DataFrame, offset: int, n: int, *order: Column) -> DataFrame:
+    """n rows after the first `offset` in the given order."""
+    return df.orderBy(*order).offset(offset).limit(n)

@@ -26,8 +26,9 @@ def turns(df: DataFrame, group: str, order: str, is_header: Column, speaker: Col
 
 
 def formatted(df: DataFrame, group: str, order: str, speaker: Column, text: Column) -> DataFrame:
-    """One marked text per session: numbered speeches between rules."""
-    rows = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), speaker.alias("s"), text.alias("t"))))
+    """One marked text per session: numbered speeches between rules; an unknown speaker or text is empty."""
+    known = lambda c: F.coalesce(c, F.lit(""))
+    rows = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), known(speaker).alias("s"), known(text).alias("t"))))
     block = lambda r: F.concat(F.lit("[SPEECH] "), r["o"].cast("string"), F.lit("\nSpeaker: "), r["s"], F.lit("\nContent:\n"), r["t"])
     rule = "\n" + "=" * 80 + "\n"
     return df.groupBy(group).agg(F.array_join(F.transform(rows, block), rule).alias("text"))

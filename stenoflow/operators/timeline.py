@@ -41,6 +41,19 @@ def label_changes(df: DataFrame, group: str, order: str, label: str) -> DataFram
     return df.withColumn("previous", F.lag(label).over(w)).where(F.col("previous") != F.col(label))
 
 
+def overlaps(df: DataFrame, group: str, label: str, *, bucket: float = 600.0) -> DataFrame:
+    """(group, start, end, label, until): intervals that begin while one of another label goes on, and its latest end.
+
+    Both sides are dealt to time buckets; a pair meets in the bucket in which the later one begins.
+    """
+    later = df.select(group, "start", "end", label, F.floor(F.col("start") / bucket).alias("_b"))
+    spread = F.explode(F.sequence(F.floor(F.col("start") / bucket), F.floor(F.col("end") / bucket)))
+    going = df.select(group, F.col("start").alias("_from"), F.col("end").alias("_to"), F.col(label).alias("_label"), spread.alias("_b"))
+    met = later.join(going, [group, "_b"]).where(
+        (F.col("_from") <= F.col("start")) & (F.col("_to") > F.col("start")) & (F.col("_label") != F.col(label)))
+    return met.groupBy(group, "start", "end", label).agg(F.max("_to").alias("until"))
+
+
 def sessions(df: DataFrame, group: str, ts: Column, gap_seconds: int) -> DataFrame:
     """(group, session_start, session_end, n): runs of events less than the gap apart."""
     return (

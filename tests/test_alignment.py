@@ -78,3 +78,74 @@ def test_selection_levels(spark):
         selection.select_transcripts(level1, "all", 0.3)
     stats = {r["video"]: r for r in selection.alignment_stats(df).collect()}
     assert stats["w"]["median_cer"] == 0.0 and stats["w"]["skipped"] == 1
+
+
+def restated(tokens, asr, cursor):
+    """The search with every distance computed on its own."""
+    n, w = len(tokens), max(len(asr.split()), 1)
+    step = max(w // 2, 1)
+
+    def cer(start, length):
+        return edit(asr, " ".join(tokens[start : start + length])) / len(asr) if asr else 1.0
+
+    def near(region):
+        best, good = None, False
+        for start in range(region - 15, region + 16):
+            here = [(cer(start, k), k) for k in range(max(0, w - 15), w + 16) if start + k <= n] if start >= 0 else []
+            if not here:
+                continue
+            c, k = min(here)
+            if best is None or c < best[0]:
+                best = (c, start, start + k)
+            good = good or best[0] <= 0.05
+            if good and c > 0.05:
+                break
+        return best
+
+    def windows(at):
+        forward, pos = [], at
+        while pos < n:
+            forward.append(min(pos, max(n - w, 0)))
+            if pos + w > n:
+                break
+            pos += step
+        backward, pos = [], at
+        while pos > max(at - 250, 0):
+            pos = max(pos - step, max(at - 250, 0))
+            backward.append(pos)
+        seen = []
+        while forward or backward:
+            turn, forward, backward = forward[:5] + backward[:1], forward[5:], backward[1:]
+            for p in turn:
+                c = cer(p, w)
+                if c <= 0.3 and all(c < x for x, _ in seen):
+                    return [p]
+                seen.append((c, p))
+        return [p for _, p in sorted(seen)[:3]]
+
+    for at, limit in ((cursor, 0.3), (0, 0.45)):
+        found = [m for m in map(near, windows(at)) if m and m[0] <= limit]
+        if found:
+            return min(found, key=lambda m: m[0])
+    return near(cursor)
+
+
+def test_sequential_search_equals_its_restatement():
+    r = random.Random(12)
+    for case in range(14):
+        doc = [r.choice(["ä", "ße", "on", "и", "cd", "e"]) + r.choice("xyz") for _ in range(r.choice([0, 3, 20, 45, 103]))]
+        width = r.choice([1, 4, 10, 22])
+        at = r.randint(0, max(len(doc) - width, 0))
+        heard = [w if r.random() < 0.85 else "um" for w in doc[at : at + width]] or ["nil"] * width
+        if case % 5 == 4:
+            heard = ["qq"] * width
+        for cursor in {0, 7, 33, len(doc)}:
+            asr, cursor = " ".join(heard), min(cursor, len(doc))
+            got = align_exact.Aligner(doc).find(asr, cursor)
+            assert (got and (pytest.approx(got[0]), *got[1:])) == restated(doc, asr, cursor)
+
+
+def test_a_segment_longer_than_what_is_left_has_no_match(spark):
+    rows = [("v", "t", i, "x " * 30, "a b c") for i in range(2)]
+    got = align_exact.align(spark.createDataFrame(rows, "video string, transcript string, seg_idx int, asr string, text string")).collect()
+    assert [(r["seg_idx"], r["start_idx"], r["cer"], r["error"]) for r in got] == [(0, None, None, None), (1, None, None, None)]

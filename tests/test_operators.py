@@ -112,3 +112,32 @@ def test_status(spark):
     ev = spark.createDataFrame(rows, "event_id long, item string, ts timestamp, status string, error string")
     r = status.latest(ev).collect()[0]
     assert (r["status"], r["attempts"], r["last_error"]) == ("completed", 1, "late")
+
+
+def test_a_repeated_key_ends_the_query(spark):
+    from stenoflow.operators import manifest as M
+
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "id int, x string")
+    assert M.unique_or_raise(df.where("x <> 'c'"), ["id"]).count() == 2 and M.unique_or_raise(df.where("false"), ["id"]).count() == 0
+    with pytest.raises(Exception, match="repeated key: 2"):
+        M.unique_or_raise(df, ["id"]).collect()
+
+
+def test_transitions_of_states(spark):
+    from stenoflow.operators import status as ST
+
+    rows = [(1, 1, "pending"), (1, 2, "downloading"), (1, 3, "failed"), (1, 4, "downloading"), (1, 5, "completed"), (1, 6, "pending"), (2, 1, "completed")]
+    df = spark.createDataFrame(rows, "item int, event_id int, status string").withColumn("ts", F.timestamp_seconds("event_id"))
+    got = ST.transitions(df, ST.DOWNLOAD).orderBy("item", "event_id").collect()
+    assert [r["legal"] for r in got] == [True, True, True, True, True, False, False]
+    assert [r["seconds"] for r in got] == [1, 1, 1, 1, 1, None, None]
+    items = spark.createDataFrame([(1,), (3,)], "item int")
+    assert [r[0] for r in ST.todo(items, df, "item").collect()] == [3] and ST.todo(items, df, "item", force=True).count() == 2
+
+
+def test_speeches_without_speaker_or_text_stay(spark):
+    from stenoflow.operators import speech as S
+
+    df = spark.createDataFrame([("a", 1, "X", "one"), ("a", 2, None, "two"), ("a", 3, "Y", None)], "g string, o int, s string, t string")
+    text = S.formatted(df, "g", "o", F.col("s"), F.col("t")).collect()[0]["text"]
+    assert text.count("[SPEECH]") == 3 and "two" in text
