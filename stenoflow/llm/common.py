@@ -73,6 +73,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     for path in _written[begun:]:
         remove(spark, path)
     del _written[begun:]
+    release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete shuffles and broadcasts that nothing refers to any more.
+
+    The cleaner acts on the driver's garbage collection, which is else due every 30 minutes.
+    """
+    spark.sparkContext._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -402,6 +402,7 @@ def _links(texts: DataFrame, ids: DataFrame, ranks: np.ndarray, shift: int, n: i
         nodes.join(first, nodes["sig"] == first["node"], "left")
         .select("sig", "gid", "key", F.coalesce("component", "sig").alias("comp"))
     )
+    C.release(texts.sparkSession)
     groups = C.cut(member.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")))
     bits = (1 << 27) - 1
     placed = C.look_up(
