@@ -12,6 +12,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,11 +79,24 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete shuffles and broadcasts that nothing refers to any more.
+    """Give back memory of the driver that nothing refers to any more.
 
-    The cleaner acts on the driver's garbage collection, which is else due every 30 minutes.
+    Spark's cleaner deletes shuffles and broadcasts when the driver's garbage is collected, which
+    is else due every 30 minutes.  Memory that the driver's JVM and Arrow have freed stays with the
+    process until it is asked for; a JVM without that command keeps it.
     """
-    spark.sparkContext._jvm.System.gc()
+    jvm, array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    jvm.System.gc()
+    call = array(jvm.Object, 4)
+    call[0] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    call[1] = "systemTrimNativeHeap"
+    server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+    methods = jvm.Class.forName("javax.management.MBeanServer").getMethods()
+    try:
+        next(m for m in methods if m.getName() == "invoke").invoke(server, call)
+    except Py4JJavaError:
+        pass
+    pa.default_memory_pool().release_unused()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -397,6 +397,7 @@ def _links(texts: DataFrame, ids: DataFrame, ranks: np.ndarray, shift: int, n: i
     )
     inside = nodes.join(reps, "gid").select(F.col("sig").alias("a"), F.col("rep").alias("b"))
     tried = C.cut(_ordered(star.union(inside)))
+    C.release(texts.sparkSession)
     first = connected_components(_verify(tried, texts, speakers, n, percent))
     member = C.cut(
         nodes.join(first, nodes["sig"] == first["node"], "left")
@@ -411,6 +412,7 @@ def _links(texts: DataFrame, ids: DataFrame, ranks: np.ndarray, shift: int, n: i
     )
     open_grams = placed.groupBy("gram").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l <> h")
     live = C.cut(placed.join(open_grams.select("gram"), "gram", "left_semi").dropDuplicates(["gram", "gid"]))
+    C.release(texts.sparkSession)
     x, y = live.alias("x"), live.alias("y")
     c = F.col
     left = F.least(c("x.n") - c("x.place"), c("y.n") - c("y.place"))
@@ -455,6 +457,7 @@ def components(
         )
     )
     found = C.cut(_links(texts, ids, ranks, shift, n, percent))
+    C.release(df.sparkSession)
     # copies share a signature: a hot one is not shuffled to one task
     return C.look_up(ids, found, "sig", HOT_ROWS).select(
         "key", "sig", F.col("n").cast("long").alias("n_shingles"), F.col("comp").alias("node"),
