@@ -8,6 +8,7 @@ being held several times over in wide arrays.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,6 +71,19 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Give freed memory of this Python process back to the system, where the C library can.
+
+    Spark keeps idle workers, whose freed memory would count beside the work of others.
+    """
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about `size` bytes each, one row at least."""
     i, n = 0, len(offsets) - 1

@@ -12,11 +12,12 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
-import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stenoflow.llm import bytesets as B
+
 _ROOT = Path(__file__).resolve().parents[2]
 
 
@@ -82,7 +83,7 @@ def release(spark: SparkSession) -> None:
     """Give back memory of the driver that nothing refers to any more.
 
     Spark's cleaner deletes shuffles and broadcasts when the driver's garbage is collected, which
-    is else due every 30 minutes.  Memory that the driver's JVM and Arrow have freed stays with the
+    is else due every 30 minutes.  Memory that the driver's JVM and Python have freed stays with the
     process until it is asked for; a JVM without that command keeps it.
     """
     jvm, array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
@@ -96,7 +97,7 @@ def release(spark: SparkSession) -> None:
         next(m for m in methods if m.getName() == "invoke").invoke(server, call)
     except Py4JJavaError:
         pass
-    pa.default_memory_pool().release_unused()
+    B.give_back()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

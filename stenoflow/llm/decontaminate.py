@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from stenoflow.llm import bytesets as B
 from stenoflow.llm import common as C
 
 #: Edits allowed, as a share of an item's characters.
@@ -195,7 +196,9 @@ def _search(items: list[tuple[object, str]], rate: float, kind: T.ArrayType):
     @F.arrow_udf(kind)
     def hits(column: pa.Array) -> pa.Array:
         matcher = _matcher(block, items, rate)
-        return pa.array([matcher.find(x) if x else [] for x in column.to_pylist()], arrow)
+        found = pa.array([matcher.find(x) if x else [] for x in column.to_pylist()], arrow)
+        B.give_back()
+        return found
 
     return hits
 

@@ -92,6 +92,7 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.Record
                 if len(s) > 1:
                     s = s[np.concatenate([[True], s[1:] != s[:-1]])]
                 yield batch, i + r, s
+        B.give_back()
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
@@ -101,6 +102,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
         for i, j in B.slices(offsets):
             sh, _ = shingles(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], n)
             total += np.bincount((sh >> _SHIFT).astype(np.int64), minlength=len(total))
+        B.give_back()
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["at", "n"])
 

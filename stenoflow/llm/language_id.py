@@ -404,6 +404,7 @@ def in_learned_language(text: Column, model: Model | None) -> Column:
         out = []
         for i, j in B.slices(offsets, B.SLICE_BYTES // 4):
             out += model.known(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]).tolist()
+        B.give_back()
         return pa.array(out, pa.bool_())
 
     return has_letter(text) & known(text)
