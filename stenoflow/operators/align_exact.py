@@ -143,5 +143,5 @@ def _align(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def align(segments: DataFrame) -> DataFrame:
-    """Rows (video, transcript, seg_idx, asr, text) to matches; text is the whole transcript."""
+    """Rows (video, transcript, seg_idx, asr, text) to matches; text is the whole transcript, read on the first segment alone."""
     return segments.groupBy("video", "transcript").applyInPandas(_align, SCHEMA)

@@ -16,8 +16,9 @@ GLOBAL_CER = 0.45
 MARGIN = 15
 TOP = 3
 NGRAM = 4
-#: Anchors of segments are broadcast below this many rows.
-BROADCAST_ROWS = 2_000_000
+#: The segments' n-grams are broadcast up to this many bytes; a row counts ROW_BYTES beside its text.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 64
 
 
 def cer(asr: Column, human: Column) -> Column:
@@ -36,7 +37,8 @@ def anchors(segments: DataFrame, transcripts: DataFrame, n: int = NGRAM) -> Data
     """(seg, doc, lo, hi): least and largest diagonal of shared n-grams of every pair that has one."""
     s = segments.select("seg", F.posexplode(_ngrams(F.col("stoks"), n)).alias("spos", "gram"))
     d = transcripts.select("doc", F.posexplode(_ngrams(F.col("toks"), n)).alias("dpos", "gram"))
-    s = F.broadcast(s) if s.count() <= BROADCAST_ROWS else s
+    weight = s.agg(F.sum(F.octet_length("gram") + ROW_BYTES)).first()[0] or 0
+    s = F.broadcast(s) if weight <= BROADCAST_BYTES else s
     diagonal = F.col("dpos") - F.col("spos")
     return d.join(s, "gram").groupBy("seg", "doc").agg(F.min(diagonal).alias("lo"), F.max(diagonal).alias("hi"))
 
@@ -45,22 +47,46 @@ def _text(tokens: Column, start: Column, length: Column) -> Column:
     return F.array_join(F.slice(tokens, start + 1, length), " ")
 
 
-def pairs(segments: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """Anchored pairs with texts: seg, doc, asr, w (tokens of the segment), toks, lo, hi."""
+def _span() -> tuple[Column, Column]:
+    """Least and largest start of the coarse windows of a pair (w, lo, hi, n)."""
+    last = F.greatest(F.col("n") - F.col("w"), F.lit(0))
+    first = F.least(F.greatest(F.col("lo") - F.col("w"), F.lit(0)), last)
+    return first, F.greatest(F.least(F.col("hi") + F.col("w"), last), first)
+
+
+def pairs(segments: DataFrame, transcripts: DataFrame, margin: int = MARGIN) -> DataFrame:
+    """Anchored pairs: seg, doc, asr, w (tokens of the segment), lo, hi, n (tokens of the transcript), band, off.
+
+    The band is the part of the transcript that the searches around the anchors read, with a margin for the
+    fine one; it begins at token off.  No later row carries a whole transcript.
+    """
     found = anchors(segments, transcripts)
-    return found.join(segments.select("seg", "asr", F.size("stoks").alias("w")), "seg").join(transcripts, "doc")
+    whole = found.join(segments.select("seg", "asr", F.size("stoks").alias("w")), "seg").join(
+        transcripts.select("doc", "toks", F.size("toks").alias("n")), "doc")
+    first, end = _span()
+    off = F.greatest(first - margin, F.lit(0)).cast("int")
+    band = F.slice("toks", off + 1, (end + F.col("w") + 2 * margin).cast("int") - off)
+    return whole.select("seg", "doc", "asr", "w", "lo", "hi", "n", off.alias("off"), band.alias("band"))
+
+
+def at(start: Column, length: Column) -> Column:
+    """Text of a pair's transcript from token start on, read in its band."""
+    return _text(F.col("band"), start - F.col("off"), length)
+
+
+def anchored() -> Column:
+    """Start of a pair's window at its first anchor."""
+    return F.greatest(F.least("lo", F.col("n") - F.col("w")), F.lit(0))
 
 
 def coarse(paired: DataFrame, top: int = TOP) -> DataFrame:
-    """The best windows of each pair: steps of half a window over the anchored band."""
+    """The best windows of each pair: steps of half a window over the anchored band, ranked within the pair's row."""
     step = F.greatest(F.floor(F.col("w") / 2), F.lit(1))
-    last = F.greatest(F.size("toks") - F.col("w"), F.lit(0))
-    first = F.least(F.greatest(F.col("lo") - F.col("w"), F.lit(0)), last)
-    end = F.greatest(F.least(F.col("hi") + F.col("w"), last), first)
-    starts = F.explode(F.sequence(first.cast("int"), end.cast("int"), step.cast("int")))
-    scored = paired.select("*", starts.alias("pos")).withColumn("cer", cer(F.col("asr"), _text(F.col("toks"), F.col("pos"), F.col("w"))))
-    best = Window.partitionBy("seg", "doc").orderBy("cer", "pos")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    first, end = _span()
+    starts = F.sequence(first.cast("int"), end.cast("int"), step.cast("int"))
+    scored = F.transform(starts, lambda p: F.struct(cer(F.col("asr"), at(p, F.col("w"))).alias("cer"), p.alias("pos")))
+    ranked = paired.select("*", F.posexplode(F.slice(F.array_sort(scored), 1, top)).alias("rank", "window"))
+    return ranked.withColumns({"rank": F.col("rank") + 1, "pos": F.col("window.pos"), "cer": F.col("window.cer")}).drop("window")
 
 
 def fine(regions: DataFrame, margin: int = MARGIN) -> DataFrame:
@@ -68,7 +94,7 @@ def fine(regions: DataFrame, margin: int = MARGIN) -> DataFrame:
 
     Lengths are at least 1 and starts at least 0; distances beyond GLOBAL_CER of the segment are not told apart.
     """
-    n = F.size("toks")
+    n = F.col("n")
     limit = F.ceil(F.char_length("asr") * GLOBAL_CER).cast("int")
     # a region is small but costs hundreds of distances: spread by number, which adaptive coalescing keeps
     parts = max(
@@ -76,11 +102,11 @@ def fine(regions: DataFrame, margin: int = MARGIN) -> DataFrame:
         regions.sparkSession.sparkContext.defaultParallelism,
     )
     candidates = regions.repartition(parts, "seg", "doc", "rank").select(
-        "seg", "doc", "asr", "toks", "rank", "w", "pos",
+        "seg", "doc", "asr", "n", "off", "band", "rank", "w", "pos",
         F.explode(F.sequence(F.greatest(F.col("pos") - margin, F.lit(0)), F.least(F.col("pos") + margin, n - 1))).alias("start"),
     ).select("*", F.explode(F.sequence(F.greatest(F.col("w") - margin, F.lit(1)), F.col("w") + margin)).alias("length"))
     candidates = candidates.where(F.col("start") + F.col("length") <= n)
-    human = _text(F.col("toks"), F.col("start"), F.col("length"))
+    human = at(F.col("start"), F.col("length"))
     # a difference in length is the least distance there can be
     near = F.abs(F.char_length(human) - F.char_length("asr")) <= limit
     distance = F.when(near, F.call_function("levenshtein", F.col("asr"), human, limit))
@@ -97,9 +123,9 @@ def best(fined: DataFrame, paired: DataFrame) -> DataFrame:
     w = Window.partitionBy("seg", "doc").orderBy("cer", "start", "end")
     top = fined.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r", "rank")
     stage = F.when(F.col("cer") <= REGION_CER, "region").when(F.col("cer") <= GLOBAL_CER, "global").otherwise("fallback")
-    anchor = F.greatest(F.least("lo", F.size("toks") - F.col("w")), F.lit(0))
+    anchor = anchored()
     back = paired.select("seg", "doc", anchor.alias("b_start"), (anchor + F.col("w")).alias("b_end"),
-                         cer(F.col("asr"), _text(F.col("toks"), anchor, F.col("w"))).alias("b_cer"))
+                         cer(F.col("asr"), at(anchor, F.col("w"))).alias("b_cer"))
     joined = back.join(top, ["seg", "doc"], "left")
     missing = F.col("cer").isNull()
     return joined.select(

@@ -70,8 +70,8 @@ def cer_pairs_full(table):
 
 
 def _cer_pairs(p: DataFrame) -> DataFrame:
-    start = F.greatest(F.least("lo", F.size("toks") - F.col("w")), F.lit(0))
-    human = F.array_join(F.slice("toks", start + 1, F.col("w")), " ")
+    start = alignment.anchored()
+    human = alignment.at(start, F.col("w"))
     return p.select("seg", "doc", start.alias("start"), F.round(alignment.cer(F.col("asr"), human), 6).alias("cer"))
 
 
@@ -118,14 +118,15 @@ def align_best_full(table):
 
 
 def _chunks(table) -> DataFrame:
-    """Anchored passages cut into segments of twelve tokens, each with its transcript's text."""
-    p = paired(table, True)
+    """Anchored passages cut into segments of twelve tokens; the first of a pair has the transcript's text."""
+    p = paired(table, True).join(transcripts(table, True), "doc")
     n = F.ceil(F.col("w") / 12).cast("int")
     toks = F.split("asr", " ")
     part = p.select("seg", "doc", "toks", toks.alias("st"), F.explode(F.sequence(F.lit(0), n - 1)).alias("seg_idx"))
     return part.select(
         F.concat(F.lit("v"), F.col("seg").cast("string")).alias("video"), F.col("doc").cast("string").alias("transcript"), "seg_idx",
-        F.array_join(F.slice("st", F.col("seg_idx") * 12 + 1, 12), " ").alias("asr"), F.array_join("toks", " ").alias("text"))
+        F.array_join(F.slice("st", F.col("seg_idx") * 12 + 1, 12), " ").alias("asr"),
+        F.when(F.col("seg_idx") == 0, F.array_join("toks", " ")).alias("text"))
 
 
 @query("align_exact")

@@ -140,13 +140,27 @@ FROM t JOIN v ON split_part(transcript_id, '_', -1) = split_part(video_id, '_',
 )
 def merge_on_date(table):
     """n x m join on the date in the ids, summed up by date."""
-    key = links.last_part
-    merged = M.merge_on_key(transcripts(table).select("transcript_id"), videos(table).select("video_id"), key, key)
-    return merged.groupBy("join_key").agg(
+    return _by_date(table).groupBy("join_key").agg(
         F.count("*").alias("pairs"), F.min("merged_id").alias("first_id"), F.max("merged_id").alias("last_id")
     )
 
 
+def _by_date(table) -> DataFrame:
+    key = links.last_part
+    return M.merge_on_key(transcripts(table).select("transcript_id"), videos(table).select("video_id"), key, key)
+
+
+@query(
+    "merge_on_date_rows",
+    f"""WITH {T_SQL}, {V_SQL}
+SELECT split_part(transcript_id, '_', -1) AS join_key, transcript_id, video_id, transcript_id || '_' || video_id AS merged_id
+FROM t JOIN v ON split_part(transcript_id, '_', -1) = split_part(video_id, '_', -1)""",
+)
+def merge_on_date_rows(table):
+    """Every merged pair of a date."""
+    return _by_date(table).select("join_key", "transcript_id", "video_id", "merged_id")
+
+
 @query(
     "merge_on_composite",
     f"""WITH {T_SQL}, {V_SQL},
@@ -156,14 +170,29 @@ SELECT k AS join_key, count(*) AS pairs, count(DISTINCT transcript_id) AS transc
 FROM tk JOIN vk USING (k) GROUP BY 1""",
 )
 def merge_on_composite(table):
-    """Join on date and house."""
+    """Join on date and house, summed up by key."""
+    return _by_date_and_house(table).groupBy("join_key").agg(
+        F.count("*").alias("pairs"), F.count_distinct("transcript_id").alias("transcripts"), F.count_distinct("video_id").alias("videos")
+    )
+
+
+def _by_date_and_house(table) -> DataFrame:
     def key(c):
         return F.concat(links.last_part(c), F.when(F.split_part(c, F.lit("_"), F.lit(2)) == "O", "_Commons").otherwise("_Westminster"))
 
-    merged = M.merge_on_key(transcripts(table).select("transcript_id"), videos(table).select("video_id"), key, key)
-    return merged.groupBy("join_key").agg(
-        F.count("*").alias("pairs"), F.count_distinct("transcript_id").alias("transcripts"), F.count_distinct("video_id").alias("videos")
-    )
+    return M.merge_on_key(transcripts(table).select("transcript_id"), videos(table).select("video_id"), key, key)
+
+
+@query(
+    "merge_on_composite_rows",
+    f"""WITH {T_SQL}, {V_SQL},
+tk AS (SELECT transcript_id, split_part(transcript_id, '_', -1) || CASE WHEN house = 'O' THEN '_Commons' ELSE '_Westminster' END AS k FROM t),
+vk AS (SELECT video_id, split_part(video_id, '_', -1) || CASE WHEN house = 'O' THEN '_Commons' ELSE '_Westminster' END AS k FROM v)
+SELECT k AS join_key, transcript_id, video_id FROM tk JOIN vk USING (k)""",
+)
+def merge_on_composite_rows(table):
+    """Every pair of the same date and house."""
+    return _by_date_and_house(table).select("join_key", "transcript_id", "video_id")
 
 
 @query(
@@ -228,6 +257,12 @@ def cascade_match(table):
     return _cascade(table).groupBy("transcript_id", "match_type").agg(F.count("*").alias("videos"), F.min("video_id").alias("first_video"))
 
 
+@query("cascade_rows", f"WITH {CASCADE_SQL} SELECT transcript_id, video_id, match_type FROM m")
+def cascade_rows(table):
+    """Every match with the rule that gave it."""
+    return _cascade(table).select("transcript_id", "video_id", "match_type")
+
+
 @query(
     "cascade_stats",
     f"""WITH {CASCADE_SQL}

@@ -10,6 +10,8 @@ from stenoflow.operators import status as ST
 from stenoflow.operators import timeline as TL
 from stenoflow.plans.registry import query
 
+# Milliseconds; both engines' own rounding differs at halves.
+MS = "floor({} * 1000 + 0.5) / 1000"
 # The oracle's intervals: SCALE is put in by the query.
 DAY = "user_id || '_' || strftime(ts, '%Y%m%d')"
 IV_SQL = f"""e AS (SELECT {DAY} AS video, epoch_us(ts) // 1000000 AS s, least(value, 60) AS len FROM events),
@@ -41,14 +43,29 @@ def timeline_gaps(table):
     return g.select("video", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"), F.round((F.col("start") + F.col("end")) / 2, 3).alias("mid"))
 
 
-@query("interval_crop", f"""WITH {IV_SQL.replace('SCALE', '1')}, w AS (SELECT video, CAST(k AS INTEGER) AS w, k * 1800.0 AS w_start, k * 1800.0 + 900 AS w_end FROM (SELECT DISTINCT video FROM iv), (SELECT unnest(range(0, 48)) AS k))
-SELECT iv.video, w, count(*) AS parts, round(sum(least("end", w_end) - greatest(start, w_start)), 3) AS seconds FROM iv JOIN w ON iv.video = w.video AND start < w_end AND "end" > w_start GROUP BY 1, 2""")
+CROP_SQL = f"""WITH {IV_SQL.replace('SCALE', '1')}, w AS (SELECT video, CAST(k AS INTEGER) AS w, k * 1800.0 AS w_start, k * 1800.0 + 900 AS w_end FROM (SELECT DISTINCT video FROM iv), (SELECT unnest(range(0, 48)) AS k))"""
+CROPPED_SQL = """FROM iv JOIN w ON iv.video = w.video AND start < w_end AND "end" > w_start"""
+
+
+@query("interval_crop", f"""{CROP_SQL}
+SELECT iv.video, w, count(*) AS parts, round(sum(least("end", w_end) - greatest(start, w_start)), 3) AS seconds {CROPPED_SQL} GROUP BY 1, 2""")
 def interval_crop(table):
     """Speech within the first quarter of every hour half."""
+    return _cropped(table).groupBy("video", "w").agg(F.count("*").alias("parts"), F.round(F.sum(F.col("end") - F.col("start")), 3).alias("seconds"))
+
+
+@query("interval_crop_rows", f"""{CROP_SQL}
+SELECT iv.video, w, {MS.format("greatest(start, w_start)")} AS start, {MS.format('least("end", w_end)')} AS "end" {CROPPED_SQL}""")
+def interval_crop_rows(table):
+    """Every part of speech within those windows."""
+    return _cropped(table).select("video", "w", F.expr(MS.format("start")).alias("start"), F.expr(MS.format("`end`")).alias("end"))
+
+
+def _cropped(table) -> DataFrame:
     iv = intervals(table)
     w = iv.select("video").distinct().select("video", F.explode(F.sequence(F.lit(0), F.lit(47))).alias("w"))
     w = w.withColumn("w_start", F.col("w") * 1800.0).withColumn("w_end", F.col("w") * 1800.0 + 900)
-    return TL.crop(iv, w).groupBy("video", "w").agg(F.count("*").alias("parts"), F.round(F.sum(F.col("end") - F.col("start")), 3).alias("seconds"))
+    return TL.crop(iv, w)
 
 
 @query("session_gaps", """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 7200 SECOND THEN 0 ELSE 1 END AS n FROM events),
@@ -60,7 +77,7 @@ def session_gaps(table):
     return TL.sessions(e, "user_id", F.col("ts"), 7200)
 
 
-@query("greedy_segments", f"""WITH RECURSIVE {IV_SQL.replace('SCALE', '60')},
+GREEDY_SQL = f"""WITH RECURSIVE {IV_SQL.replace('SCALE', '60')},
 g AS (SELECT video, coalesce(max("end") OVER (PARTITION BY video ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS a, start AS b FROM iv
 UNION ALL SELECT video, max("end"), max("end") + 30 FROM iv GROUP BY video),
 sil AS (SELECT video, a AS s, b AS t FROM g WHERE b > a), ext AS (SELECT video, max("end") + 30 AS dur FROM iv GROUP BY video),
@@ -71,18 +88,30 @@ UNION ALL SELECT video, dur, q, CASE WHEN skip IS NOT NULL THEN skip ELSE cut EN
 FROM (SELECT *, CASE WHEN len(ins) > 0 THEN (list_sort(ins, 'DESC')[1].neg * -1 + list_sort(ins, 'DESC')[1].b) / 2 ELSE cur + 20 END AS cut FROM
  (SELECT *, list_filter(q, lambda x: x.s = cur AND x.t - x.s > 10)[1].t AS skip,
   list_transform(list_filter(q, lambda x: x.s < cur + 20 AND x.t > cur + 10), lambda x: struct_pack(k := least(x.t, cur + 20) - greatest(x.s, cur + 10), neg := -greatest(x.s, cur + 10), b := least(x.t, cur + 20))) AS ins
-  FROM r WHERE cur < dur)))
-SELECT video, count(*) AS segments, round(sum(en - st), 3) AS seconds, round(max(en), 3) AS last_end, round(min(en - st), 3) AS shortest FROM r WHERE st IS NOT NULL GROUP BY video""")
+  FROM r WHERE cur < dur)))"""
+
+
+@query("greedy_segments", f"""{GREEDY_SQL} SELECT video, count(*) AS segments, round(sum(en - st), 3) AS seconds, round(max(en), 3) AS last_end, round(min(en - st), 3) AS shortest FROM r WHERE st IS NOT NULL GROUP BY video""")
 def greedy_segments(table):
     """Segments of every video, summed up."""
-    iv = intervals(table, 60.0)
-    ext = extents(iv)
-    seg = TL.greedy_segments(TL.gaps(iv, ext), ext)
+    seg = _segments(table)
     return seg.groupBy("video").agg(
         F.count("*").alias("segments"), F.round(F.sum(F.col("end") - F.col("start")), 3).alias("seconds"),
         F.round(F.max("end"), 3).alias("last_end"), F.round(F.min(F.col("end") - F.col("start")), 3).alias("shortest"))
 
 
+@query("greedy_segment_rows", f"""{GREEDY_SQL} SELECT video, seg - 1 AS seg_idx, {MS.format("st")} AS start, {MS.format("en")} AS "end" FROM r WHERE st IS NOT NULL""")
+def greedy_segment_rows(table):
+    """Every segment of every video."""
+    return _segments(table).select("video", "seg_idx", F.expr(MS.format("start")).alias("start"), F.expr(MS.format("`end`")).alias("end"))
+
+
+def _segments(table) -> DataFrame:
+    iv = intervals(table, 60.0)
+    ext = extents(iv)
+    return TL.greedy_segments(TL.gaps(iv, ext), ext)
+
+
 @query("date_parse", """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, strftime(o_orderdate, '%d%m%Y') AS key,
  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS spelled FROM orders""")
 def date_parse(table):

@@ -61,7 +61,10 @@ def latest_stream(events: DataFrame) -> DataFrame:
 
 
 def upsert_to(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keeps a Parquet snapshot of latest statuses: every micro-batch writes the next version."""
+    """Keeps a Parquet snapshot of latest statuses: every micro-batch writes the next version.
+
+    The version before stays, for a batch that is run again; older ones are deleted.
+    """
     spark = events.sparkSession
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -71,5 +74,8 @@ def upsert_to(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         at = F.struct("ts", "event_id")
         new.groupBy("item").agg(F.max("ts").alias("ts"), F.max_by("event_id", at).alias("event_id"), F.max_by("status", at).alias("status")).write.mode(
             "overwrite").parquet(f"{path}/version={batch_id}")
+        if batch_id > 1:
+            old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version={batch_id - 2}")
+            old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
