@@ -17,4 +17,6 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_mixing": mixing.OP4_SQL, "op6_topk_search": topk_search.OP6_SQL, "op8_jaccard_join": jaccard_join.OP8_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_secrets": secrets.OP1_SQL, "op4_mixing": mixing.OP4_SQL, "op6_topk_search": topk_search.OP6_SQL, "op8_jaccard_join": jaccard_join.OP8_SQL,
+}

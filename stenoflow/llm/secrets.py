@@ -281,3 +281,45 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
         _joined(F.col("secrets")).alias("spans"),
     )
+
+
+def _sql() -> str:
+    """op1_secrets for an engine without back references: each span is placed by the lengths before it."""
+    quoted = lambda p: p.replace("'", "''")
+    before = lambda items, n: f"coalesce(list_sum(list_transform({items}[1:{n}], lambda s: length(s))), 0)"
+    run = "|".join(f"[{c}]{{8,}}" for c in ALPHABET)
+    cuts = [run if p.startswith("(.)") else p for p in ALLOW if not p.startswith("^")]
+    whole = [p for p in ALLOW if p.startswith("^")]
+    parts = ["d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)"]
+
+    def matches(name: str, pattern: str, group: int) -> str:
+        p = quoted(pattern)
+        return f"""{name}_m AS (SELECT r, regexp_extract_all(t, '{p}', 0) AS h, regexp_extract_all(t, '{p}', {group}) AS x, string_split_regex(t, '{p}') AS g FROM d),
+{name} AS (SELECT r, {before('g', 'i')} + {before('h', 'i - 1')} AS s, h[i] AS w, x[i] AS held FROM {name}_m, unnest(range(1, len(h) + 1)) AS u(i))"""
+
+    found = []
+    for o, (kind, (pattern, group, least)) in enumerate(KINDS.items()):
+        parts.append(matches(kind, pattern, group))
+        found.append(f"SELECT r, {o} AS o, '{kind}' AS kind, s, s + length(w) AS e FROM {kind} WHERE length(held) >= {least}")
+    parts.append(matches("cand", CANDIDATE, 0))
+    parts.append("c0 AS (SELECT r, s, w FROM cand WHERE " + " AND ".join(f"NOT regexp_matches(w, '{quoted(p)}')" for p in whole or ["^$"]) + ")")
+    for k, pattern in enumerate(cuts):
+        p = quoted(pattern)
+        parts.append(f"""c{k}_m AS (SELECT r, s, regexp_extract_all(w, '{p}', 0) AS h, string_split_regex(w, '{p}') AS g FROM c{k}),
+c{k + 1} AS (SELECT r, s + {before('g', 'i - 1')} + {before('h', 'i - 1')} AS s, g[i] AS w FROM c{k}_m, unnest(range(1, len(g) + 1)) AS u(i))""")
+    parts.append(f"""win AS (SELECT r, s, i, substr(w, i + 1, {WINDOW}) AS v,
+ CASE WHEN regexp_matches(w, '^([0-9a-f]+|[0-9A-F]+)$') THEN {HEX_BITS} WHEN NOT regexp_matches(w, '[0-9]') THEN {LETTER_BITS} ELSE {MIXED_BITS} END AS bits
+ FROM c{len(cuts)}, unnest(range(0, length(w) - {WINDOW - 1})) AS u(i) WHERE length(w) >= {WINDOW} AND regexp_matches(w, '[A-Za-z]')),
+hot AS (SELECT r, s, i, lag(i) OVER (PARTITION BY r, s ORDER BY i) AS p FROM win
+ WHERE list_sum(list_transform(list_distinct(string_split(v, '')), lambda c: ({WINDOW} - length(replace(v, c, ''))) * log2({WINDOW} - length(replace(v, c, '')))))
+  <= {WINDOW} * (log2({WINDOW}) - bits) + 1e-9),
+span AS (SELECT r, s, i, count(*) FILTER (p IS NULL OR i - p > {WINDOW}) OVER (PARTITION BY r, s ORDER BY i) AS k FROM hot)""")
+    found.append(f"SELECT r, {len(KINDS)} AS o, 'entropy' AS kind, s + min(i) AS s, s + max(i) + {WINDOW} AS e FROM span GROUP BY r, s, k")
+    parts.append("a AS (" + "\nUNION ALL ".join(found) + ")")
+    joined = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o, e){}, '')"
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in KINDS)
+    base, every = joined.format(" FILTER (kind <> 'entropy')"), joined.format(" FILTER (kind IS NOT NULL)")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT any_value(doc_id) AS doc_id, {counts}, sha256({base}) AS base_sha256, {every} AS spans FROM d LEFT JOIN a USING (r) GROUP BY r"
+
+
+OP1_SQL = _sql()
