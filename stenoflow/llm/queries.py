@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stenoflow.llm import decontaminate, html_text, jaccard_join, language_id, merkle, mixing, quality, secrets, token_counts, topk_search, toxicity
+from stenoflow.llm import decontaminate, html_text, jaccard_join, language_id, merkle, mixing, quality, runs, secrets, token_counts, topk_search, toxicity
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -16,9 +16,10 @@ QUERIES = {
     "op9_html_text": html_text.op9_html_text,
     "op10_quality": quality.op10_quality,
     "op11_merkle": merkle.op11_merkle,
+    "op12_runs": runs.op12_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_secrets": secrets.OP1_SQL, "op4_mixing": mixing.OP4_SQL, "op6_topk_search": topk_search.OP6_SQL, "op8_jaccard_join": jaccard_join.OP8_SQL,
-    "op11_merkle": merkle.OP11_SQL,
+    "op11_merkle": merkle.OP11_SQL, "op12_runs": runs.OP12_SQL,
 }
