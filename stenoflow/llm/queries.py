@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stenoflow.llm import decontaminate, html_text, jaccard_join, language_id, merkle, mixing, quality, runs, secrets, token_counts, topk_search, toxicity
+from stenoflow.llm import decontaminate, html_text, jaccard_join, language_id, merkle, mixing, quality, runs, secrets, sharding, token_counts, topk_search, toxicity
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
     "op11_merkle": merkle.op11_merkle,
     "op12_runs": runs.op12_runs,
+    "op13_sharding": sharding.op13_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
