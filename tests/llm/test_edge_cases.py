@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stenoflow.llm import bytesets as B
-from stenoflow.llm import decontaminate, html_text, jaccard_join, language_id, mixing, quality, secrets, token_counts, topk_search, toxicity
+from stenoflow.llm import decontaminate, html_text, jaccard_join, language_id, merkle, mixing, quality, runs, secrets, sharding, token_counts, topk_search, toxicity
 
 MODEL = __import__("public_tokenizers").path("piece_bpe_32k.model")
 
@@ -33,10 +33,13 @@ CASES = {
     "components": lambda d: jaccard_join.components(d),
     "keep_one": lambda d: jaccard_join.keep_one(d),
     "html": lambda d: html_text.main_text(d, page="text", to=("body", "n_body")),
+    "manifest": lambda d: merkle.manifest(d, merkle.FIELDS),
+    "runs": lambda d: runs.detect(d),
+    "shards": lambda d: sharding.assign(d),
     "quality": lambda d: quality.score(d, quality.train(d, labels(d))),
 }
-RESULTS_ALONE = {"plan", "search", "components"}
-SAME_ROWS = {"secrets", "decontaminate", "language", "plan", "tokens", "toxicity", "components", "html", "quality"}
+RESULTS_ALONE = {"plan", "search", "components", "manifest", "shards"}
+SAME_ROWS = {"secrets", "decontaminate", "language", "plan", "tokens", "toxicity", "components", "html", "quality", "manifest", "runs", "shards"}
 
 
 @pytest.mark.parametrize("name", CASES)
