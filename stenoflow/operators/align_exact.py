@@ -12,34 +12,23 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import accumulate, islice
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from stenoflow.operators.sweep import Pattern
+
 SCHEMA = "video string, transcript string, seg_idx int, start_idx int, end_idx int, cer double, human string, error string"
 
 
+#: Windows that are compared at a time, at first and at most; a good one ends the search.
+FEW, MANY = 6, 384
+
+
 def distances(asr: str, human: str, cuts: list[int]) -> list[int]:
-    """Edit distances of asr to the prefixes of human with the given lengths, from one table."""
-    if not cuts:
-        return []
-    a = np.frombuffer(asr.encode("utf-32-le"), np.uint32)
-    b = np.frombuffer(human[: max(cuts)].encode("utf-32-le"), np.uint32)
-    column = np.arange(len(a) + 1)
-    wanted, out = set(cuts), {0: len(a)}
-    steps = np.arange(1, len(a) + 1)
-    for j, c in enumerate(b, 1):
-        change = np.minimum(column[:-1] + (a != c), column[1:] + 1)
-        # a chain of insertions: a running minimum of value less place
-        new = np.empty_like(column)
-        new[0] = j
-        new[1:] = np.minimum.accumulate(np.concatenate([[j], change - steps]))[1:] + steps
-        column = new
-        if j in wanted:
-            out[j] = int(column[-1])
-    return [out[c] for c in cuts]
+    """Edit distances of asr to the prefixes of human with the given lengths."""
+    return Pattern(asr).band(human, [0], [cuts])[0]
 
 
 @dataclass
@@ -53,13 +42,13 @@ class Aligner:
     top: int = 3
     margin: int = 15
 
-    def score(self, asr: str, start: int, lengths: list[int]) -> list[float]:
-        if not asr:
-            return [1.0] * len(lengths)
-        words = self.tokens[start : start + max(lengths)]
-        ends = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words]) - 1]).astype(int)
-        cuts = [int(ends[min(n, len(words))]) for n in lengths]
-        return [d / len(asr) for d in distances(asr, " ".join(words), cuts)]
+    def __post_init__(self) -> None:
+        self.text = " ".join(self.tokens)
+        self.places = list(accumulate((len(t) + 1 for t in self.tokens), initial=0))
+
+    def end(self, start: int, length: int) -> int:
+        """Place in the text where so many tokens from start on end."""
+        return max(self.places[min(start + length, len(self.tokens))] - 1, self.places[start])
 
     def ahead(self, width: int, cursor: int) -> Iterator[int]:
         """Window starts from the cursor on; the last window is moved back to end with the transcript."""
@@ -79,53 +68,62 @@ class Aligner:
             cursor = max(cursor - step, limit)
             yield cursor
 
-    def regions(self, asr: str, width: int, cursor: int) -> list[int]:
-        """Window starts worth refining, or the first new best that is good enough."""
+    def order(self, width: int, cursor: int) -> Iterator[int]:
+        """Window starts as they are tried: turns forward, one turn back."""
         ahead, behind = self.ahead(width, cursor), self.behind(width, cursor)
-        seen, least = [], 1e9
-        open_ = True
-        while open_:
-            open_ = False
-            for source, turns in ((ahead, self.forward_turns), (behind, 1)):
-                for pos in islice(source, turns):
-                    open_ = True
-                    c = self.score(asr, pos, [width])[0]
-                    seen.append((c, pos))
-                    if c < least:
-                        least = c
-                        if c <= self.region_cer:
-                            return [pos]
+        while turn := [*islice(ahead, self.forward_turns), *islice(behind, 1)]:
+            yield from turn
+
+    def regions(self, asr: Pattern, width: int, cursor: int) -> list[int]:
+        """Window starts worth refining, or the first one that is good enough."""
+        order, seen, many = self.order(width, cursor), [], FEW
+        while turn := list(islice(order, many)):
+            found = asr.windows([self.text[self.places[p] : self.end(p, width)] for p in turn]) if asr.size else []
+            for pos, c in zip(turn, [d / asr.size for d in found] or [1.0] * len(turn), strict=True):
+                if c <= self.region_cer:
+                    return [pos]
+                seen.append((c, pos))
+            many = min(2 * many, MANY)
         return [p for _, p in heapq.nsmallest(self.top, seen)]
 
-    def refine(self, asr: str, width: int, region: int) -> tuple[float, int, int] | None:
-        """(cer, start, end) of the best text near a region; None where too few tokens are left for the least length."""
-        n, best, good = len(self.tokens), None, False
-        for start in range(max(0, region - self.margin), region + self.margin + 1):
-            lengths = range(max(0, width - self.margin), min(width + self.margin, n - start) + 1)
-            if not lengths:
-                continue
-            scores = self.score(asr, start, list(lengths))
-            k = int(np.argmin(scores))
-            if best is None or scores[k] < best[0]:
-                best = (scores[k], start, start + lengths[k])
+    def refine(self, asr: Pattern, width: int, region: int) -> tuple[float, int, int] | None:
+        """(cer, start, end) of the best text near a region; None where too few tokens are left for the least length.
+
+        All starts and lengths come from one sweep over the text around the region.
+        """
+        n, least = len(self.tokens), max(0, width - self.margin)
+        starts = range(max(0, region - self.margin), min(region + self.margin, n - least) + 1)
+        if not starts:
+            return None
+        lengths = [range(least, min(width + self.margin, n - s) + 1) for s in starts]
+        if asr.size:
+            ends = [[self.end(s, k) for k in ks] for s, ks in zip(starts, lengths, strict=True)]
+            table = [[d / asr.size for d in row] for row in asr.band(self.text, [self.places[s] for s in starts], ends)]
+        else:
+            table = [[1.0] * len(ks) for ks in lengths]
+        best, good = None, False
+        for start, ks, row in zip(starts, lengths, table, strict=True):
+            c = min(row)
+            if best is None or c < best[0]:
+                best = (c, start, start + ks[row.index(c)])
             good = good or best[0] <= self.fine_cer
-            if good and scores[k] > self.fine_cer:
+            if good and c > self.fine_cer:
                 break
         return best
 
     def find(self, asr: str, cursor: int) -> tuple[float, int, int] | None:
-        width = max(len(asr.split()), 1)
+        width, pattern = max(len(asr.split()), 1), Pattern(asr)
         for start, limit in ((cursor, self.region_cer), (0, self.global_cer)):
-            found = [m for r in self.regions(asr, width, start) if (m := self.refine(asr, width, r)) and m[0] <= limit]
+            found = [m for r in self.regions(pattern, width, start) if (m := self.refine(pattern, width, r)) and m[0] <= limit]
             if found:
                 return min(found, key=lambda f: f[0])
-        return self.refine(asr, width, cursor)
+        return self.refine(pattern, width, cursor)
 
 
 def _align(part: pd.DataFrame) -> pd.DataFrame:
     part = part.sort_values("seg_idx")
     video, transcript = part["video"].iloc[0], part["transcript"].iloc[0]
-    rows, cursor = [], 0
+    rows, cursor, i = [], 0, None
     try:
         aligner = Aligner((part["text"].iloc[0] or "").split())
         for i, asr in zip(part["seg_idx"], part["asr"], strict=True):
@@ -135,8 +133,8 @@ def _align(part: pd.DataFrame) -> pd.DataFrame:
                 continue
             c, a, cursor = match
             rows.append((video, transcript, int(i), a, cursor, float(c), " ".join(aligner.tokens[a:cursor]), None))
-    except Exception as e:  # one bad transcript is reported, the others go on
-        rows = [(video, transcript, None, None, None, None, None, repr(e)[:500])]
+    except Exception as e:  # a pair that fails is reported with the segment where it did; what was done and the other pairs stay
+        rows.append((video, transcript, None if i is None else int(i), None, None, None, None, repr(e)[:500]))
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     frame = pd.DataFrame(rows, columns=names)
     return frame.astype({"seg_idx": "Int32", "start_idx": "Int32", "end_idx": "Int32", "cer": "Float64"})

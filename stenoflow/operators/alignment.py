@@ -3,14 +3,21 @@
 Segments (seg, asr) are located in transcripts (doc, toks: array of tokens).  Shared token
 n-grams give anchors; around them windows of the segment's length are compared (coarse),
 and start and length of the best windows are refined (fine).  Distances are Spark's
-levenshtein; candidates are ranked by (cer, start, length), so ties are settled.
+levenshtein for single windows, and one sweep of bit vectors for all windows of a region;
+candidates are ranked by (cer, start, length), so ties are settled.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stenoflow.operators.sweep import Pattern
+
 REGION_CER = 0.3
 GLOBAL_CER = 0.45
 MARGIN = 15
@@ -33,9 +40,12 @@ def _ngrams(tokens: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def anchors(segments: DataFrame, transcripts: DataFrame, n: int = NGRAM) -> DataFrame:
-    """(seg, doc, lo, hi): least and largest diagonal of shared n-grams of every pair that has one."""
-    s = segments.select("seg", F.posexplode(_ngrams(F.col("stoks"), n)).alias("spos", "gram"))
+def anchors(segments: DataFrame, transcripts: DataFrame, n: int = NGRAM, grams: DataFrame | None = None) -> DataFrame:
+    """(seg, doc, lo, hi): least and largest diagonal of shared n-grams of every pair that has one.
+
+    grams: (seg, spos, gram) to be used in place of all n-grams of the segments.
+    """
+    s = segments.select("seg", F.posexplode(_ngrams(F.col("stoks"), n)).alias("spos", "gram")) if grams is None else grams
     d = transcripts.select("doc", F.posexplode(_ngrams(F.col("toks"), n)).alias("dpos", "gram"))
     weight = s.agg(F.sum(F.octet_length("gram") + ROW_BYTES)).first()[0] or 0
     s = F.broadcast(s) if weight <= BROADCAST_BYTES else s
@@ -54,13 +64,13 @@ def _span() -> tuple[Column, Column]:
     return first, F.greatest(F.least(F.col("hi") + F.col("w"), last), first)
 
 
-def pairs(segments: DataFrame, transcripts: DataFrame, margin: int = MARGIN) -> DataFrame:
+def pairs(segments: DataFrame, transcripts: DataFrame, margin: int = MARGIN, grams: DataFrame | None = None) -> DataFrame:
     """Anchored pairs: seg, doc, asr, w (tokens of the segment), lo, hi, n (tokens of the transcript), band, off.
 
     The band is the part of the transcript that the searches around the anchors read, with a margin for the
     fine one; it begins at token off.  No later row carries a whole transcript.
     """
-    found = anchors(segments, transcripts)
+    found = anchors(segments, transcripts, grams=grams)
     whole = found.join(segments.select("seg", "asr", F.size("stoks").alias("w")), "seg").join(
         transcripts.select("doc", "toks", F.size("toks").alias("n")), "doc")
     first, end = _span()
@@ -89,33 +99,43 @@ def coarse(paired: DataFrame, top: int = TOP) -> DataFrame:
     return ranked.withColumns({"rank": F.col("rank") + 1, "pos": F.col("window.pos"), "cer": F.col("window.cer")}).drop("window")
 
 
+_FOUND = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("cer", pa.float64())])
+
+
+def least(asr: str, text: str, first: int, starts: int, lengths: range) -> dict | None:
+    """Best of the first `starts` tokens of text as start, with one of the lengths: start (first is that of text), end and cer."""
+    tokens = text.split(" ") if text else []
+    places = list(accumulate((len(t) + 1 for t in tokens), initial=0))
+    limit = math.ceil(len(asr) * GLOBAL_CER)
+    at = range(min(starts, max(len(tokens) - lengths[0] + 1, 0)))
+    spans = [range(lengths[0], min(lengths[-1], len(tokens) - s) + 1) for s in at]
+    table = Pattern(asr).band(text, [places[s] for s in at], [[places[s + k] - 1 for k in ks] for s, ks in zip(at, spans, strict=True)])
+    found = min(((d, s, k) for s, ks, row in zip(at, spans, table, strict=True) for k, d in zip(ks, row, strict=True)), default=None)
+    if found is None or found[0] > limit:
+        return None
+    d, s, k = found
+    return {"start": first + s, "end": first + s + k, "cer": d / max(len(asr), 1)}
+
+
+def _least(asr: pa.Array, text: pa.Array, first: pa.Array, starts: pa.Array, low: pa.Array, high: pa.Array) -> pa.Array:
+    rows = zip(asr.to_pylist(), text.to_pylist(), first.to_pylist(), starts.to_pylist(), low.to_pylist(), high.to_pylist(), strict=True)
+    return pa.array([least(a, t, f, s, range(lo, hi + 1)) for a, t, f, s, lo, hi in rows], _FOUND)
+
+
 def fine(regions: DataFrame, margin: int = MARGIN) -> DataFrame:
-    """Per region, the start within the margin and the length within the margin with the least cer.
+    """Per region, the start within the margin and the length within the margin with the least cer; ties: start, then length.
 
-    Lengths are at least 1 and starts at least 0; distances beyond GLOBAL_CER of the segment are not told apart.
+    Lengths are at least 1 and starts at least 0; a region whose best is beyond GLOBAL_CER has no row.  All starts and
+    lengths of a region come from one sweep over its text, in the row.
     """
-    n = F.col("n")
-    limit = F.ceil(F.char_length("asr") * GLOBAL_CER).cast("int")
-    # a region is small but costs hundreds of distances: spread by number, which adaptive coalescing keeps
-    parts = max(
-        int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")),
-        regions.sparkSession.sparkContext.defaultParallelism,
-    )
-    candidates = regions.repartition(parts, "seg", "doc", "rank").select(
-        "seg", "doc", "asr", "n", "off", "band", "rank", "w", "pos",
-        F.explode(F.sequence(F.greatest(F.col("pos") - margin, F.lit(0)), F.least(F.col("pos") + margin, n - 1))).alias("start"),
-    ).select("*", F.explode(F.sequence(F.greatest(F.col("w") - margin, F.lit(1)), F.col("w") + margin)).alias("length"))
-    candidates = candidates.where(F.col("start") + F.col("length") <= n)
-    human = at(F.col("start"), F.col("length"))
-    # a difference in length is the least distance there can be
-    near = F.abs(F.char_length(human) - F.char_length("asr")) <= limit
-    distance = F.when(near, F.call_function("levenshtein", F.col("asr"), human, limit))
-    scored = candidates.withColumn("d", distance).where(F.col("d") >= 0)
-    scored = scored.withColumn("cer", F.col("d") / F.greatest(F.char_length("asr"), F.lit(1)))
-    best = Window.partitionBy("seg", "doc", "rank").orderBy("cer", "start", "length")
-    return scored.withColumn("r", F.row_number().over(best)).where("r = 1").select(
-        "seg", "doc", "rank", "start", (F.col("start") + F.col("length")).alias("end"), "cer"
-    )
+    n, w, pos = F.col("n"), F.col("w"), F.col("pos")
+    first = F.greatest(pos - margin, F.lit(0))
+    last = F.least(pos + margin, n - 1)
+    text = at(first, (F.least(last + w + margin, n) - first).cast("int"))
+    sweep = F.arrow_udf(_least, "struct<start:int,end:int,cer:double>")
+    found = regions.where(last >= first).withColumn("found", sweep(
+        F.col("asr"), text, first.cast("int"), (last - first + 1).cast("int"), F.greatest(w - margin, F.lit(1)).cast("int"), (w + margin).cast("int")))
+    return found.where("found IS NOT NULL").select("seg", "doc", "rank", "found.start", "found.end", "found.cer")
 
 
 def best(fined: DataFrame, paired: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stenoflow.functions import text as X
-from stenoflow.operators import align_exact, alignment, selection
+from stenoflow.operators import align_exact, alignment, proven, selection
 from stenoflow.plans.registry import query
 
 # The oracle counts bytes, so both sides are reduced to ASCII.
@@ -117,6 +117,12 @@ def align_best_full(table):
     return got.unionByName(alignment.unmatched(segments(table, True), got), allowMissingColumns=True).withColumn("cer", F.round("cer", 6))
 
 
+@query("align_proven")
+def align_proven(table):
+    """Accepted matches of all passages in all documents; a passage of stage unmatched is in none of them within the bound."""
+    return proven.match(segments(table, True), transcripts(table, True)).withColumn("cer", F.round("cer", 6))
+
+
 def _chunks(table) -> DataFrame:
     """Anchored passages cut into segments of twelve tokens; the first of a pair has the transcript's text."""
     p = paired(table, True).join(transcripts(table, True), "doc")
