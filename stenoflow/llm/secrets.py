@@ -146,19 +146,25 @@ def _hot_flags(piece: Column, most: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.char_length(piece)), zero, step, lambda acc: acc["flags"])
 
 
+def _bounded(candidate: Column) -> Column:
+    """The candidate with the greatest sum of c log2 c of a hot window, which depends on the whole candidate and so is taken once."""
+    word = candidate["text"]
+    bits = F.when(word.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$"), HEX_BITS).when(~word.rlike("[0-9]"), LETTER_BITS).otherwise(MIXED_BITS)
+    most = WINDOW * (F.log2(F.lit(float(WINDOW))) - bits)
+    return F.struct(candidate["start"].alias("start"), word.alias("text"), most.alias("most"))
+
+
 def _hot_windows(candidate: Column) -> Column:
-    """Spans (start, end) of a candidate in which windows reach the entropy of its class.
+    """Spans (start, end) of a candidate (start, text, most) in which windows reach the entropy of its class.
 
     The candidate is read in pieces of PIECE windows, so its length costs no more than its characters.
     """
     word = candidate["text"]
-    bits = F.when(word.rlike(r"^[0-9a-f]+$|^[0-9A-F]+$"), HEX_BITS).when(~word.rlike("[0-9]"), LETTER_BITS).otherwise(MIXED_BITS)
-    most = WINDOW * (F.log2(F.lit(float(WINDOW))) - bits)  # of the sum of c log2 c in a hot window
     pattern = F.lit(rf"(.{{1,{PIECE}}})(?=(.{{0,{WINDOW - 1}}}))")
     pieces = F.zip_with(
         F.regexp_extract_all(word, pattern, F.lit(1)), F.regexp_extract_all(word, pattern, F.lit(2)), lambda a, b: F.concat(a, b)
     )
-    flags = F.array_join(F.transform(pieces, lambda p: _hot_flags(p, most)), "")
+    flags = F.array_join(F.transform(pieces, lambda p: _hot_flags(p, candidate["most"])), "")
     apart = f"0{{{WINDOW},}}"
 
     def spans(f: Column) -> Column:
@@ -197,7 +203,8 @@ def _without(pieces: Column, pattern: str) -> Column:
     return F.flatten(F.transform(pieces, cut))
 
 
-def _fragment_spans(text: Column, allow: tuple[str, ...]) -> Column:
+def _fragments(text: Column, allow: tuple[str, ...]) -> Column:
+    """What is measured: candidates without what the allow-list matches."""
     pieces = _matches(text, CANDIDATE, 0, WINDOW)
     whole = [p for p in allow if p.startswith("^")]
     if whole:
@@ -205,16 +212,17 @@ def _fragment_spans(text: Column, allow: tuple[str, ...]) -> Column:
     for p in allow:
         pieces = pieces if p in whole else _without(pieces, p)
     likely = F.filter(pieces, lambda c: (F.char_length(c["text"]) >= WINDOW) & c["text"].rlike("[A-Za-z]"))
-    return F.flatten(F.transform(likely, _hot_windows))
+    return F.transform(likely, _bounded)
 
 
-def _entropy_spans(text: Column, allow: tuple[str, ...]) -> Column:
+def _candidates(text: Column, allow: tuple[str, ...]) -> Column:
+    """The same for whole candidates."""
     mixes = r"[0-9][+/_=-]{0,19}[A-Za-z]|[A-Za-z][+/_=-]{0,19}[0-9]"
     likely = F.filter(
         _matches(text, CANDIDATE, 0, WINDOW),
         lambda c: c["text"].rlike(mixes) & ~reduce(lambda a, b: a | b, [c["text"].rlike(p) for p in allow]),
     )
-    return F.flatten(F.transform(likely, _hot_windows))
+    return F.transform(likely, _bounded)
 
 
 def scan(
@@ -222,7 +230,7 @@ def scan(
 ) -> DataFrame:
     """df with an array of (kind, start, end), ordered by start, then as the kinds are listed."""
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    name = C.free_name(df, "__found")
+    name, measured = C.free_name(df, "__found"), C.free_name(df, "__measured")
 
     def kind(order: int, label: str, spans: Column) -> Column:
         return F.transform(
@@ -233,11 +241,13 @@ def scan(
         )
 
     found = [kind(i, k, _matches(t, *p)) for i, (k, p) in enumerate(KINDS.items())]
-    found.append(kind(len(KINDS), "entropy", (_fragment_spans if fragments else _entropy_spans)(t, allow)))
+    found.append(kind(len(KINDS), "entropy", F.flatten(F.transform(measured, _hot_windows))))
     listed = F.transform(
         F.array_sort(F.concat(*found)), lambda s: F.struct(s["kind"], s["start"], s["end"])
     )
-    return C.replace_columns(df.withColumn(name, F.struct(listed.alias(to))), name, [to])
+    # a column of its own: the analyzer resolves nested functions a level at a time, and up to a limit
+    held = df.withColumn(measured, (_fragments if fragments else _candidates)(t, allow))
+    return C.replace_columns(held.withColumn(name, F.struct(listed.alias(to))).drop(measured), name, [to])
 
 
 def _joined(spans: Column) -> Column:

@@ -90,6 +90,18 @@ def test_long_texts_cost_their_length(spark):
         assert x["m"] == "".join(masked) + x["text"][at:]
 
 
+def test_long_candidates_are_measured_in_proportion(spark):
+    """A base64 string of 200,000 characters and 20,000 assignments, as the query scans them."""
+    r = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = ["".join(r.choice(letters) for _ in range(200_000)), " ".join(f'token = "{"".join(r.choice(letters[:-2]) for _ in range(20))}"' for _ in range(20_000))]
+    begun = time.monotonic()
+    long, many = spark.createDataFrame(list(enumerate(texts)), "i int, text string").transform(secrets.scan, fragments=True).orderBy("i").collect()
+    assert time.monotonic() - begun < 60
+    assert sum(s["end"] - s["start"] for s in long["secrets"]) > 199_000
+    assert sum(s["kind"] == "assign" for s in many["secrets"]) == 20_000 and sum(s["kind"] == "entropy" for s in many["secrets"]) > 15_000
+
+
 def infix(a, b):
     row = [0] * (len(b) + 1)
     for i, x in enumerate(a, 1):
