@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stenoflow.operators.segmenting import Rules, segment
+
 
 def gaps(speech: DataFrame, durations: DataFrame, *, video: str = "video") -> DataFrame:
     """(video, start, end): what the speech intervals leave of [0, duration]; videos without speech have none.
@@ -70,37 +72,7 @@ def greedy_segments(
 
     From the cursor, the window is [cursor + least, cursor + most]; without silence in it the cut
     is at its end.  A silence of more than `least` seconds that starts at the cursor is skipped.
-    Extents have (video, duration); the last segment is clipped to it.  Every step moves the cursor
-    by at least `least`, which bounds the number of steps; a video's silences are one sorted array.
+    Extents have (video, duration); the last segment is clipped to it.
     """
-    listed = silences.where("`end` > start").groupBy(video).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("silences")
-    )
-    rows = extents.join(listed, video, "left").withColumn(
-        "silences", F.coalesce("silences", F.array().cast("array<struct<start:double,end:double>>"))
-    )
-    zero = F.struct(F.lit(0.0).alias("cur"), F.array().cast("array<struct<start:double,end:double>>").alias("out"))
-    duration, quiet = F.col("duration"), F.col("silences")
-
-    def step(acc: Column, _: Column) -> Column:
-        cur = acc["cur"]
-        skip = F.filter(quiet, lambda s: (s["start"] == cur) & (s["end"] - s["start"] > least))
-        lo, hi = cur + least, cur + most
-        inside = F.transform(
-            F.filter(quiet, lambda s: (s["start"] < hi) & (s["end"] > lo)),
-            lambda s: F.struct(
-                (F.least(s["end"], hi) - F.greatest(s["start"], lo)).alias("len"), (-F.greatest(s["start"], lo)).alias("neg"), F.least(s["end"], hi).alias("to")
-            ),
-        )
-        best = F.array_max(inside)
-        cut = F.when(F.size(inside) > 0, (-best["neg"] + best["to"]) / 2).otherwise(hi)
-        moved = F.struct(F.element_at(skip, 1)["end"].alias("cur"), acc["out"].alias("out"))
-        end = F.least(cut, duration)
-        added = F.struct(cut.alias("cur"), F.concat(acc["out"], F.array(F.struct(cur.alias("start"), end.alias("end")))).alias("out"))
-        return F.when(cur >= duration, acc).when(F.size(skip) > 0, moved).otherwise(added)
-
-    steps = F.sequence(F.lit(1), F.ceil(duration / least).cast("int") + 1)
-    return (
-        rows.where("duration > 0").withColumn("segs", F.aggregate(steps, zero, step, lambda acc: acc["out"]))
-        .select(video, F.posexplode("segs").alias("seg_idx", "s")).select(video, "seg_idx", "s.start", "s.end")
-    )
+    quiet, ends = silences.withColumnRenamed(video, "video"), extents.withColumnRenamed(video, "video")
+    return segment(quiet, ends, rules=Rules(least, most, inside=False)).withColumnRenamed("video", video)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stenoflow.functions import dates as D
+from stenoflow.operators import segmenting as SG
 from stenoflow.operators import status as ST
 from stenoflow.operators import timeline as TL
 from stenoflow.plans.registry import query
@@ -112,6 +113,51 @@ def _segments(table) -> DataFrame:
     return TL.greedy_segments(TL.gaps(iv, ext), ext)
 
 
+# Everything that a step sees: silences of its reach, overlapping speech, speakers, and silences of the window.
+SPEAKER_SQL = f"""WITH RECURSIVE {IV_SQL.replace('SCALE', '60')}, sp AS (SELECT DISTINCT video, start, "end", CAST(CAST(floor(start / 40) AS BIGINT) % 3 AS VARCHAR) AS label FROM iv WHERE "end" > start),
+g AS (SELECT video, coalesce(max("end") OVER (PARTITION BY video ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS a, start AS b FROM iv
+UNION ALL SELECT video, max("end"), max("end") + 30 FROM iv GROUP BY video),
+sil AS (SELECT video, a AS s, b AS t FROM g WHERE b > a), ext AS (SELECT video, max("end") + 30 AS dur FROM iv GROUP BY video),
+o1 AS (SELECT a.video, a.start AS s, least(a."end", max(b."end")) AS t FROM sp a JOIN sp b ON a.video = b.video AND b.start <= a.start AND b."end" > a.start AND a.label <> b.label GROUP BY a.video, a.start, a."end", a.label),
+o2 AS (SELECT *, CASE WHEN s <= max(t) OVER (PARTITION BY video ORDER BY s, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS n FROM o1),
+o3 AS (SELECT *, sum(n) OVER (PARTITION BY video ORDER BY s, t ROWS UNBOUNDED PRECEDING) AS k FROM o2),
+o4 AS (SELECT video, min(s) AS s, max(t) AS t FROM o3 GROUP BY video, k),
+lq AS (SELECT video, list(struct_pack(s := s, t := t) ORDER BY s) AS q FROM sil GROUP BY 1), lo AS (SELECT video, list(struct_pack(s := s, t := t) ORDER BY s) AS o FROM o4 GROUP BY 1),
+lt AS (SELECT video, list(struct_pack(s := start, t := "end", l := label)) AS tr FROM sp GROUP BY 1),
+l AS (SELECT video, dur, coalesce(q, []) AS q, coalesce(o, []) AS o, coalesce(tr, []) AS tr FROM ext LEFT JOIN lq USING (video) LEFT JOIN lo USING (video) LEFT JOIN lt USING (video)),
+r AS (SELECT video, dur, q, o, tr, 0.0::DOUBLE AS cur, NULL::DOUBLE AS st, NULL::DOUBLE AS en, 0 AS seg FROM l
+UNION ALL SELECT video, dur, q, o, tr, coalesce(skip, over, change, cut), CASE WHEN skip IS NULL AND over IS NULL THEN cur END,
+ CASE WHEN skip IS NULL AND over IS NULL THEN least(coalesce(change, cut), dur) END, seg + CASE WHEN skip IS NULL AND over IS NULL THEN 1 ELSE 0 END
+FROM (SELECT *, CASE WHEN al.neg = -cur AND al.k > 10 THEN al.b END AS skip, list_min(list_transform(list_filter(h, lambda x: x.l <> h[1].l AND x.a > cur), lambda x: x.a)) AS change,
+  CASE WHEN len(ins) > 0 THEN (ins[1].neg * -1 + ins[1].b) / 2 ELSE cur + 20 END AS cut FROM
+ (SELECT *, list_sort(list_transform(list_filter(q, lambda x: x.s < cur + 20 AND x.t > cur), lambda x: struct_pack(k := least(x.t, cur + 20) - greatest(x.s, cur), neg := -greatest(x.s, cur), b := least(x.t, cur + 20))), 'DESC')[1] AS al,
+  list_filter(o, lambda x: x.t > cur AND x.s < cur + 20)[1].t + 1e-6 AS over,
+  list_sort(list_transform(list_filter(tr, lambda x: x.t > cur AND x.s < cur + 20), lambda x: struct_pack(a := greatest(x.s, cur), b := least(x.t, cur + 20), l := x.l))) AS h,
+  list_sort(list_transform(list_filter(q, lambda x: x.s < cur + 20 AND x.t > cur + 10), lambda x: struct_pack(k := least(x.t, cur + 20) - greatest(x.s, cur + 10), neg := -greatest(x.s, cur + 10), b := least(x.t, cur + 20))), 'DESC') AS ins
+  FROM r WHERE cur < dur)))"""
+
+
+@query("speaker_segments", f"""{SPEAKER_SQL} SELECT video, count(*) AS segments, round(sum(en - st), 3) AS seconds, round(max(en), 3) AS last_end, round(min(en - st), 3) AS shortest FROM r WHERE st IS NOT NULL GROUP BY video""")
+def speaker_segments(table):
+    """Segments of every video that no speaker shares with another, summed up."""
+    return _speaker_segments(table).groupBy("video").agg(
+        F.count("*").alias("segments"), F.round(F.sum(F.col("end") - F.col("start")), 3).alias("seconds"),
+        F.round(F.max("end"), 3).alias("last_end"), F.round(F.min(F.col("end") - F.col("start")), 3).alias("shortest"))
+
+
+@query("speaker_segment_rows", f"""{SPEAKER_SQL} SELECT video, seg - 1 AS seg_idx, {MS.format("st")} AS start, {MS.format("en")} AS "end" FROM r WHERE st IS NOT NULL""")
+def speaker_segment_rows(table):
+    """Every one of them."""
+    return _speaker_segments(table).select("video", "seg_idx", F.expr(MS.format("start")).alias("start"), F.expr(MS.format("`end`")).alias("end"))
+
+
+def _speaker_segments(table) -> DataFrame:
+    iv = intervals(table, 60.0)
+    ext = extents(iv)
+    labels = iv.withColumn("label", (F.floor(F.col("start") / 40) % 3).cast("string"))
+    return SG.segment(TL.gaps(iv, ext), ext, labels)
+
+
 @query("date_parse", """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, strftime(o_orderdate, '%d%m%Y') AS key,
  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS spelled FROM orders""")
 def date_parse(table):
