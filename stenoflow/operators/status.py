@@ -72,3 +72,16 @@ def error_history(events: DataFrame) -> DataFrame:
     """Per item with errors: their list in order."""
     row = F.struct("ts", "event_id", "error")
     return legal(events).where("status = 'failed'").groupBy("item").agg(F.sort_array(F.collect_list(row)).alias("history"))
+
+
+#: What a group's rows add up to: counters, and the first and last time.
+TOTALS = ("total", "completed", "failed", "a", "b")
+
+
+def progress(groups: DataFrame, group: str = "parliament") -> DataFrame:
+    """Counters, success rate and remaining seconds of every group and of all, from (group, total, completed, failed, a, b)."""
+    p = groups.rollup(group).agg(
+        F.sum("total").alias("total"), F.sum("completed").alias("completed"), F.sum("failed").alias("failed"), F.min("a").alias("a"), F.max("b").alias("b"))
+    spent = F.unix_timestamp("b") - F.unix_timestamp("a")
+    return p.select(group, "total", "completed", "failed", F.round(F.try_divide(100.0 * F.col("completed"), F.col("completed") + F.col("failed")), 4).alias("success_rate"),
+                    F.round(F.try_divide(spent, F.col("completed").cast("double")) * (F.col("total") - F.col("completed")), 2).alias("eta_seconds"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,10 @@ from stenoflow.functions import dates as D
 from stenoflow.operators import segmenting as SG
 from stenoflow.operators import status as ST
 from stenoflow.operators import timeline as TL
-from stenoflow.plans.registry import query
+from stenoflow.operators.lineage import place
+from stenoflow.plans.registry import ORACLE_SQL, query
+from stenoflow.streaming import buckets as BK
+from stenoflow.streaming import timers as TM
 
 # Milliseconds; both engines' own rounding differs at halves.
 MS = "floor({} * 1000 + 0.5) / 1000"
@@ -229,12 +234,48 @@ def progress_rollup(table):
     """Counters, success rate and remaining time of every parliament and of all."""
     at = F.struct("ts", "event_id")
     latest = log(table).groupBy("parliament", "item").agg(F.max_by("status", at).alias("status"), F.min("ts").alias("a"), F.max("ts").alias("b"))
-    p = latest.rollup("parliament").agg(
+    return ST.progress(latest.groupBy("parliament").agg(
         F.count("*").alias("total"), F.count_if(F.col("status") == "completed").alias("completed"), F.count_if(F.col("status") == "failed").alias("failed"),
-        F.min("a").alias("a"), F.max("b").alias("b"))
-    spent = F.unix_timestamp("b") - F.unix_timestamp("a")
-    return p.select("parliament", "total", "completed", "failed", F.round(F.try_divide(100.0 * F.col("completed"), F.col("completed") + F.col("failed")), 4).alias("success_rate"),
-                    F.round(F.try_divide(spent, F.col("completed").cast("double")) * (F.col("total") - F.col("completed")), 2).alias("eta_seconds"))
+        F.min("a").alias("a"), F.max("b").alias("b")))
+
+
+def _store(table) -> BK.Store:
+    """A store that has taken in the log in four batches, one of them twice; events come in any order."""
+    events = log(table)
+    store = BK.Store(events.sparkSession, f"{place(events.sparkSession)}/store-{uuid.uuid4().hex}", BK.STATUS)
+    for batch in (0, 1, 1, 2, 3):
+        BK.refresh(store, events.where(F.pmod(F.xxhash64("event_id"), F.lit(4)) == batch), batch)
+    return store
+
+
+@query("progress_refreshed", ORACLE_SQL["progress_rollup"])
+def progress_refreshed(table):
+    """The rollup, from totals that every batch of the log has changed."""
+    return BK.progress(_store(table))
+
+
+@query("status_refreshed", ORACLE_SQL["status_latest"])
+def status_refreshed(table):
+    """The latest statuses, from buckets that every batch of the log has changed."""
+    return _store(table).read("items").select("item", "status", F.col("at.ts").alias("ts"), "attempts", "last_error")
+
+
+DOWNLOADS_SQL = f"""{EV_SQL}, tr AS (SELECT *, lag(status) OVER w AS before, epoch_us(lead(ts) OVER w) // 1000000 - epoch_us(ts) // 1000000 AS seconds FROM ev WINDOW w AS (PARTITION BY item ORDER BY ts, event_id)),
+ok AS (SELECT * FROM (VALUES (NULL, 'pending'), (NULL, 'downloading'), ('pending', 'downloading'), ('pending', 'failed'), ('downloading', 'completed'), ('downloading', 'failed'), ('failed', 'pending'), ('failed', 'downloading')) AS x(a, b))"""
+
+
+@query("download_states", f"""WITH {DOWNLOADS_SQL} SELECT item, status, count(*) AS times, count(*) FILTER (NOT EXISTS (SELECT 1 FROM ok WHERE a IS NOT DISTINCT FROM before AND b = status)) AS illegal,
+ CAST(coalesce(sum(seconds), 0) AS BIGINT) AS seconds FROM tr GROUP BY 1, 2""")
+def download_states(table):
+    """Visits, illegal steps and time of every state of every download."""
+    return ST.stage_durations(log(table), ST.DOWNLOAD)
+
+
+@query("stuck_stages", f"""WITH {EV_SQL}, n AS (SELECT *, lead(ts) OVER (PARTITION BY item ORDER BY ts, event_id) AS next, ts + INTERVAL 6 HOUR AS failed_at, max(ts) OVER () AS now FROM ev)
+SELECT item, status AS stage, ts AS since, failed_at FROM n WHERE status IN ('pending', 'downloading') AND CASE WHEN next IS NULL THEN failed_at <= now ELSE next > failed_at END""")
+def stuck_stages(table):
+    """Stages of downloads that nothing has followed for six hours."""
+    return TM.stuck(log(table).select("item", "event_id", "ts", "status"), bound_seconds=6 * 3600)
 
 
 @query("failure_rollup", f"""WITH {EV_SQL} SELECT parliament, error, count(*) AS n FROM ev WHERE status = 'failed' GROUP BY 1, 2""")

@@ -28,11 +28,17 @@ def once(events: DataFrame, keys: list[str], *, late: str = "1 hour") -> DataFra
 
 
 class LatestStatus(StatefulProcessor):
-    """Keeps the latest status of an item; events that come out of order change nothing."""
+    """Keeps the latest status of an item; events that come out of order change nothing.
+
+    ttl_ms: processing time after its last event when an item is forgotten.
+    """
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         schema = T.StructType().add("ts", T.TimestampType()).add("event_id", T.LongType()).add("status", T.StringType()).add("attempts", T.LongType())
-        self.latest = handle.getValueState("latest", schema)
+        self.latest = handle.getValueState("latest", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
         ts = event_id = status = None
@@ -54,10 +60,11 @@ class LatestStatus(StatefulProcessor):
         pass
 
 
-def latest_stream(events: DataFrame) -> DataFrame:
-    """Updates of each item's latest status."""
+def latest_stream(events: DataFrame, *, ttl_seconds: int | None = None) -> DataFrame:
+    """Updates of each item's latest status; with a time to live, items without events are forgotten."""
     schema = "item long, ts timestamp, status string, attempts long"
-    return events.groupBy("item").transformWithStateInPandas(LatestStatus(), schema, "Update", "none")
+    state = LatestStatus(None if ttl_seconds is None else 1000 * ttl_seconds)
+    return events.groupBy("item").transformWithStateInPandas(state, schema, "Update", "none" if ttl_seconds is None else "ProcessingTime")
 
 
 def upsert_to(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
