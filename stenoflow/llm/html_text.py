@@ -60,6 +60,7 @@ _BLOCK = frozenset(
     "address article blockquote body center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 "
     "hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+_LISTS = frozenset(["ul", "ol", "dl", "li", "dt", "dd"])
 _INLINE_LINK = frozenset(["a", "button", "select"])
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _OUT_NAME = re.compile(
@@ -79,8 +80,12 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?")
 #: Share of link characters from which a block of several links is a list of links.
 LINK_LIST = 0.8
-#: A line of rights at the end of a page.
-_RIGHTS = re.compile(r"\s*(?:©|\(c\)|copyright\s*(?:©|\(c\)|\d{4}))", re.I)
+#: A whole line of rights at the end of a page: a mark, years, and a holder's name.
+_RIGHTS = re.compile(
+    r"(?:(?i:©|\(c\)|copyright)\s*)+(?:\d{4}(?:\s*[-–,]\s*\d{2,4})*)?[\s,.]*(?:(?i:by)\s+)?(?:(?:[A-ZÀ-ÖØ-Þ0-9]\S*|of|and|the|for|de|la|&)[\s,.]*){0,6}(?i:all rights reserved)?[\s.]*\Z"
+)
+#: Names of reader comments count on articles too, beside or inside another one.
+_COMMENT = re.compile(r"(?:comments?|respond|reply)\Z", re.I)
 _NONE = re.compile(r"display\s*:\s*none", re.I)
 
 
@@ -90,8 +95,8 @@ def _named_out(name: str) -> bool:
     return any(marks) and all(m or x.lower() in _BESIDE or x.isdigit() for m, x in zip(marks, parts, strict=True))
 
 
-def _marked_out(tag: str, attributes: str) -> bool:
-    """Whether the attributes hide an element or name it as none of the content."""
+def _marked_out(tag: str, attributes: str, after: bool = False) -> bool:
+    """Whether the attributes hide an element or name it as none of the content; after: text of the page's own stands before it."""
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "hidden" or (name == "style" and _NONE.search(value)):
@@ -100,6 +105,8 @@ def _marked_out(tag: str, attributes: str) -> bool:
             return True
         if name in ("class", "id", "role") and tag not in _PHRASE and tag not in ("main", "article") and any(map(_named_out, value.split())):
             return True
+        if after and tag == "article" and name in ("class", "id") and any(_named_out(x) and _COMMENT.search(re.split(r"[_-]", x)[0]) for x in value.split()):
+            return True
     return False
 
 
@@ -131,7 +138,10 @@ def parse(page: str) -> Node:
     root = Node("#root", False, False)
     stack, at, n = [root], 0, len(page)
     last_end: dict[str, int] = {}
-    opened = False
+    # places in the stack of drawings, formulas and page's parts in them, and of elements that are out
+    drawings: list[int] = []
+    outs: list[int] = []
+    own = False
     # open elements by name, so that stray end tags are told without a search
     count: dict[str, int] = {}
 
@@ -139,8 +149,15 @@ def parse(page: str) -> Node:
         for x in stack[k:]:
             count[x.tag] -= 1
         del stack[k:]
+        for places in (drawings, outs):
+            while places and places[-1] >= k:
+                places.pop()
 
     def push(node: Node) -> None:
+        if node.tag in _FOREIGN or node.tag in _INTEGRATION:
+            drawings.append(len(stack))
+        if node.out:
+            outs.append(len(stack))
         stack.append(node)
         count[node.tag] = count.get(node.tag, 0) + 1
 
@@ -170,12 +187,7 @@ def parse(page: str) -> Node:
             continue
         attributes = m.group(3) or ""
         # the place of the drawing or formula that the tag stands in, if it is not a page's part again
-        drawn = 0
-        if opened:
-            drawn = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag in _FOREIGN | _INTEGRATION), 0)
-            opened = drawn > 0
-            if stack[drawn].tag not in _FOREIGN:
-                drawn = 0
+        drawn = drawings[-1] if drawings and stack[drawings[-1]].tag in _FOREIGN else 0
         if drawn and tag in _BREAKOUT:
             close(drawn)
             drawn = 0
@@ -207,7 +219,8 @@ def parse(page: str) -> Node:
         # a header inside an article is the article's own
         out = tag in _OUT and not (tag == "header" and count.get("article"))
         if attributes and not out and tag not in ("html", "body"):
-            out = _marked_out(tag, attributes)
+            out = _marked_out(tag, attributes, own)
+        own = own or (tag in ("article", "p") and not out and not outs)
         node = Node(tag, out, tag in _INLINE_LINK)
         stack[-1].children.append(node)
         if tag in _VOID:
@@ -217,7 +230,6 @@ def parse(page: str) -> Node:
             # self-closing counts in drawings and formulas, and nothing in them is raw text
             if not closed:
                 push(node)
-                opened = opened or tag in _FOREIGN
             continue
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
@@ -297,39 +309,43 @@ def _below(node: Node, threshold: float) -> bool:
 def blocks(top: Node, threshold: float = 0.0) -> list[str]:
     """Texts of the blocks below a node, in page order, white space collapsed.
 
-    Lists of links under the threshold, and lines of rights at the end, are left out.
+    Lists of links under the threshold, and lines of rights at the end, are left out, but for lists in articles and
+    lines in articles and list items.
     """
     found, run = [], []
+    held = int(top.tag == "article")  # open articles
 
-    def flush():
+    def flush(kept: bool = False) -> None:
         text = " ".join(html.unescape("".join(run)).split())
         run.clear()
         if text:
-            found.append(text)
+            found.append((text, kept or held > 0))
 
     stack: list = [top]
     while stack:
         x = stack.pop()
-        if x is None:
-            flush()
+        if isinstance(x, tuple):
+            tag = x[0]
+            flush(tag == "li")
+            held -= tag == "article"
         elif isinstance(x, str):
             run.append(x)
-        elif x.out or (x is not top and _below(x, threshold)):
+        elif x.out or (x is not top and _below(x, threshold) and not (held and x.tag in _LISTS)):
             run.append(" " if x.tag not in _BLOCK else "")
             if x.tag in _BLOCK or x.tag in ("nav", "header", "footer", "aside", "form"):
                 flush()
         elif x.tag == "br":
             run.append(" ")
         else:
-            block = x.tag in _BLOCK
-            if block:
+            if x.tag in _BLOCK:
                 flush()
-                stack.append(None)
+                stack.append((x.tag,))
+                held += x is not top and x.tag == "article"
             stack.extend(reversed(x.children))
     flush()
-    while found and _RIGHTS.match(found[-1]):
+    while found and not found[-1][1] and _RIGHTS.match(found[-1][0]):
         found.pop()
-    return found
+    return [text for text, _ in found]
 
 
 def extract(page: str | None) -> str:
