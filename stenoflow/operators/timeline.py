@@ -20,21 +20,52 @@ def gaps(speech: DataFrame, durations: DataFrame, *, video: str = "video") -> Da
     return inner.unionByName(tail).where("b > a").select(video, F.col("a").alias("start"), F.col("b").alias("end"))
 
 
-def crop(timeline: DataFrame, windows: DataFrame, *, video: str = "video", bucket: float = 600.0) -> DataFrame:
+#: Seconds of the smallest bins; those of each level are twice as wide as the ones below.
+BIN = 60.0
+
+
+def _bins(start: Column, end: Column, base: float) -> Column:
+    """Nested bins (level, bin) that together cover an interval: at most two of each level."""
+    a, b = F.floor(start / base), F.floor(end / base) + 1
+
+    def level(k: Column) -> Column:
+        width = F.pow(F.lit(2.0), k)
+        lo, hi = F.ceil(a / width).cast("long"), F.floor(b / width).cast("long")
+        left = F.when((lo < hi) & (F.pmod(lo, F.lit(2)) == 1), F.struct(k.alias("level"), lo.alias("bin")))
+        right = F.when((lo < hi) & (F.pmod(hi, F.lit(2)) == 1), F.struct(k.alias("level"), (hi - 1).alias("bin")))
+        return F.array_compact(F.array(left, right))
+
+    top = F.floor(F.log2((b - a).cast("double"))).cast("int") + 1
+    return F.when(b > a, F.flatten(F.transform(F.sequence(F.lit(0), top), level)))
+
+
+def during(points: DataFrame, point: str, intervals: DataFrame, start: str, end: str, on: list[str], *, base: float = BIN) -> DataFrame:
+    """Points joined with the intervals in whose bins they lie: a few too many, so the caller compares the times.
+
+    An interval of any length is a few rows, at most two for each doubling of its length; a point is a row
+    for each level of bins that any interval needs.
+    """
+    x = intervals.withColumn("_bin", F.explode(_bins(F.col(start), F.col(end), base)))
+    levels = sorted(r[0] for r in x.select("_bin.level").distinct().collect())  # as many as doublings of the base make the longest interval
+    at = F.floor(F.col(point) / base)
+    probes = F.array(*[F.struct(F.lit(k).alias("level"), F.floor(at / F.lit(1 << k)).alias("bin")) for k in levels])
+    none = F.array().cast("array<struct<level:int,bin:bigint>>")
+    p = points.withColumn("_bin", F.explode(probes if levels else none))
+    return p.join(x, [*on, "_bin"]).drop("_bin")
+
+
+def crop(timeline: DataFrame, windows: DataFrame, *, video: str = "video", bucket: float = BIN) -> DataFrame:
     """Intersections of timeline intervals (start, end) with windows (w, w_start, w_end) of the same video.
 
-    Both sides are dealt to time buckets, so the join has equal keys; a pair is reported in
-    the bucket where its intersection starts.
+    Two intervals meet where one begins during the other, so the join is on nested bins of time, and an interval
+    of any length is copied a few times only.
     """
-    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bucket), F.floor(F.col(b) / bucket)))
-    s = timeline.select("*", bins("start", "end").alias("_b"))
-    x = windows.select("*", bins("w_start", "w_end").alias("_b"))
-    a, b = F.greatest("start", "w_start"), F.least("end", "w_end")
-    return (
-        s.join(x, [video, "_b"]).where((F.col("start") < F.col("w_end")) & (F.col("end") > F.col("w_start")))
-        .where(F.floor(a / bucket) == F.col("_b"))
-        .select(video, "w", a.alias("start"), b.alias("end"))
-    )
+    s, x = timeline.select(video, "start", "end"), windows.select(video, "w", "w_start", "w_end")
+    first = during(s, "start", x, "w_start", "w_end", [video], base=bucket).where(F.col("w_start") <= F.col("start"))
+    then = during(x, "w_start", s, "start", "end", [video], base=bucket).where(F.col("w_start") > F.col("start"))
+    met = first.select(*x.columns, "start", "end").unionByName(then.select(*x.columns, "start", "end"))
+    return met.where((F.col("start") < F.col("w_end")) & (F.col("end") > F.col("w_start"))).select(
+        video, "w", F.greatest("start", "w_start").alias("start"), F.least("end", "w_end").alias("end"))
 
 
 def label_changes(df: DataFrame, group: str, order: str, label: str) -> DataFrame:
@@ -43,15 +74,11 @@ def label_changes(df: DataFrame, group: str, order: str, label: str) -> DataFram
     return df.withColumn("previous", F.lag(label).over(w)).where(F.col("previous") != F.col(label))
 
 
-def overlaps(df: DataFrame, group: str, label: str, *, bucket: float = 600.0) -> DataFrame:
-    """(group, start, end, label, until): intervals that begin while one of another label goes on, and its latest end.
-
-    Both sides are dealt to time buckets; a pair meets in the bucket in which the later one begins.
-    """
-    later = df.select(group, "start", "end", label, F.floor(F.col("start") / bucket).alias("_b"))
-    spread = F.explode(F.sequence(F.floor(F.col("start") / bucket), F.floor(F.col("end") / bucket)))
-    going = df.select(group, F.col("start").alias("_from"), F.col("end").alias("_to"), F.col(label).alias("_label"), spread.alias("_b"))
-    met = later.join(going, [group, "_b"]).where(
+def overlaps(df: DataFrame, group: str, label: str, *, bucket: float = BIN) -> DataFrame:
+    """(group, start, end, label, until): intervals that begin while one of another label goes on, and its latest end."""
+    later = df.select(group, "start", "end", label)
+    going = df.select(group, F.col("start").alias("_from"), F.col("end").alias("_to"), F.col(label).alias("_label"))
+    met = during(later, "start", going, "_from", "_to", [group], base=bucket).where(
         (F.col("_from") <= F.col("start")) & (F.col("_to") > F.col("start")) & (F.col("_label") != F.col(label)))
     return met.groupBy(group, "start", "end", label).agg(F.max("_to").alias("until"))
 

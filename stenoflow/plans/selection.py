@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stenoflow.operators import quantiles as Q
 from stenoflow.operators import selection as S
 from stenoflow.plans.registry import query
 
@@ -116,11 +117,29 @@ SELECT count(*) AS segments, round(avg(cer), 6) AS mean_cer, round(median(cer),
  round(sum(duration) / 3600, 4) AS hours, count(DISTINCT video) AS videos FROM seg""",
 )
 def cer_report(table):
-    return segments(table).agg(
-        F.count("*").alias("segments"), F.round(F.avg("cer"), 6).alias("mean_cer"),
-        F.round(F.median("cer"), 6).alias("median_cer"), F.round(F.sum("duration") / 3600, 4).alias("hours"),
+    """The whole table is one group: its median is selected, not gathered."""
+    seg = segments(table)
+    median = Q.quantiles(seg, "cer", [0.5]).select(F.round("quantile", 6).alias("median_cer"))
+    return seg.agg(
+        F.count("*").alias("segments"), F.round(F.avg("cer"), 6).alias("mean_cer"), F.round(F.sum("duration") / 3600, 4).alias("hours"),
         F.count_distinct("video").alias("videos"),
-    )
+    ).join(median, F.lit(True), "left").select("segments", "mean_cer", "median_cer", "hours", "videos")
+
+
+@query(
+    "cer_quantiles",
+    f"""WITH seg AS ({SEG}), s AS (SELECT unnest([0.0, 0.1, 0.15, 0.5, 0.9, 0.99, 1.0]::DOUBLE[]) AS share)
+SELECT format, share, round(CASE share WHEN 0.0 THEN quantile_cont(duration, 0.0) WHEN 0.1 THEN quantile_cont(duration, 0.1) WHEN 0.15 THEN quantile_cont(duration, 0.15)
+ WHEN 0.5 THEN quantile_cont(duration, 0.5) WHEN 0.9 THEN quantile_cont(duration, 0.9) WHEN 0.99 THEN quantile_cont(duration, 0.99) ELSE max(duration) END, 6) AS duration,
+ round(CASE share WHEN 0.0 THEN quantile_cont(cer, 0.0) WHEN 0.1 THEN quantile_cont(cer, 0.1) WHEN 0.15 THEN quantile_cont(cer, 0.15)
+ WHEN 0.5 THEN quantile_cont(cer, 0.5) WHEN 0.9 THEN quantile_cont(cer, 0.9) WHEN 0.99 THEN quantile_cont(cer, 0.99) ELSE max(cer) END, 6) AS cer
+FROM seg, s GROUP BY format, share""",
+)
+def cer_quantiles(table):
+    """Quantiles of duration and error rate by format."""
+    shares, seg = [0.0, 0.1, 0.15, 0.5, 0.9, 0.99, 1.0], segments(table)
+    one, two = (Q.quantiles(seg, c, shares, ["format"]).withColumnRenamed("quantile", c) for c in ("duration", "cer"))
+    return one.join(two, ["format", "share"]).select("format", "share", F.round("duration", 6).alias("duration"), F.round("cer", 6).alias("cer"))
 
 
 COVER = f"""seg AS ({SEG}),

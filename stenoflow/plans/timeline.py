@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stenoflow.functions import dates as D
+from stenoflow.operators import quantiles as Q
 from stenoflow.operators import segmenting as SG
 from stenoflow.operators import status as ST
 from stenoflow.operators import timeline as TL
@@ -196,9 +197,10 @@ def month_series(table):
 FROM events GROUP BY 1""")
 def duration_totals(table):
     """Total, mean and 15th percentile of durations, and the total as a clock time."""
-    return table("events").groupBy("event_type").agg(
-        F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("seconds"), F.round(F.avg("value"), 6).alias("mean"),
-        F.round(F.percentile("value", F.lit(0.15)), 6).alias("p15"), D.clock(F.sum("value")).alias("clock")).orderBy("seconds")
+    p15 = Q.quantiles(table("events"), "value", [0.15], ["event_type"]).select("event_type", F.round("quantile", 6).alias("p15"))
+    sums = table("events").groupBy("event_type").agg(
+        F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("seconds"), F.round(F.avg("value"), 6).alias("mean"), D.clock(F.sum("value")).alias("clock"))
+    return sums.join(p15, "event_type", "left").select("event_type", "n", "seconds", "mean", "p15", "clock").orderBy("seconds")
 
 
 EV_SQL = """ev AS (SELECT event_id, ts, user_id AS item, user_id % 10 AS parliament, value, CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'downloading' WHEN 'click' THEN 'downloading'

@@ -30,6 +30,38 @@ def manifest(spark: SparkSession, path: str, columns: list[str] | None = None) -
     return df.select([F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in df.columns])
 
 
+#: Kinds of cells as bits: whole numbers, other numbers, dates, true or false, and any other text.
+LONG, DOUBLE, DATE, BOOL, STRING = 1, 2, 4, 8, 16
+#: The type of a column whose cells are of these kinds and no others.
+TYPES = {0: "string", LONG: "bigint", DOUBLE: "double", LONG | DOUBLE: "double", DATE: "date", BOOL: "boolean"}
+
+
+def _kind(cell: Column) -> Column:
+    """The narrowest kind that holds a cell; null for a null."""
+    number = r"^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|inf|Inf|NaN|nan)$"
+    whole = cell.rlike(r"^[+-]?\d+$") & cell.try_cast("bigint").isNotNull()
+    return F.when(whole, LONG).when(cell.rlike(number), DOUBLE).when(
+        cell.rlike(r"^\d{4}-\d{2}-\d{2}$") & cell.try_cast("date").isNotNull(), DATE).when(
+        cell.isin("True", "False", "TRUE", "FALSE", "true", "false"), BOOL).when(cell.isNotNull(), STRING)
+
+
+def inferred_types(df: DataFrame) -> dict[str, str]:
+    """Types of columns of text, by one pass: the kinds of a column's cells are merged as bits, in any order."""
+    kinds = df.agg(*[F.bit_or(_kind(F.col(f"`{c}`"))).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
+    return {c: TYPES.get(kinds[i] or 0, "string") for i, c in enumerate(df.columns)}
+
+
+def typed_manifest(spark: SparkSession, path: str, columns: list[str] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The manifest with inferred types: whole numbers, numbers, dates, true or false, else text.
+
+    A column with cells of several kinds is text, but for numbers of both kinds; a column without cells is text;
+    columns to keep stay text, such as ids with leading zeros.
+    """
+    df = manifest(spark, path, columns)
+    types = inferred_types(df)
+    return df.select([F.col(f"`{c}`") if c in keep else F.col(f"`{c}`").cast(types[c]).alias(c) for c in df.columns])
+
+
 def artefacts(spark: SparkSession, path: str, pattern: str = "*.opus") -> DataFrame:
     """(path, length, dir, stem, ext) of files below a folder; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
@@ -47,7 +79,7 @@ def processed_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
-    """(path, content) of text or HTML files, one row each."""
+    """(path, content) of text or HTML files, one row each; an empty file has none."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
 
 
