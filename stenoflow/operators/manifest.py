@@ -67,6 +67,24 @@ def merge_on_key(
     return t.join(v, "join_key").withColumn("merged_id", F.concat_ws("_", "transcript_id", "video_id"))
 
 
+def merge_counts(
+    transcripts: DataFrame, videos: DataFrame, key_t: Callable[[Column], Column], key_v: Callable[[Column], Column]
+) -> DataFrame:
+    """What merge_on_key adds up to by key, from a row for each key and side: (join_key, pairs, transcripts, videos, first_id, last_id).
+
+    Transcripts and videos are distinct ids.  First and last merged ids are those of the ids, as long as no id under a
+    key begins with another one whole, as ids that end with the key do not.
+    """
+
+    def side(df: DataFrame, id_: str, key: Callable[[Column], Column], name: str) -> DataFrame:
+        return df.groupBy(key(F.col(id_)).alias("join_key")).agg(
+            F.count(id_).alias(f"n_{name}"), F.count_distinct(id_).alias(name), F.min(id_).alias(f"first_{name}"), F.max(id_).alias(f"last_{name}"))
+
+    both = side(transcripts, "transcript_id", key_t, "transcripts").join(side(videos, "video_id", key_v, "videos"), "join_key")
+    end = lambda which: F.concat_ws("_", f"{which}_transcripts", f"{which}_videos").alias(f"{which}_id")
+    return both.select("join_key", (F.col("n_transcripts") * F.col("n_videos")).alias("pairs"), "transcripts", "videos", end("first"), end("last"))
+
+
 def unmatched(transcripts: DataFrame, videos: DataFrame, key: str) -> DataFrame:
     """(key, side) of the distinct keys that only one side has."""
     t = transcripts.select(key).distinct().withColumn("_t", F.lit(True))
@@ -102,6 +120,23 @@ def cascade(
     return first.unionByName(by_date).unionByName(late)
 
 
+def cascade_counts(
+    transcripts: DataFrame, videos: DataFrame, explicit: DataFrame, *, date: str = "date", cutoff: str
+) -> DataFrame:
+    """What `cascade` adds up to by transcript (ids are unique): (transcript_id, match_type, videos, first_video), without making the pairs."""
+    t, v = transcripts.select("transcript_id", date), videos.select("video_id", date)
+    linked = explicit.join(v.select("video_id"), "video_id", "left_semi").dropDuplicates(["transcript_id", "video_id"])
+    first = linked.join(t.select("transcript_id"), "transcript_id", "left_semi").groupBy("transcript_id").agg(
+        F.count("*").alias("videos"), F.min("video_id").alias("first_video"))
+    rest = t.join(first.select("transcript_id"), "transcript_id", "left_anti")
+    days = v.where(F.col(date).isNotNull()).groupBy(date).agg(F.count("*").alias("videos"), F.min("video_id").alias("first_video"))
+    by_date = rest.join(days, date).withColumn("match_type", F.when(F.col("videos") == 1, "unique_date").otherwise("multi_date"))
+    left = rest.join(days.select(date), date, "left_anti").where(F.col(date) >= F.lit(cutoff).cast("date"))
+    late = left.join(days.withColumn(date, F.date_sub(date, 1)), date).withColumn("match_type", F.lit("next_day"))
+    out = ["transcript_id", "match_type", "videos", "first_video"]
+    return first.withColumn("match_type", F.lit("explicit")).select(*out).unionByName(by_date.select(*out)).unionByName(late.select(*out))
+
+
 def last_wins(df: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
     """The value of the row of highest order for each key."""
     return df.groupBy(*key).agg(F.max_by(value, order).alias(value))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stenoflow.functions import links
@@ -115,7 +115,7 @@ def coalesce_links(table):
 
 
 T_SQL = "t AS (SELECT 'T_' || o_orderstatus || '_' || o_orderkey || '_' || strftime(o_orderdate, '%d%m%Y') AS transcript_id, CAST(o_orderdate AS DATE) AS date, o_orderstatus AS house, o_orderkey AS ord FROM orders)"
-V_SQL = "v AS (SELECT 'V_' || l_linestatus || '_' || l_orderkey || '_' || strftime(l_shipdate, '%d%m%Y') AS video_id, CAST(l_shipdate AS DATE) AS date, l_linestatus AS house, l_orderkey AS ord FROM lineitem WHERE l_linenumber = 1)"
+V_SQL = "v AS (SELECT 'V_' || l_linestatus || '_' || l_orderkey || '_' || l_linenumber || '_' || strftime(l_shipdate, '%d%m%Y') AS video_id, CAST(l_shipdate AS DATE) AS date, l_linestatus AS house, l_orderkey AS ord FROM lineitem)"
 
 
 def transcripts(table) -> DataFrame:
@@ -125,10 +125,9 @@ def transcripts(table) -> DataFrame:
 
 
 def videos(table) -> DataFrame:
-    """Video links: the first line of an order is its recording, with a dated id."""
-    id_ = F.concat_ws("_", F.lit("V"), "l_linestatus", F.col("l_orderkey").cast("string"), F.date_format("l_shipdate", "ddMMyyyy"))
-    first = table("lineitem").where("l_linenumber = 1")
-    return first.select(id_.alias("video_id"), F.to_date("l_shipdate").alias("date"), F.col("l_linestatus").alias("house"), F.col("l_orderkey").alias("ord"))
+    """Video links: every line of an order is a recording, with a dated id."""
+    id_ = F.concat_ws("_", F.lit("V"), "l_linestatus", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.date_format("l_shipdate", "ddMMyyyy"))
+    return table("lineitem").select(id_.alias("video_id"), F.to_date("l_shipdate").alias("date"), F.col("l_linestatus").alias("house"), F.col("l_orderkey").alias("ord"))
 
 
 @query(
@@ -139,10 +138,9 @@ SELECT split_part(transcript_id, '_', -1) AS join_key, count(*) AS pairs, min(tr
 FROM t JOIN v ON split_part(transcript_id, '_', -1) = split_part(video_id, '_', -1) GROUP BY 1""",
 )
 def merge_on_date(table):
-    """n x m join on the date in the ids, summed up by date."""
-    return _by_date(table).groupBy("join_key").agg(
-        F.count("*").alias("pairs"), F.min("merged_id").alias("first_id"), F.max("merged_id").alias("last_id")
-    )
+    """n x m join on the date in the ids, summed up by date: each side by itself, so no pairs are made."""
+    key = links.last_part
+    return M.merge_counts(transcripts(table), videos(table), key, key).select("join_key", "pairs", "first_id", "last_id")
 
 
 def _by_date(table) -> DataFrame:
@@ -171,16 +169,11 @@ FROM tk JOIN vk USING (k) GROUP BY 1""",
 )
 def merge_on_composite(table):
     """Join on date and house, summed up by key."""
-    return _by_date_and_house(table).groupBy("join_key").agg(
-        F.count("*").alias("pairs"), F.count_distinct("transcript_id").alias("transcripts"), F.count_distinct("video_id").alias("videos")
-    )
+    return M.merge_counts(transcripts(table), videos(table), _date_and_house, _date_and_house).select("join_key", "pairs", "transcripts", "videos")
 
 
-def _by_date_and_house(table) -> DataFrame:
-    def key(c):
-        return F.concat(links.last_part(c), F.when(F.split_part(c, F.lit("_"), F.lit(2)) == "O", "_Commons").otherwise("_Westminster"))
-
-    return M.merge_on_key(transcripts(table).select("transcript_id"), videos(table).select("video_id"), key, key)
+def _date_and_house(c: Column) -> Column:
+    return F.concat(links.last_part(c), F.when(F.split_part(c, F.lit("_"), F.lit(2)) == "O", "_Commons").otherwise("_Westminster"))
 
 
 @query(
@@ -192,13 +185,14 @@ SELECT k AS join_key, transcript_id, video_id FROM tk JOIN vk USING (k)""",
 )
 def merge_on_composite_rows(table):
     """Every pair of the same date and house."""
-    return _by_date_and_house(table).select("join_key", "transcript_id", "video_id")
+    t, v = transcripts(table).select("transcript_id"), videos(table).select("video_id")
+    return M.merge_on_key(t, v, _date_and_house, _date_and_house).select("join_key", "transcript_id", "video_id")
 
 
 @query(
     "safe_date_join",
     """WITH a AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS raw FROM orders),
-b AS (SELECT l_orderkey, strftime(l_shipdate, '%d/%m/%Y') AS raw FROM lineitem WHERE l_linenumber = 1),
+b AS (SELECT l_orderkey, strftime(l_shipdate, '%d/%m/%Y') AS raw FROM lineitem),
 x AS (SELECT o_orderkey, TRY_CAST(raw AS DATE) AS d FROM a), y AS (SELECT l_orderkey, CAST(try_strptime(raw, '%d/%m/%Y') AS DATE) AS d FROM b),
 xc AS (SELECT d, count(*) AS n FROM x WHERE d IS NOT NULL GROUP BY d), yc AS (SELECT d, count(*) AS m FROM y WHERE d IS NOT NULL GROUP BY d)
 SELECT (SELECT count(*) FROM x WHERE d IS NULL) AS invalid_left, (SELECT count(*) FROM y WHERE d IS NULL) AS invalid_right,
@@ -212,7 +206,7 @@ def safe_date_join(table):
     raw_t = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
     x = table("orders").select(parse(raw_t, ["yyyy-MM-dd", "dd/MM/yyyy"]).alias("d"))
     raw_v = F.date_format("l_shipdate", "dd/MM/yyyy")
-    y = table("lineitem").where("l_linenumber = 1").select(parse(raw_v, ["yyyy-MM-dd", "dd/MM/yyyy"]).alias("d"))
+    y = table("lineitem").select(parse(raw_v, ["yyyy-MM-dd", "dd/MM/yyyy"]).alias("d"))
     xc, yc = x.groupBy("d").agg(F.count("*").alias("n")), y.groupBy("d").agg(F.count("*").alias("m"))
     j = xc.alias("x").join(yc.alias("y"), F.col("x.d").eqNullSafe(F.col("y.d")), "full_outer")
     known = F.col("x.d").isNotNull() & F.col("y.d").isNotNull()
@@ -236,7 +230,7 @@ def unmatched_keys(table):
 
 
 CASCADE_SQL = f"""{T_SQL}, {V_SQL},
-e AS (SELECT t.transcript_id, v.video_id FROM t JOIN v USING (ord) WHERE t.house = 'F'),
+e AS (SELECT DISTINCT t.transcript_id, v.video_id FROM t JOIN v USING (ord) WHERE t.house = 'F'),
 rest AS (SELECT * FROM t WHERE transcript_id NOT IN (SELECT transcript_id FROM e)),
 c AS (SELECT *, count(*) OVER (PARTITION BY date) AS n FROM v),
 m AS (SELECT transcript_id, video_id, 'explicit' AS match_type FROM e
@@ -245,22 +239,22 @@ UNION ALL SELECT r.transcript_id, v.video_id, 'next_day' FROM rest r JOIN v ON v
  WHERE r.date >= DATE '1997-01-01' AND r.date NOT IN (SELECT date FROM v))"""
 
 
-def _cascade(table) -> DataFrame:
+def _sides(table) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Transcripts, videos, and explicit links between them."""
     t, v = transcripts(table), videos(table)
-    explicit = t.where("house = 'F'").select("transcript_id", "ord").join(v.select("video_id", "ord"), "ord").select("transcript_id", "video_id")
-    return M.cascade(t, v, explicit, cutoff="1997-01-01")
+    return t, v, t.where("house = 'F'").select("transcript_id", "ord").join(v.select("video_id", "ord"), "ord").select("transcript_id", "video_id")
 
 
 @query("cascade_match", f"WITH {CASCADE_SQL} SELECT transcript_id, match_type, count(*) AS videos, min(video_id) AS first_video FROM m GROUP BY ALL")
 def cascade_match(table):
-    """Matches of every transcript by the rule that gave them."""
-    return _cascade(table).groupBy("transcript_id", "match_type").agg(F.count("*").alias("videos"), F.min("video_id").alias("first_video"))
+    """Number of matches of every transcript, with the rule that gave them."""
+    return M.cascade_counts(*_sides(table), cutoff="1997-01-01")
 
 
 @query("cascade_rows", f"WITH {CASCADE_SQL} SELECT transcript_id, video_id, match_type FROM m")
 def cascade_rows(table):
     """Every match with the rule that gave it."""
-    return _cascade(table).select("transcript_id", "video_id", "match_type")
+    return M.cascade(*_sides(table), cutoff="1997-01-01").select("transcript_id", "video_id", "match_type")
 
 
 @query(
@@ -271,7 +265,7 @@ SELECT match_type, count(DISTINCT transcript_id) AS transcripts, count(*) AS mat
 )
 def cascade_stats(table):
     n = transcripts(table).agg(F.count("*").alias("n"))
-    per = _cascade(table).groupBy("match_type").agg(F.count_distinct("transcript_id").alias("transcripts"), F.count("*").alias("matches"))
+    per = M.cascade_counts(*_sides(table), cutoff="1997-01-01").groupBy("match_type").agg(F.count("*").alias("transcripts"), F.sum("videos").alias("matches"))
     return per.join(F.broadcast(n)).select("match_type", "transcripts", "matches", F.round(100.0 * F.col("transcripts") / F.col("n"), 4).alias("percent"))
 
 

@@ -141,3 +141,17 @@ def test_speeches_without_speaker_or_text_stay(spark):
     df = spark.createDataFrame([("a", 1, "X", "one"), ("a", 2, None, "two"), ("a", 3, "Y", None)], "g string, o int, s string, t string")
     text = S.formatted(df, "g", "o", F.col("s"), F.col("t")).collect()[0]["text"]
     assert text.count("[SPEECH]") == 3 and "two" in text
+
+
+def test_counts_equal_the_pairs(spark):
+    t = spark.createDataFrame([("t1_a", dt.date(2000, 1, 1)), ("t2_a", dt.date(2000, 1, 1)), ("t3_b", dt.date(2000, 1, 2)), ("t4_c", dt.date(2000, 1, 9)), ("t5_x", None)], "transcript_id string, date date")
+    v = spark.createDataFrame([("v1_a", dt.date(2000, 1, 1)), ("v2_a", dt.date(2000, 1, 1)), ("v3_b", dt.date(2000, 1, 2)), ("v4_d", dt.date(2000, 1, 10)), ("v4_d", dt.date(2000, 1, 10)), ("v5_x", None)], "video_id string, date date")
+    explicit = spark.createDataFrame([("t2_a", "v1_a"), ("t2_a", "v1_a"), ("t2_a", "none")], "transcript_id string, video_id string")
+    rows = manifest.cascade(t, v, explicit, cutoff="1999-01-01").groupBy("transcript_id", "match_type").agg(F.count("*").alias("videos"), F.min("video_id").alias("first_video"))
+    counts = manifest.cascade_counts(t, v, explicit, cutoff="1999-01-01")
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, rows.collect())) and counts.count() == 4
+    key = lambda c: F.split_part(c, F.lit("_"), F.lit(2))
+    pairs = manifest.merge_on_key(t, v, key, key).groupBy("join_key").agg(
+        F.count("*").alias("pairs"), F.count_distinct("transcript_id").alias("transcripts"), F.count_distinct("video_id").alias("videos"),
+        F.min("merged_id").alias("first_id"), F.max("merged_id").alias("last_id"))
+    assert sorted(map(tuple, manifest.merge_counts(t, v, key, key).collect())) == sorted(map(tuple, pairs.collect()))
