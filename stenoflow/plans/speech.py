@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stenoflow.functions import links
 from stenoflow.functions import text as X
 from stenoflow.operators import speech as S
-from stenoflow.plans.registry import query
+from stenoflow.plans.registry import ORACLE_SQL, query
 
 # The oracle reads white space, tags and entities with the same patterns as the functions.
 WS = r"[ \t\n\x0b\f\r]+"
@@ -108,21 +108,17 @@ def clean_text(table):
 ABBREVIATIONS = {"st": "saint", "er": "error", "de": "deutsch", "the": "those"}
 
 
-@query("abbrev_expand", r"""SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '\bst\b', 'saint', 'g'), '\ber\b', 'error', 'g'), '\bde\b', 'deutsch', 'g'), '\bthe\b', 'those', 'g')) AS expanded
-FROM (SELECT doc_id, regexp_replace(text, '[^\x00-\x7F]', '', 'g') AS t FROM documents)""")
+@query("abbrev_expand", r"""SELECT doc_id, md5(array_to_string(list_transform(regexp_extract_all(text, '[\p{L}\p{M}\p{N}\p{Pc}]+|[^\p{L}\p{M}\p{N}\p{Pc}]+'),
+ lambda x: CASE x WHEN 'st' THEN 'saint' WHEN 'er' THEN 'error' WHEN 'de' THEN 'deutsch' WHEN 'the' THEN 'those' ELSE x END), '')) AS expanded FROM documents""")
 def abbrev_expand(table):
-    """Whole-word abbreviations on the ASCII part of the texts (the oracle's word ends are ASCII)."""
-    t = X.expand_abbreviations(X.ascii_only(F.col("text")), ABBREVIATIONS, unicode_words=False)
-    return table("documents").select("doc_id", F.md5(t.cast("binary")).alias("expanded"))
-
-
-@query("abbrev_expand_full")
-def abbrev_expand_full(table):
     """Whole-word abbreviations in the whole texts, with the word ends of Unicode."""
     t = X.expand_abbreviations(F.col("text"), ABBREVIATIONS)
     return table("documents").select("doc_id", F.md5(t.cast("binary")).alias("expanded"))
 
 
+query("abbrev_expand_full", ORACLE_SQL["abbrev_expand"])(abbrev_expand)
+
+
 RULES = [("evening", ["evening", "ening"]), ("morning", ["morning", "orning"]), ("hour", ["hour", "ou"])]
 
 
