@@ -70,12 +70,15 @@ def remove(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables that are cut inside are deleted at the end, when what was made of them is complete."""
+    """Tables that are cut inside are deleted at the end, when what was made of them is complete or has failed."""
     begun = len(_written)
-    yield
-    for path in _written[begun:]:
-        remove(spark, path)
-    del _written[begun:]
+    try:
+        yield
+    finally:
+        paths = _written[begun:]
+        del _written[begun:]
+        for path in paths:
+            remove(spark, path)
     release(spark)
 
 

@@ -1,14 +1,14 @@
-"""Exact top-k search with BM25, by block-max WAND over shards of an inverted index.
+"""Exact top-k search with BM25, by block maxima and rising thresholds over shards of an inverted index.
 
 A partition of the documents is a shard; it is indexed in segments (parts of its Arrow
 batches), and the best k of every query and their least score, the threshold, go from segment
 to segment.  A segment's documents are put in blocks of documents that share frequent terms.
-In each block the query's terms are ordered with frequent ones, which add least, first: their
-block maxima are summed, and where they do not reach the threshold, the pivot is a rare term
-and only documents with postings of rare terms can be found.  Blocks in which no document's
-bound (postings of rare terms plus block maxima of frequent ones) reaches the threshold are
-skipped; in the others documents are scored.  Bounds and scores of many queries are one
-matrix product a block.
+In each block the block maxima of a query's frequent terms, which add least, are summed, and the
+postings of its rare terms are summed by document.  Blocks in which no document's bound (postings
+of rare terms plus block maxima of frequent ones) reaches the threshold are skipped; in the
+others documents are scored.  Bounds and scores of many queries are one matrix product a block.
+This prunes by block as block-max WAND does, and keeps its result exact in the same way, but it is not
+WAND's order of work: there are no cursors and no pivots, and postings of rare terms are all read.
 
 Thresholds start from a ladder of samples: the sample of one in SAMPLE_STEP documents is
 searched first, with thresholds from the sample of one in SAMPLE_STEP of it, and so on.  A
@@ -203,8 +203,8 @@ class Segment:
             read[i] = np.bincount(self.inv_place[at], self.inv_impact[at], minlength=self.size)
         # sums of 32-bit floats are off by less than this
         least = np.maximum(thresholds, 1e-6) * (1 - SLACK)
-        # what frequent terms can add at most in each block; where that does not reach the threshold, the pivot
-        # is a rare term, and a block in which the postings of rare terms lift no document to it is skipped
+        # what frequent terms can add at most in each block; a block in which the postings of rare terms lift no
+        # document to the threshold is skipped
         bound = frequent @ self.block_max.T + np.maximum.reduceat(read, self.starts[:-1], axis=1)
         live = bound >= least[:, None]
         score = np.full((n, self.size), -1, np.float32)
