@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stenoflow.functions import links
 from stenoflow.functions import text as X
+from stenoflow.operators import manifest as M
 from stenoflow.operators import speech as S
 from stenoflow.plans.registry import ORACLE_SQL, query
 
@@ -221,3 +222,11 @@ def url_normal_join(table):
     b = table("pages").where("url like 'https%'").select(F.col("page_id").alias("other"), links.bare(F.col("url")).alias("k"))
     hit = F.col("other") != F.col("page_id")
     return a.join(b, "k", "left").groupBy("page_id").agg(F.count_if(hit).alias("matches"), F.min(F.when(hit, F.col("other"))).alias("first_match"))
+
+
+@query("url_unmatched", f"""WITH a AS (SELECT DISTINCT {NORM} AS k FROM pages WHERE url NOT LIKE 'https%'), b AS (SELECT DISTINCT {NORM} AS k FROM pages WHERE url LIKE 'https%')
+SELECT k, 'transcript' AS side FROM a WHERE k NOT IN (SELECT k FROM b WHERE k IS NOT NULL) UNION ALL SELECT k, 'video' FROM b WHERE k NOT IN (SELECT k FROM a WHERE k IS NOT NULL)""")
+def url_unmatched(table):
+    """Addresses that only one side of the join has: plain ones (transcript) and those of secure pages (video)."""
+    pages = table("pages").select(links.bare(F.col("url")).alias("k"), F.col("url").startswith("https").alias("secure"))
+    return M.unmatched(pages.where("NOT secure"), pages.where("secure"), "k")
