@@ -1,14 +1,17 @@
-"""Exact top-k search with BM25, by block maxima and rising thresholds over shards of an inverted index.
+"""Exact top-k search with BM25, by block-max WAND over shards of an inverted index.
 
 A partition of the documents is a shard; it is indexed in segments (parts of its Arrow
 batches), and the best k of every query and their least score, the threshold, go from segment
-to segment.  A segment's documents are put in blocks of documents that share frequent terms.
-In each block the block maxima of a query's frequent terms, which add least, are summed, and the
-postings of its rare terms are summed by document.  Blocks in which no document's bound (postings
-of rare terms plus block maxima of frequent ones) reaches the threshold are skipped; in the
-others documents are scored.  Bounds and scores of many queries are one matrix product a block.
-This prunes by block as block-max WAND does, and keeps its result exact in the same way, but it is not
-WAND's order of work: there are no cursors and no pivots, and postings of rare terms are all read.
+to segment.  A segment's documents are put in blocks of documents that share frequent terms; the
+list of a term has an entry for each block that holds it, with the block's greatest impact.
+
+Each query walks with a cursor in the list of each of its terms.  In the order of the cursors' blocks the
+terms' greatest impacts are added until they reach the threshold: that block is the pivot, and all
+before it are passed over.  If the block maxima of the terms that are in the pivot reach the threshold too,
+postings of its rare terms are read, and where these and the block maxima of frequent terms still
+reach it the block's documents are scored, which lifts the threshold; then the cursors go behind it.
+Blocks are the same for all terms, and queries that are searched together walk in step, so cursors
+that lie at or behind the least pivot are the same for all of them and are kept once.
 
 Thresholds start from a ladder of samples: the sample of one in SAMPLE_STEP documents is
 searched first, with thresholds from the sample of one in SAMPLE_STEP of it, and so on.  A
@@ -150,12 +153,38 @@ def _frequencies(batches: Iterator[pa.RecordBatch], terms: np.ndarray) -> Iterat
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
 
 
+class Cursors:
+    """A cursor in the list of every term of some (query, term) pairs; all stand at one block or behind it."""
+
+    def __init__(self, segment: Segment, term: np.ndarray):
+        self.segment = segment
+        self.terms, self.of = np.unique(term, return_inverse=True)
+        self.at, self.end = segment.list_at[self.terms], segment.list_at[self.terms + 1]
+        self.blocks = segment.entry[self.at] - self.terms * segment.n_blocks
+
+    def to(self, block: int) -> None:
+        """Moves cursors before a block to their first entry at or behind it, or to the end."""
+        n = self.segment.n_blocks
+        late = np.flatnonzero(self.blocks < block)
+        at = np.searchsorted(self.segment.entry, self.terms[late] * n + block)
+        self.at[late] = at
+        inside = at < self.end[late]
+        self.blocks[late] = n
+        self.blocks[late[inside]] = self.segment.entry[at[inside]] - self.terms[late[inside]] * n
+
+    def block(self, pairs: np.ndarray) -> np.ndarray:
+        return self.blocks[self.of[pairs]]
+
+    def entry(self, pairs: np.ndarray) -> np.ndarray:
+        return self.at[self.of[pairs]]
+
+
 class Segment:
     """Inverted index of some documents for a block of queries.
 
     Documents are numbered anew so that blocks hold documents that share frequent terms, which
-    keeps block maxima close to the impacts.  Frequent terms are held as a dense table of
-    documents and one of block maxima, rare terms as postings.
+    keeps block maxima close to the impacts.  Impacts of frequent terms are also held as a dense
+    table, so that documents of a block are scored for many queries by one matrix product.
     """
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, places: Places, idf: np.ndarray, mean: float):
@@ -180,44 +209,98 @@ class Segment:
         self.starts = np.cumsum([0, *map(len, parts)])
         self.dense = dense[self.docs]
         self.block_max = np.maximum.reduceat(self.dense, self.starts[:-1], axis=0) if parts else dense
+        self.n_blocks = max(1, len(parts))
         place = np.empty(self.size, np.int64)
         place[self.docs] = np.arange(self.size)
-        rare_doc, rare_term, rare_impact = doc[~of_often], term[~of_often], impact[~of_often]
-        by = np.argsort(rare_term, kind="stable")
-        self.inv_place, self.inv_impact = place[rare_doc[by]], rare_impact[by]
-        self.inv_at = np.concatenate([[0], np.cumsum(np.bincount(rare_term, minlength=n_terms))])
+        place = place[doc]
+        #: Entries of the lists: term and block in one number, where their postings begin, and the greatest impact.
+        entry = term * self.n_blocks + np.searchsorted(self.starts, place, "right") - 1
+        by = np.argsort(entry, kind="stable")
+        entry = entry[by]
+        self.post_place, self.post_impact = place[by], impact[by]
+        first = np.flatnonzero(np.diff(entry, prepend=-1))
+        self.entry, self.entry_at = entry[first], np.append(first, len(entry))
+        self.entry_max = np.maximum.reduceat(self.post_impact, first) if len(first) else np.zeros(0)
+        self.list_at = np.searchsorted(self.entry, np.arange(n_terms + 1) * self.n_blocks)
+        self.term_max = np.zeros(n_terms)
+        np.maximum.at(self.term_max, self.entry // self.n_blocks, self.entry_max)
+        #: What searches did: (query, block) pairs at a pivot, of these read and scored, and postings read.
+        self.work = {"pivots": 0, "read": 0, "scored": 0, "postings": 0}
 
     def search(self, asked: list[np.ndarray], k: int, thresholds: np.ndarray, rank: np.ndarray) -> Iterator[list[tuple[float, int]]]:
         """Of every query, the (score, document) of the best k documents that reach its threshold."""
-        if not self.size:
-            yield from ([] for _ in asked)
-            return
         n = len(asked)
+        held = [t[self.list_at[t + 1] > self.list_at[t]] for t in asked]
+        pair_n = np.array([len(t) for t in held])
+        pair_at = np.cumsum(pair_n) - pair_n
+        term = np.concatenate(held)
+        most, rare = self.term_max[term], self.row[term] < 0
         frequent = np.zeros((n, self.dense.shape[1]), np.float32)
-        read = np.zeros((n, self.size), np.float32)
-        for i, terms in enumerate(asked):
-            row = self.row[terms]
-            frequent[i, row[row >= 0]] = 1
-            rare = terms[row < 0]
-            at = _ranges(self.inv_at[rare], self.inv_at[rare + 1] - self.inv_at[rare])
-            read[i] = np.bincount(self.inv_place[at], self.inv_impact[at], minlength=self.size)
+        frequent[np.repeat(np.arange(n), pair_n)[~rare], self.row[term[~rare]]] = 1
+        cursors = Cursors(self, term)
         # sums of 32-bit floats are off by less than this
         least = np.maximum(thresholds, 1e-6) * (1 - SLACK)
-        # what frequent terms can add at most in each block; a block in which the postings of rare terms lift no
-        # document to the threshold is skipped
-        bound = frequent @ self.block_max.T + np.maximum.reduceat(read, self.starts[:-1], axis=1)
-        live = bound >= least[:, None]
-        score = np.full((n, self.size), -1, np.float32)
-        for b in np.flatnonzero(live.any(0)):
-            which, part = np.flatnonzero(live[:, b]), slice(self.starts[b], self.starts[b + 1])
-            score[which, part] = read[which, part] + frequent[which] @ self.dense[part].T
+        top = np.zeros((n, k))
+        found_q, found_at, found_score = [], [], []
+        pivot = np.zeros(n, np.int64)
+        queries, b = np.arange(n), -1
+        while True:
+            # the next pivots of the queries that stood at block b
+            cursors.to(b + 1)
+            pairs, of = _ranges(pair_at[queries], pair_n[queries]), np.repeat(np.arange(len(queries)), pair_n[queries])
+            ahead = self.n_blocks - b
+            sums = np.bincount(of * ahead + cursors.block(pairs) - b - 1, most[pairs], minlength=len(queries) * ahead)
+            reached = np.cumsum(sums.reshape(-1, ahead)[:, :-1], axis=1) >= least[queries][:, None]
+            pivot[queries] = np.where(reached.any(1), reached.argmax(1) + b + 1, self.n_blocks) if ahead > 1 else self.n_blocks
+            b = int(pivot.min())
+            if b >= self.n_blocks:
+                break
+            cursors.to(b)
+            queries = np.flatnonzero(pivot == b)
+            self.work["pivots"] += len(queries)
+            pairs, of = _ranges(pair_at[queries], pair_n[queries]), np.repeat(np.arange(len(queries)), pair_n[queries])
+            here = cursors.block(pairs) == b
+            pairs, of = pairs[here], of[here]
+            bound = np.bincount(of, self.entry_max[cursors.entry(pairs)], minlength=len(queries))
+            live = bound >= least[queries]
+            which = queries[live]
+            if not len(which):
+                continue
+            self.work["read"] += len(which)
+            start, end = self.starts[b], self.starts[b + 1]
+            read = rare[pairs] & live[of]
+            entries = cursors.entry(pairs[read])
+            size = self.entry_at[entries + 1] - self.entry_at[entries]
+            at = _ranges(self.entry_at[entries], size)
+            self.work["postings"] += len(at)
+            line = np.repeat((np.cumsum(live) - 1)[of[read]], size)
+            score = np.bincount(
+                line * (end - start) + self.post_place[at] - start, self.post_impact[at], minlength=len(which) * (end - start)
+            ).reshape(len(which), -1).astype(float)
+            tight = score.max(1) + frequent[which] @ self.block_max[b] >= least[which]
+            which, score = which[tight], score[tight]
+            self.work["scored"] += len(which)
+            score += frequent[which] @ self.dense[start:end].T
+            hit = score >= least[which][:, None]
+            some = hit.any(1)
+            if some.any():
+                which, score, hit = which[some], score[some], hit[some]
+                i, d = np.nonzero(hit)
+                found_q.append(which[i])
+                found_at.append(start + d)
+                found_score.append(score[i, d])
+                both = np.concatenate([top[which], score], axis=1)
+                top[which] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
+                least[which] = np.maximum(least[which], top[which].min(1) * (1 - SLACK))
+        join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+        q, at, score = join(found_q, np.int64), join(found_at, np.int64), join(found_score, float)
+        good = score >= least[q]
+        q, at = q[good], at[good]
+        by = np.argsort(q, kind="stable")
+        bounds = np.searchsorted(q[by], np.arange(n + 1))
         for i, terms in enumerate(asked):
-            s, low = score[i], least[i]
-            found = np.flatnonzero(s >= low)
-            if len(found) > k:
-                low = max(low, np.partition(s[found], -k)[-k] * (1 - SLACK))
-                found = found[s[found] >= low]
-            yield self._best(self.docs[found], terms, k, rank) if len(found) else []
+            docs = self.docs[at[by[bounds[i] : bounds[i + 1]]]]
+            yield self._best(docs, terms, k, rank) if len(docs) else []
 
     def _best(self, docs: np.ndarray, terms: np.ndarray, k: int, rank: np.ndarray) -> list[tuple[float, int]]:
         """The best k of some documents by their exact scores, equal ones by rank."""

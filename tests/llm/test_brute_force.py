@@ -8,6 +8,8 @@ import re
 import time
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -467,3 +469,56 @@ def test_html_of_stray_end_tags_costs_its_length():
     begun = time.monotonic()
     assert html_text.extract("<div>" * 20_000 + "deep text" + "</i></section>" * 20_000) == "deep text"
     assert time.monotonic() - begun < 5
+
+
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_search_skips_blocks_and_loses_none(monkeypatch, k):
+    monkeypatch.setattr(topk_search, "BLOCK", 8)
+    r = random.Random(k)
+    # ten subjects with words of their own, common words and copies
+    texts = [" ".join([f"s{i % 10}x{int(r.paretovariate(0.8)) % 40}" for _ in range(20)] + [f"c{r.randrange(6)}" for _ in range(6)]) for i in range(1500)]
+    texts += [texts[3]] * 40 + ["", "c1"]
+    buf, offsets = topk_search.B.utf8(pa.array(texts))
+    h, bounds = topk_search.terms_of(buf, offsets)
+    sets = [np.unique(h[bounds[i] : bounds[i + 1]]) for i in range(0, len(texts), 60)] + [np.zeros(0, np.uint64), np.array([7], np.uint64)]
+    queries = topk_search.Queries(sets)
+    places = topk_search.Places(queries.terms)
+    doc, term, tf, length = topk_search.postings(buf, offsets, places)
+    df = np.bincount(term, minlength=len(queries.terms))
+    idf = np.log(1 + (len(texts) - df + 0.5) / (df + 0.5))
+    segment = topk_search.Segment(buf, offsets, places, idf, length.mean())
+    asked = [queries.of(q) for q in range(len(queries))]
+    rank = np.arange(len(texts))
+    found = list(segment.search(asked, k, np.zeros(len(asked)), rank))
+    impact = idf[term] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length[doc] / length.mean()))
+    all_postings = 0
+    for terms, got in zip(asked, found, strict=True):
+        inside = np.isin(term, terms)
+        all_postings += int(inside.sum())
+        score = np.round(np.bincount(doc[inside], impact[inside], minlength=len(texts)), 9)
+        order = [int(d) for d in np.lexsort((rank, -score))[:k] if score[d] > 0]
+        assert [d for _, d in got] == order
+        assert [s for s, _ in got] == pytest.approx(score[order].tolist())
+    pairs = len(asked) * segment.n_blocks
+    work = dict(segment.work)
+    assert work["scored"] <= work["read"] <= work["pivots"] < 0.9 * pairs and work["scored"] < 0.5 * pairs
+    # with the final thresholds the same rows come out, and less is read
+    least = np.array([hits[-1][0] if len(hits) == k else 0 for hits in found])
+    assert list(segment.search(asked, k, least, rank)) == found
+    assert all(segment.work[x] - work[x] <= work[x] for x in work) and segment.work["scored"] - work["scored"] < work["scored"]
+    assert work["postings"] < all_postings
+
+
+def test_cursors_move_to_the_first_entry_behind():
+    texts = [f"all {'even' if i % 2 == 0 else 'odd'} {'last' if i == 9 else ''}" for i in range(10)]
+    buf, offsets = topk_search.B.utf8(pa.array(texts))
+    places = topk_search.Places(np.unique(topk_search.terms_of(buf, offsets)[0]))
+    segment = topk_search.Segment(buf, offsets, places, np.ones(4), 2.0)
+    lists = {t: set() for t in range(4)}
+    for e in segment.entry:
+        lists[int(e) // segment.n_blocks].add(int(e) % segment.n_blocks)
+    cursors = topk_search.Cursors(segment, np.arange(4))
+    for to in range(segment.n_blocks + 1):
+        cursors.to(to)
+        for t in range(4):
+            assert cursors.block(np.array([t]))[0] == min((b for b in lists[t] if b >= to), default=segment.n_blocks)
