@@ -139,6 +139,28 @@ def look_up(rows: DataFrame, table: DataFrame, on: str, hot_rows: int) -> DataFr
     return busy.unionByName(rest).unionByName(none, allowMissingColumns=True)
 
 
+def known_labels(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """(k, label): keys with a label 0 or 1; a pair that is repeated counts once."""
+    known = labels.select(F.col(f"`{key}`").alias("k"), F.col(f"`{label}`").cast("int").alias("label"))
+    return known.where(F.col("label").isin(0, 1) & F.col("k").isNotNull()).distinct()
+
+
+def drawn_rows(df: DataFrame, drawn: DataFrame, at_most: int, *, key: str, text: str) -> DataFrame:
+    """(k, label, o, text): the rows of df whose key is among the drawn (k, label, o), at_most of them or about so many.
+
+    More rows than that have a drawn key only if rows share their keys.  Then rows with equal key,
+    label and text count once, and a share of them is taken by a hash of key and text.  The count that
+    decides reads no text.
+    """
+    rows = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("text"))
+    if rows.select("k").join(F.broadcast(drawn), "k").count() <= at_most:
+        return rows.join(F.broadcast(drawn), "k")
+    met = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(drawn), "k")
+    n = met.select("k", "label", "h").distinct().count()
+    taken = met.where(unit_hash("k", "h", F.lit("shared")) < at_most / n)
+    return taken.groupBy("k", "label", "o", "h").agg(F.any_value("text").alias("text")).drop("h")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, or name with underscores added until df has no such column in any case."""
     taken = {c.lower() for c in df.columns}

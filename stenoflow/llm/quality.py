@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from stenoflow.llm import bytesets as B
 from stenoflow.llm import common as C
 
-#: Rows learned from, at most: the documented bound of the training sample.
+#: Rows learned from, about: the documented bound of the training sample, at most about twice as many where rows share keys.
 SAMPLE_ROWS = 5_000
 BITS = 18
 #: Relative frequencies are multiplied by this before the dot product.
@@ -163,19 +163,13 @@ def train(
     """Learn from at most about SAMPLE_ROWS rows of df that have a label 0 or 1 in the table of labels.
 
     The labels are drawn first, by a hash of the key, so that only a table of bounded size
-    meets the texts.
+    meets the texts; of the rows under drawn keys that many rows share, see common.drawn_rows.
     """
     C.ship(df.sparkSession)
-    known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("label")).where(
-        F.col("label").isin(0, 1) & F.col("k").isNotNull()
-    )
+    known = C.known_labels(labels, key, label)
     order = C.unit_hash(F.col("k"), F.lit("quality"))
-    drawn = known.withColumn("o", order).where(F.col("o") < SAMPLE_ROWS / max(known.count(), 1)).limit(2 * SAMPLE_ROWS)
-    rows = (
-        df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("text"))
-        .join(F.broadcast(drawn), "k")
-        .select("label", "o", _bag("text").alias("bag"))
-    )
+    drawn = known.withColumn("o", order).where(F.col("o") < SAMPLE_ROWS / max(known.count(), 1))
+    rows = C.drawn_rows(df, drawn, 2 * SAMPLE_ROWS, key=key, text=text).select("label", "o", _bag("text").alias("bag"))
     got = []
     for r in rows.toLocalIterator():
         k = len(r["bag"]) // 8

@@ -184,24 +184,18 @@ def train(
     """Learn from at most about SAMPLE_ROWS rows of either label, 0 and 1, in the table of labels.
 
     The labels are drawn first, by a hash of the key, so that only a table of bounded size
-    meets the texts.
+    meets the texts; of the rows under drawn keys that many rows share, see common.drawn_rows.
     """
     C.ship(df.sparkSession)
-    known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("label")).where(
-        F.col("label").isin(0, 1) & F.col("k").isNotNull()
-    )
+    known = C.known_labels(labels, key, label)
     n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     share = F.when(F.col("label") == 1, SAMPLE_ROWS / max(1, n.get(1, 0))).otherwise(
         SAMPLE_ROWS / max(1, n.get(0, 0))
     )
     draw = C.unit_hash(F.col("k"), F.lit("toxicity"))
-    drawn = known.withColumn("o", draw).where(F.col("o") < share).limit(4 * SAMPLE_ROWS)
-    sample = C.cut(
-        df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("string").alias("text"))
-        .where(F.col("text").isNotNull())
-        .join(F.broadcast(drawn), "k")
-        .select("label", "o", "text")
-    )
+    drawn = known.withColumn("o", draw).where(F.col("o") < share)
+    texts = df.where(F.col(f"`{text}`").isNotNull())
+    sample = C.cut(C.drawn_rows(texts, drawn, 4 * SAMPLE_ROWS, key=key, text=text).select("label", "o", "text"))
     shared = (
         sample.where("label = 1").select("label", "text")
         .mapInArrow(_shared, "h long, n long")
