@@ -467,6 +467,57 @@ def components(
     )
 
 
+def _group_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """(x, y): all pairs of groups that share a prefix n-gram and pass the size and place filters, once each.
+
+    The groups of an n-gram are dealt to parts of HOT_ROWS at most, and each part meets all groups of the n-gram.
+    """
+    c, bits = F.col, (1 << 27) - 1
+    rows = C.cut(shared.select(
+        "gram", "gid", c("code").bitwiseAND(bits).alias("n"), F.shiftright("code", 27).bitwiseAND(bits).alias("place")
+    ).dropDuplicates(["gram", "gid"]))
+    parts = rows.groupBy("gram").agg(F.ceil(F.count("*") / HOT_ROWS).alias("parts"), F.count("*").alias("held")).where("held > 1")
+    rows = rows.join(parts.drop("held"), "gram")
+    x = rows.withColumn("part", F.pmod(F.xxhash64("gid"), c("parts"))).alias("x")
+    y = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), c("parts") - 1))).alias("y")
+    left = F.least(c("x.n") - c("x.place"), c("y.n") - c("y.place"))
+    near = (100 + percent) * left >= percent * (c("x.n") + c("y.n"))
+    met = x.join(y, (c("x.gram") == c("y.gram")) & (c("x.part") == c("y.part")) & (c("x.gid") < c("y.gid")) & near)
+    return met.select(c("x.gid").alias("x"), c("y.gid").alias("y")).distinct()
+
+
+def links(
+    df: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = WORDS, percent: int = THRESHOLD
+) -> DataFrame:
+    """One row per row of df: key, n_shingles, component (its least key), and n_links, the number of other rows that
+    it links with, copies of its own text and of others counted one by one.
+
+    Pairs of different sets are verified within components too, each pair of sets once however many copies it
+    has; so unlike those of `components`, time and disk grow with the number of such links.
+    """
+    C.ship(df.sparkSession)
+    texts = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    ranks, _ = _rank_table(texts.select("text"), n)
+    kind = texts.schema["key"].dataType.simpleString()
+    ids = C.cut(texts.mapInArrow(partial(_identify, n=n, percent=percent, ranks=ranks), f"key {kind}, sig long, n int, gid long"))
+    nodes = C.cut(ids.where("n > 0").groupBy("sig").agg(F.first("gid").alias("gid"), F.min("key").alias("key"), F.count("*").alias("copies")))
+    shared = texts.mapInArrow(partial(_prefix_rows, n=n, percent=percent, ranks=ranks), "gram long, gid long, code long")
+    same = nodes.groupBy("gid").agg(F.count("*").alias("sets")).where("sets > 1").select(F.col("gid").alias("x"), F.col("gid").alias("y"))
+    pairs = _ordered(_expand(_group_pairs(shared, percent).union(same), nodes, []).select("a", "b"))
+    found = C.cut(_verify(pairs, texts, nodes.select("sig", "key"), n, percent))
+    ends = found.select(F.col("a").alias("sig"), F.col("b").alias("other")).union(found.select("b", "a"))
+    others = ends.join(nodes.select(F.col("sig").alias("other"), "copies"), "other").groupBy("sig").agg(F.sum("copies").alias("others"))
+    joined = connected_components(found).select(F.col("node").alias("sig"), F.col("component").alias("comp"))
+    comp = C.cut(nodes.join(joined, "sig", "left").join(others, "sig", "left").select(
+        "sig", "key", F.coalesce("comp", "sig").alias("comp"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")))
+    least = C.cut(comp.groupBy("comp").agg(F.min("key").alias("least")))
+    known = C.cut(C.look_up(comp.drop("key"), least, "comp", HOT_ROWS).drop("comp"))
+    return C.look_up(ids, known, "sig", HOT_ROWS).select(
+        "key", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component"),
+        F.when(F.col("n") > 0, F.col("n_links")).otherwise(0).alias("n_links"),
+    )
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return components(C.table(spark, sf_dir, "documents")).select(
