@@ -11,7 +11,8 @@ before it are passed over.  If the block maxima of the terms that are in the piv
 postings of its rare terms are read, and where these and the block maxima of frequent terms still
 reach it the block's documents are scored, which lifts the threshold; then the cursors go behind it.
 Blocks are the same for all terms, and queries that are searched together walk in step, so cursors
-that lie at or behind the least pivot are the same for all of them and are kept once.
+that lie at or behind the least pivot are the same for all of them and are kept once; those of
+frequent terms are read in a table of the next block with each term.
 
 Thresholds start from a ladder of samples: the sample of one in SAMPLE_STEP documents is
 searched first, with thresholds from the sample of one in SAMPLE_STEP of it, and so on.  A
@@ -49,7 +50,7 @@ from stenoflow.llm import common as C
 K = 10
 K1, B_LENGTH = 1.2, 0.75
 #: Documents per block of the index.
-BLOCK = 64
+BLOCK = 128
 #: (query, term) pairs that go to the shards at once, at most about.
 QUERY_POSTINGS = 4_000_000
 #: Each sample of the ladder is one in so many documents of the next, down to SAMPLE_LEAST.
@@ -59,7 +60,7 @@ SAMPLE_LEAST = 4_000
 SLACK = 1e-4
 #: Bytes of text in a segment, and queries searched in it together, at most about.
 SEGMENT_BYTES = 32 << 20
-TOGETHER = 256
+TOGETHER = 1024
 #: Terms in more than this share of a segment's documents are frequent, as long as their table
 #: has room; this bounds memory and changes no result.
 FREQUENT, DENSE_CELLS = 1 / 16, 12_000_000
@@ -154,29 +155,30 @@ def _frequencies(batches: Iterator[pa.RecordBatch], terms: np.ndarray) -> Iterat
 
 
 class Cursors:
-    """A cursor in the list of every term of some (query, term) pairs; all stand at one block or behind it."""
+    """A cursor in the list of each of some terms; all stand at one block or behind it."""
 
-    def __init__(self, segment: Segment, term: np.ndarray):
-        self.segment = segment
-        self.terms, self.of = np.unique(term, return_inverse=True)
-        self.at, self.end = segment.list_at[self.terms], segment.list_at[self.terms + 1]
-        self.blocks = segment.entry[self.at] - self.terms * segment.n_blocks
+    def __init__(self, segment: Segment, terms: np.ndarray):
+        self.segment, self.terms = segment, terms
+        self.at, self.end = segment.list_at[terms], segment.list_at[terms + 1]
+        self.blocks = segment.entry[self.at] - terms * segment.n_blocks
 
     def to(self, block: int) -> None:
         """Moves cursors before a block to their first entry at or behind it, or to the end."""
         n = self.segment.n_blocks
         late = np.flatnonzero(self.blocks < block)
-        at = np.searchsorted(self.segment.entry, self.terms[late] * n + block)
-        self.at[late] = at
-        inside = at < self.end[late]
-        self.blocks[late] = n
-        self.blocks[late[inside]] = self.segment.entry[at[inside]] - self.terms[late[inside]] * n
+        # mostly the next entry will do; from the others on the list is searched
+        self.blocks[late] = self.segment.after[self.at[late]]
+        self.at[late] += 1
+        late = late[self.blocks[late] < block]
+        if len(late):
+            at = np.searchsorted(self.segment.entry, self.terms[late] * n + block)
+            self.at[late] = at
+            inside = at < self.end[late]
+            self.blocks[late] = n
+            self.blocks[late[inside]] = self.segment.entry[at[inside]] - self.terms[late[inside]] * n
 
-    def block(self, pairs: np.ndarray) -> np.ndarray:
-        return self.blocks[self.of[pairs]]
-
-    def entry(self, pairs: np.ndarray) -> np.ndarray:
-        return self.at[self.of[pairs]]
+    def block(self, which: np.ndarray) -> np.ndarray:
+        return self.blocks[which]
 
 
 class Segment:
@@ -219,68 +221,90 @@ class Segment:
         entry = entry[by]
         self.post_place, self.post_impact = place[by], impact[by]
         first = np.flatnonzero(np.diff(entry, prepend=-1))
-        self.entry, self.entry_at = entry[first], np.append(first, len(entry))
+        self.entry, self.entry_at = entry[first], first
+        self.entry_size = np.diff(first, append=len(entry))
         self.entry_max = np.maximum.reduceat(self.post_impact, first) if len(first) else np.zeros(0)
         self.list_at = np.searchsorted(self.entry, np.arange(n_terms + 1) * self.n_blocks)
         self.term_max = np.zeros(n_terms)
         np.maximum.at(self.term_max, self.entry // self.n_blocks, self.entry_max)
+        #: The block of the next entry of the same list, or the number of blocks.
+        block = self.entry % self.n_blocks
+        last = np.append(self.entry[1:] // self.n_blocks != self.entry[:-1] // self.n_blocks, True)[: len(self.entry)]
+        self.after = np.where(last, self.n_blocks, np.roll(block, -1))
+        #: For every block, the next one at or behind it that holds each frequent term.
+        self.next = np.full((self.n_blocks + 1, len(often)), self.n_blocks)
+        for b in range(len(parts) - 1, -1, -1):
+            self.next[b] = np.where(self.block_max[b] > 0, b, self.next[b + 1])
+        self.often_max = self.term_max[often].astype(np.float32)
         #: What searches did: (query, block) pairs at a pivot, of these read and scored, and postings read.
         self.work = {"pivots": 0, "read": 0, "scored": 0, "postings": 0}
 
     def search(self, asked: list[np.ndarray], k: int, thresholds: np.ndarray, rank: np.ndarray) -> Iterator[list[tuple[float, int]]]:
         """Of every query, the (score, document) of the best k documents that reach its threshold."""
-        n = len(asked)
+        n, n_blocks = len(asked), self.n_blocks
         held = [t[self.list_at[t + 1] > self.list_at[t]] for t in asked]
-        pair_n = np.array([len(t) for t in held])
-        pair_at = np.cumsum(pair_n) - pair_n
-        term = np.concatenate(held)
-        most, rare = self.term_max[term], self.row[term] < 0
+        term, query = np.concatenate(held), np.repeat(np.arange(n), [len(t) for t in held])
+        rare = self.row[term] < 0
         frequent = np.zeros((n, self.dense.shape[1]), np.float32)
-        frequent[np.repeat(np.arange(n), pair_n)[~rare], self.row[term[~rare]]] = 1
-        cursors = Cursors(self, term)
+        frequent[query[~rare], self.row[term[~rare]]] = 1
+        # rare terms of each query, and queries of each rare term
+        query = query[rare]
+        terms, of = np.unique(term[rare], return_inverse=True)
+        first_of = np.searchsorted(query, np.arange(n + 1))
+        by = np.argsort(of, kind="stable")
+        asks, asked_n = query[by], np.bincount(of, minlength=len(terms))
+        asks_at = np.cumsum(asked_n) - asked_n
+        most, cursors = self.term_max[terms], Cursors(self, terms)
         # sums of 32-bit floats are off by less than this
         least = np.maximum(thresholds, 1e-6) * (1 - SLACK)
         top = np.zeros((n, k))
         found_q, found_at, found_score = [], [], []
-        pivot = np.zeros(n, np.int64)
-        queries, b = np.arange(n), -1
-        while True:
-            # the next pivots of the queries that stood at block b
-            cursors.to(b + 1)
-            pairs, of = _ranges(pair_at[queries], pair_n[queries]), np.repeat(np.arange(len(queries)), pair_n[queries])
-            ahead = self.n_blocks - b
-            sums = np.bincount(of * ahead + cursors.block(pairs) - b - 1, most[pairs], minlength=len(queries) * ahead)
-            reached = np.cumsum(sums.reshape(-1, ahead)[:, :-1], axis=1) >= least[queries][:, None]
-            pivot[queries] = np.where(reached.any(1), reached.argmax(1) + b + 1, self.n_blocks) if ahead > 1 else self.n_blocks
+        pivot, moved, b = np.zeros(n, np.int64), np.arange(n), -1
+
+        def rare_at(block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """The cursors at a block, and for each of their queries its place and the query."""
+            cursors.to(block)
+            here = np.flatnonzero(cursors.blocks == block)
+            return here, np.repeat(np.arange(len(here)), asked_n[here]), asks[_ranges(asks_at[here], asked_n[here])]
+
+        while b + 1 < n_blocks:
+            # the next pivots of the queries that stood at block b: the next block, if its terms' maxima reach the threshold
+            here, place, q = rare_at(b + 1)
+            often = np.where(self.next[b + 1] == b + 1, self.often_max, np.float32(0))
+            sums = np.bincount(q, most[here][place], minlength=n)[moved] + frequent[moved] @ often
+            pivot[moved] = b + 1
+            far = moved[sums < least[moved]]
+            if len(far):
+                pivot[far] = self._pivots(b + 1, frequent[far], least[far], far, first_of, of, most, cursors)
+            if pivot.min() > b + 1:
+                here, place, q = rare_at(int(pivot.min()))
             b = int(pivot.min())
-            if b >= self.n_blocks:
+            if b >= n_blocks:
                 break
-            cursors.to(b)
-            queries = np.flatnonzero(pivot == b)
-            self.work["pivots"] += len(queries)
-            pairs, of = _ranges(pair_at[queries], pair_n[queries]), np.repeat(np.arange(len(queries)), pair_n[queries])
-            here = cursors.block(pairs) == b
-            pairs, of = pairs[here], of[here]
-            bound = np.bincount(of, self.entry_max[cursors.entry(pairs)], minlength=len(queries))
-            live = bound >= least[queries]
-            which = queries[live]
+            moved = np.flatnonzero(pivot == b)
+            self.work["pivots"] += len(moved)
+            entries = cursors.at[here]
+            bound = np.bincount(q, self.entry_max[entries][place], minlength=n)[moved] + frequent[moved] @ self.block_max[b]
+            which = moved[bound >= least[moved]]
             if not len(which):
                 continue
             self.work["read"] += len(which)
             start, end = self.starts[b], self.starts[b + 1]
-            read = rare[pairs] & live[of]
-            entries = cursors.entry(pairs[read])
-            size = self.entry_at[entries + 1] - self.entry_at[entries]
+            line = np.full(n, -1)
+            line[which] = np.arange(len(which))
+            line = line[q]
+            read = line >= 0
+            entries, line = entries[place[read]], line[read]
+            size = self.entry_size[entries]
             at = _ranges(self.entry_at[entries], size)
             self.work["postings"] += len(at)
-            line = np.repeat((np.cumsum(live) - 1)[of[read]], size)
             score = np.bincount(
-                line * (end - start) + self.post_place[at] - start, self.post_impact[at], minlength=len(which) * (end - start)
-            ).reshape(len(which), -1).astype(float)
+                np.repeat(line * (end - start) - start, size) + self.post_place[at], self.post_impact[at], minlength=len(which) * (end - start)
+            ).reshape(len(which), -1)
             tight = score.max(1) + frequent[which] @ self.block_max[b] >= least[which]
             which, score = which[tight], score[tight]
             self.work["scored"] += len(which)
-            score += frequent[which] @ self.dense[start:end].T
+            score = score + frequent[which] @ self.dense[start:end].T
             hit = score >= least[which][:, None]
             some = hit.any(1)
             if some.any():
@@ -302,6 +326,23 @@ class Segment:
             docs = self.docs[at[by[bounds[i] : bounds[i + 1]]]]
             yield self._best(docs, terms, k, rank) if len(docs) else []
 
+    def _pivots(
+        self, block: int, frequent: np.ndarray, least: np.ndarray, queries: np.ndarray,
+        first_of: np.ndarray, of: np.ndarray, most: np.ndarray, cursors: Cursors,
+    ) -> np.ndarray:
+        """Of some queries, the first block at or behind the given one up to which the maxima of the terms met reach the threshold."""
+        ahead = self.n_blocks + 1 - block
+        n = first_of[queries + 1] - first_of[queries]
+        rare = of[_ranges(first_of[queries], n)]
+        at = np.repeat(np.arange(len(queries)) * ahead, n) + cursors.blocks[rare] - block
+        sums = np.bincount(at, most[rare], minlength=len(queries) * ahead).reshape(-1, ahead).astype(float)
+        often = np.zeros((frequent.shape[1], ahead), np.float32)
+        often[np.arange(len(often)), self.next[block] - block] = self.often_max
+        sums += frequent @ often
+        # behind the last block there is nothing to reach
+        reached = np.cumsum(sums[:, :-1], axis=1) >= least[:, None]
+        return block + np.where(reached.any(1), reached.argmax(1), ahead - 1)
+
     def _best(self, docs: np.ndarray, terms: np.ndarray, k: int, rank: np.ndarray) -> list[tuple[float, int]]:
         """The best k of some documents by their exact scores, equal ones by rank."""
         n = self.doc_at[docs + 1] - self.doc_at[docs]
