@@ -51,7 +51,8 @@ def during(points: DataFrame, point: str, intervals: DataFrame, start: str, end:
     probes = F.array(*[F.struct(F.lit(k).alias("level"), F.floor(at / F.lit(1 << k)).alias("bin")) for k in levels])
     none = F.array().cast("array<struct<level:int,bin:bigint>>")
     p = points.withColumn("_bin", F.explode(probes if levels else none))
-    return p.join(x, [*on, "_bin"]).drop("_bin")
+    # either side has many more rows than its table, so neither is broadcast by the table's size
+    return p.join(x.hint("merge"), [*on, "_bin"]).drop("_bin")
 
 
 def crop(timeline: DataFrame, windows: DataFrame, *, video: str = "video", bucket: float = BIN) -> DataFrame:
@@ -68,6 +69,20 @@ def crop(timeline: DataFrame, windows: DataFrame, *, video: str = "video", bucke
         video, "w", F.greatest("start", "w_start").alias("start"), F.least("end", "w_end").alias("end"))
 
 
+def crop_grid(timeline: DataFrame, every: float, length: float, count: int, *, video: str = "video") -> DataFrame:
+    """Intersections of timeline intervals with the windows [w * every, w * every + length), w from 0 to count - 1, of all videos.
+
+    The windows that an interval meets follow from its times, so each row finds its own, and windows without speech are never made.
+    """
+    low = F.greatest(F.floor((F.col("start") - length) / every), F.lit(0))
+    high = F.least(F.floor(F.col("end") / every), F.lit(count - 1))
+    numbers = F.when(low <= high, F.sequence(low.cast("int"), high.cast("int")))
+    met = timeline.select(video, "start", "end", F.explode(numbers).alias("w"))
+    first, last = F.col("w") * every, F.col("w") * every + length
+    return met.where((F.col("start") < last) & (F.col("end") > first)).select(
+        video, "w", F.greatest("start", first).alias("start"), F.least("end", last).alias("end"))
+
+
 def label_changes(df: DataFrame, group: str, order: str, label: str) -> DataFrame:
     """Rows at which the label differs from that of the row before."""
     w = Window.partitionBy(group).orderBy(order)

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from stenoflow.operators import quantiles as Q
 from stenoflow.operators import timeline as TL
 from stenoflow.sources import readers, writers
@@ -68,6 +69,24 @@ def test_crops_and_overlaps_of_any_length(spark):
     assert {tuple(x)[:4]: x.until for x in late} == meet
 
 
+def test_crops_by_a_grid(spark):
+    r = random.Random(7)
+    s = [("v" if i % 3 else "w", a, a + r.choice([-40.0, 0.0, 3, 90, 5000, 1e6])) for i in range(200) for a in [round(r.uniform(-500, 20_000), 1)]]
+    s += [("v", None, 3.0), ("v", 5.0, float("-inf")), ("x", 90_000.0, 90_030.0)]
+    timeline = spark.createDataFrame(s, "video string, start double, end double")
+    for every, length in ((1800.0, 900.0), (100.0, 250.0)):
+        want = [(v, k, max(a, k * every), min(b, k * every + length)) for v, a, b in s if a is not None
+                for k in range(48) if a < k * every + length and b > k * every]
+        got = TL.crop_grid(timeline, every, length, 48)
+        assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 200
+
+
+@pytest.mark.parametrize("name", ["interval_crop", "interval_crop_rows"])
+def test_a_grid_of_windows_is_not_joined(spark, name):
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "Join" not in plan and "window" in plan.lower()
+
+
 def test_inferred_types(spark, tmp_path):
     text = "id,n,share,day,flag,mixed,blank,text\n007,1,0.5,2024-01-31,True,1,,a\n8,-2,1,2023-12-01,False,x,,2024-13-01\n9, ,1e3,,True,2024-01-01, ,\n"
     (tmp_path / "m.csv").write_text(text)
