@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from stenoflow.operators import alignment
 from stenoflow.operators import manifest as M
 
 
@@ -17,3 +18,14 @@ def test_pairs_of_a_hot_key_are_dealt_to_tasks(spark, monkeypatch):
     assert sorted(map(tuple, got.select("k", "t", "v").collect())) == want
     assert len(sizes) >= 15 and max(r["count"] for r in sizes) < len(want) / 4
     assert M.all_pairs(got.select("k", "t").limit(0), got.select("k", "v"), "k", "t", "v").count() == 0
+
+
+def test_only_texts_near_a_segment_are_read_for_pairs(spark):
+    segs = spark.createDataFrame([(1, "a b c d e f".split()), (2, ["x"])], "seg int, stoks array<string>").withColumn("asr", F.array_join("stoks", " "))
+    texts = [(k, f"z{k} y w v u t".split()) for k in range(50)] + [(60, "q a b c d r".split()), (61, "f e d c b a".split()), (62, None), (63, ["a"])]
+    docs = spark.createDataFrame(texts, "doc int, toks array<string>")
+    assert [(r.doc, r.toks) for r in alignment.nearby(segs, docs).collect()] == [(60, "q a b c d r".split())]
+    paired = alignment.pairs(segs, docs)
+    assert [(r.seg, r.doc, r.lo, r.hi, r.n) for r in paired.collect()] == [(1, 60, 1, 1, 6)]
+    plan = paired._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and paired.rdd.getNumPartitions() == alignment.parts(paired)
