@@ -5,12 +5,14 @@ returns a table that is written as Parquet and read again before the next stage.
 the last return the columns of documents.
 
 1. language_id: documents without a letter, and those whose text is in none of the
-   learned languages by the calibrated surprise of its n-grams, go.
+   learned languages by the calibrated surprise of its n-grams, go.  The others get the
+   language that is found as their lang, by which the last stage mixes.
 2. near_duplicates: one document of each component of the n-gram Jaccard join stays.
 3. decontamination: documents that hold a benchmark item within the edit budget go.
 4. secret_scan: secrets are replaced by a mask; no document goes.
 5. mixing: documents in training order, a row for each time that the mix takes them, with
-   epoch and position; documents that the mix does not take go.
+   epoch and position; documents that the mix does not take go.  Each language of each source
+   is a source of the mix.
 
 Models and edit distances are not expressible in SQL, so ORACLE_SQL is None and the stages
 are tested against brute force and held-out figures.
@@ -35,7 +37,7 @@ from stenoflow.llm import decontaminate, jaccard_join, language_id, mixing, secr
 
 def stage_language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(docs)
-    return docs.where(language_id.in_learned_language(F.col("text"), model))
+    return docs.withColumn("lang", language_id.identified(F.col("text"), model)).where("lang is not null")
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +57,8 @@ def stage_secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    both = C.free_name(docs, "__source_lang")
+    return mixing.mix(docs.withColumn(both, F.to_json(F.struct("source", "lang"))), source=both).drop(both)
 
 
 STAGES = [

@@ -393,21 +393,25 @@ def predict(
     return C.replace_columns(found.drop(hit), both, [name, score])
 
 
-def in_learned_language(text: Column, model: Model | None) -> Column:
-    """Whether a text is in one of the learned languages at all."""
+def identified(text: Column, model: Model | None) -> Column:
+    """The learned language of a text, null for a text that has no letter or is in none of them."""
     if model is None:
-        return F.lit(False)
+        return F.lit(None).cast("string")
 
-    @F.arrow_udf("boolean")
-    def known(column: pa.Array) -> pa.Array:
+    @F.arrow_udf("string")
+    def name(column: pa.Array) -> pa.Array:
         buf, offsets = B.utf8(column)
         out = []
         for i, j in B.slices(offsets, B.SLICE_BYTES // 4):
-            out += model.known(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]).tolist()
+            part, at = buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            known = model.known(part, at)
+            best, _ = model.predict(part, at)
+            out += [model.languages[k] if ok else None for k, ok in zip(best, known, strict=True)]
         B.give_back()
-        return pa.array(out, pa.bool_())
+        return pa.array(out, pa.string())
 
-    return has_letter(text) & known(text)
+    # a filter on the result would be moved before it with a copy of the work
+    return F.when(has_letter(text), name.asNondeterministic()(text))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

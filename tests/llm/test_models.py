@@ -61,3 +61,20 @@ def test_pipeline_drops_texts_in_no_learned_language(spark):
     kept = corpus_pipeline.stage_language_id(spark, both, DATA)
     assert kept.where("doc_id < 0").count() == 0
     assert kept.count() >= 0.998 * docs.where(F.col("text").rlike(r"\p{L}")).count()
+
+
+def test_the_language_found_decides_the_mix(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    hidden = docs.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, None).when(F.col("doc_id") % 50 == 1, "en").otherwise(F.col("lang")))
+    found = corpus_pipeline.stage_language_id(spark, hidden, DATA).cache()
+    both = found.select("doc_id", F.col("lang").alias("found")).join(docs, "doc_id")
+    assert found.columns == docs.columns and found.where("lang is null").count() == 0
+    assert both.where("found = lang").count() >= 0.98 * both.where("lang is not null").count()
+    words = F.size(F.split(F.trim("text"), r"\s+"))
+    mixed = lambda df: {tuple(r) for r in corpus_pipeline.stage_mixing(spark, df, DATA).select("doc_id", "epoch", "position").collect()}
+    assert corpus_pipeline.stage_mixing(spark, found, DATA).columns == [*docs.columns, "epoch", "position"]
+    assert mixed(found) != mixed(found.select(*[F.lit("en").alias(c) if c == "lang" else c for c in docs.columns]))
+    # a source's languages have shares of their own: three times its size at most
+    taken = corpus_pipeline.stage_mixing(spark, found, DATA).groupBy("source", "lang").agg(F.sum(words).alias("taken"))
+    sizes = found.groupBy("source", "lang").agg(F.sum(words).alias("size"))
+    assert taken.join(sizes, ["source", "lang"]).where("taken > 3 * size + 1").count() == 0
