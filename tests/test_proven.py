@@ -1,6 +1,7 @@
 """Sweeps of bit vectors, and alignment whose misses are proven, against brute force."""
 
 import random
+from functools import partial
 
 import pandas as pd
 import pytest
@@ -87,6 +88,22 @@ def test_hot_grams_are_no_seeds(spark):
     assert {x.gram for x in proven.rare_grams(segs, transcripts, seeds=2).collect()} == {" ".join(docs[5][1][i : i + 4]) for i in (0, 1)}
 
 
+def test_pairs_beyond_the_seeds_are_found(spark, monkeypatch):
+    r = random.Random(4)
+    monkeypatch.setattr(proven, "rare_grams", partial(proven.rare_grams, hot=2, seeds=3))
+    formula = passage(14, 50)
+    docs = {i: passage(9, i) + formula + passage(5, i + 30) for i in range(6)}
+    docs[7] = passage(6, 7) + worn(docs[0][:20], r) + passage(6, 37)
+    segs = spark.createDataFrame([(1, docs[0][3:21]), (2, formula)], "seg long, stoks array<string>").withColumn("asr", F.array_join("stoks", " "))
+    transcripts = spark.createDataFrame(list(docs.items()), "doc long, toks array<string>")
+    got = {(x.seg, x.doc): x for x in proven.match(segs, transcripts).collect()}
+    heard = {1: docs[0][3:21], 2: formula}
+    want = {(s, d): brute(" ".join(h), len(h), t) for s, h in heard.items() for d, t in docs.items()}
+    assert {k: (round(x.cer * len(" ".join(heard[k[0]]))), x.start, x.end) for k, x in got.items()} == {k: b for k, b in want.items() if b}
+    # a segment that is matched at its seeds in one text is found in those that share only hot n-grams with it, or none
+    assert got[1, 0].stage == "region" and {got[1, d].stage for d in (1, 2, 3, 4, 5, 7)} == {"swept"}
+
+
 def test_a_failing_segment_keeps_what_was_done(monkeypatch):
     doc = passage(60, 3)
     part = pd.DataFrame({"video": "v", "transcript": "t", "seg_idx": [0, 1, 2], "asr": [" ".join(doc[:12]), "broken", " ".join(doc[24:36])], "text": [" ".join(doc), None, None]})
