@@ -8,7 +8,7 @@ list of a term has an entry for each block that holds it, with the block's great
 Each query walks with a cursor in the list of each of its terms.  In the order of the cursors' blocks the
 terms' greatest impacts are added until they reach the threshold: that block is the pivot, and all
 before it are passed over.  If the block maxima of the terms that are in the pivot reach the threshold too,
-postings of its rare terms are read, and where these and the block maxima of frequent terms still
+postings of its rare terms are read, document by document for all queries at once, and where these and the block maxima of frequent terms still
 reach it the block's documents are scored, which lifts the threshold; then the cursors go behind it.
 Blocks are the same for all terms, and queries that are searched together walk in step, so cursors
 that lie at or behind the least pivot are the same for all of them and are kept once; those of
@@ -20,8 +20,8 @@ subset's k-th score never exceeds that of the whole, which keeps the search exac
 query's rows out of all shards are about k x SAMPLE_STEP, however many shards there are.
 
 Global statistics are the number of documents, their mean length, and the document
-frequency of every query term, counted over all documents.  Queries are a stated set and go
-to the shards in blocks of at most QUERY_POSTINGS (query, term) pairs, one pass each.
+frequency of every query term, counted over all documents in one pass for COUNTED_TERMS distinct terms.
+Queries are a stated set and go to the shards in blocks of at most QUERY_POSTINGS (query, term) pairs, one pass each.
 
 A term is a lower-cased run of letters and digits; a query counts each of its terms once.
 score = sum of log(1 + (N - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean)).
@@ -35,7 +35,7 @@ columns are not returned.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -50,9 +50,11 @@ from stenoflow.llm import common as C
 K = 10
 K1, B_LENGTH = 1.2, 0.75
 #: Documents per block of the index.
-BLOCK = 128
+BLOCK = 256
 #: (query, term) pairs that go to the shards at once, at most about.
-QUERY_POSTINGS = 4_000_000
+QUERY_POSTINGS = 8_000_000
+#: Distinct query terms that are counted in one pass over all documents, at least.
+COUNTED_TERMS = 4_000_000
 #: Each sample of the ladder is one in so many documents of the next, down to SAMPLE_LEAST.
 SAMPLE_STEP = 8
 SAMPLE_LEAST = 4_000
@@ -60,10 +62,14 @@ SAMPLE_LEAST = 4_000
 SLACK = 1e-4
 #: Bytes of text in a segment, and queries searched in it together, at most about.
 SEGMENT_BYTES = 32 << 20
-TOGETHER = 1024
+TOGETHER = 4096
+#: Sums of rare terms that are made at once, about.
+STEP = 1 << 16
 #: Terms in more than this share of a segment's documents are frequent, as long as their table
 #: has room; this bounds memory and changes no result.
 FREQUENT, DENSE_CELLS = 1 / 16, 12_000_000
+#: The most frequent terms, by which documents are put in blocks.
+ALIKE = 256
 
 _TABLE = B.byte_table(True, B.ALNUM)
 
@@ -84,17 +90,6 @@ def _query_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary())], names=["key", "terms"])
 
 
-def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = total = 0
-    for batch in batches:
-        buf, offsets = B.utf8(batch.column("text"))
-        for i, j in B.slices(offsets):
-            h, _ = terms_of(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-            total += len(h)
-        rows += batch.num_rows
-    yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([total])], names=["n", "words"])
-
-
 class Queries:
     """A block of queries: the sorted terms, and every query's places in them."""
 
@@ -112,20 +107,32 @@ class Queries:
 
 
 class Places:
-    """Which hashes are query terms, and where."""
+    """Which hashes are query terms, and where: terms are looked up by their first bits, those that share them one after another."""
+
+    BITS = 22
 
     def __init__(self, terms: np.ndarray):
         self.terms = terms
-        self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[(terms >> np.uint64(42)).astype(np.int64)] = True
+        bucket = (terms >> np.uint64(64 - self.BITS)).astype(np.int64)
+        self.first = np.searchsorted(bucket, np.arange((1 << self.BITS) + 1)).astype(np.int32)
 
     def __call__(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.flatnonzero(self.maybe[(h >> np.uint64(42)).astype(np.int64)])
-        if not len(at):
-            return at, at
-        place = np.minimum(np.searchsorted(self.terms, h[at]), len(self.terms) - 1)
-        ok = self.terms[place] == h[at]
-        return at[ok], place[ok]
+        bucket = (h >> np.uint64(64 - self.BITS)).astype(np.int32)
+        place, end = self.first[bucket], self.first[bucket + 1]
+        at = np.flatnonzero(place < end)
+        place, end, wanted = place[at], end[at], h[at]
+        found_at, found = [], []
+        while len(at):
+            ok = self.terms[place] == wanted
+            found_at.append(at[ok])
+            found.append(place[ok])
+            on = np.flatnonzero(~ok & (place + 1 < end))
+            at, place, end, wanted = at[on], place[on] + 1, end[on], wanted[on]
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.concatenate(found_at)
+        by = np.argsort(at, kind="stable")
+        return at[by], np.concatenate(found)[by].astype(np.int64)
 
 
 def postings(buf: np.ndarray, offsets: np.ndarray, places: Places):
@@ -145,13 +152,53 @@ def postings(buf: np.ndarray, offsets: np.ndarray, places: Places):
     return join(docs, np.int64), join(terms, np.int64), join(counts, np.float64), join(lengths, np.float64)
 
 
+#: Places of the number of documents and of words among those of terms.
+_ROWS, _WORDS = -1, -2
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch], terms: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(at, n): the documents of each term, of all, and their words."""
     total, places = np.zeros(len(terms), np.int64), Places(terms)
+    rows = words = 0
     for batch in batches:
-        _, term, _, _ = postings(*B.utf8(batch.column("text")), places)
+        _, term, _, length = postings(*B.utf8(batch.column("text")), places)
         total += np.bincount(term, minlength=len(total))
+        rows, words = rows + batch.num_rows, words + int(length.sum())
     at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array([_ROWS, _WORDS, *at]), pa.array([rows, words, *total[at]])], names=["at", "n"])
+
+
+class Counts:
+    """How many documents there are, their mean length, and the documents of each query term: one pass over all for many blocks of queries."""
+
+    def __init__(self, docs: DataFrame, rows: DataFrame):
+        self.terms, self.df, self.n, self.mean = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0.0
+        fresh: list[np.ndarray] = []
+        for _, terms in _blocks(rows):
+            new = np.unique(np.concatenate(terms))
+            fresh = [np.setdiff1d(np.unique(np.concatenate([*fresh, new])), self.terms, assume_unique=True)]
+            if len(fresh[0]) >= COUNTED_TERMS:
+                self._add(docs, fresh.pop())
+        if fresh:
+            self._add(docs, fresh.pop())
+
+    def _add(self, docs: DataFrame, terms: np.ndarray) -> None:
+        counted = (
+            docs.select("text").mapInArrow(partial(_frequencies, terms=terms), "at long, n long")
+            .groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+        )
+        at, n = counted.column("at").to_numpy(), counted.column("n").to_numpy()
+        self.n = int(n[at == _ROWS].sum())
+        self.mean = int(n[at == _WORDS].sum()) / max(1, self.n)
+        df = np.zeros(len(terms), np.int64)
+        df[at[at >= 0]] = n[at >= 0]
+        terms, df = np.concatenate([self.terms, terms]), np.concatenate([self.df, df])
+        by = np.argsort(terms)
+        self.terms, self.df = terms[by], df[by]
+
+    def idf(self, terms: np.ndarray) -> np.ndarray:
+        df = self.df[np.searchsorted(self.terms, terms)]
+        return np.log(1 + (self.n - df + 0.5) / (df + 0.5))
 
 
 class Cursors:
@@ -202,28 +249,33 @@ class Segment:
         often = often[np.argsort(-count[often], kind="stable")][: DENSE_CELLS // max(1, self.size)]
         self.row = np.full(n_terms, -1)
         self.row[often] = np.arange(len(often))
-        dense = np.zeros((self.size, len(often)), np.float32)
         of_often = self.row[term] >= 0
-        dense[doc[of_often], self.row[term[of_often]]] = impact[of_often]
+        some = (self.row[term] < ALIKE) & of_often
+        dense = np.zeros((self.size, min(len(often), ALIKE)), np.float32)
+        dense[doc[some], self.row[term[some]]] = impact[some]
         parts = _alike(dense, np.arange(self.size))
         #: Documents by place, and where the blocks begin.
         self.docs = np.concatenate(parts) if parts else np.zeros(0, np.int64)
         self.starts = np.cumsum([0, *map(len, parts)])
-        self.dense = dense[self.docs]
-        self.block_max = np.maximum.reduceat(self.dense, self.starts[:-1], axis=0) if parts else dense
-        self.n_blocks = max(1, len(parts))
         place = np.empty(self.size, np.int64)
         place[self.docs] = np.arange(self.size)
         place = place[doc]
-        #: Entries of the lists: term and block in one number, where their postings begin, and the greatest impact.
+        self.dense = dense = np.zeros((self.size, len(often)), np.float32)
+        dense[place[of_often], self.row[term[of_often]]] = impact[of_often]
+        self.block_max = np.maximum.reduceat(self.dense, self.starts[:-1], axis=0) if parts else dense
+        self.n_blocks = max(1, len(parts))
+        #: Entries of the lists: term and block in one number, and the greatest impact.
         entry = term * self.n_blocks + np.searchsorted(self.starts, place, "right") - 1
         by = np.argsort(entry, kind="stable")
-        entry = entry[by]
-        self.post_place, self.post_impact = place[by], impact[by]
+        entry, most = entry[by], impact[by]
+        #: Postings of rare terms by place, and where those of each place begin.
+        line = _ranges(self.doc_at[self.docs], np.diff(self.doc_at)[self.docs])
+        line = line[~of_often[line]]
+        self.line_term, self.line_impact = term[line], impact[line]
+        self.line_at = np.searchsorted(place[line], np.arange(self.size + 1))
         first = np.flatnonzero(np.diff(entry, prepend=-1))
-        self.entry, self.entry_at = entry[first], first
-        self.entry_size = np.diff(first, append=len(entry))
-        self.entry_max = np.maximum.reduceat(self.post_impact, first) if len(first) else np.zeros(0)
+        self.entry = entry[first]
+        self.entry_max = np.maximum.reduceat(most, first) if len(first) else np.zeros(0)
         self.list_at = np.searchsorted(self.entry, np.arange(n_terms + 1) * self.n_blocks)
         self.term_max = np.zeros(n_terms)
         np.maximum.at(self.term_max, self.entry // self.n_blocks, self.entry_max)
@@ -255,6 +307,10 @@ class Segment:
         asks, asked_n = query[by], np.bincount(of, minlength=len(terms))
         asks_at = np.cumsum(asked_n) - asked_n
         most, cursors = self.term_max[terms], Cursors(self, terms)
+        rare_scores = self._rare_scores(terms, asks, asks_at, asked_n, n)
+        # of every query and block, the sum of the maxima of the frequent terms that are in the block: of the whole lists, and of the block
+        often_most = frequent @ ((self.block_max > 0) * self.often_max).T
+        often_block = frequent @ self.block_max.T
         # sums of 32-bit floats are off by less than this
         least = np.maximum(thresholds, 1e-6) * (1 - SLACK)
         top = np.zeros((n, k))
@@ -262,53 +318,41 @@ class Segment:
         pivot, moved, b = np.zeros(n, np.int64), np.arange(n), -1
 
         def rare_at(block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            """The cursors at a block, and for each of their queries its place and the query."""
+            """The cursors at a block, how many queries each has, and these."""
             cursors.to(block)
             here = np.flatnonzero(cursors.blocks == block)
-            return here, np.repeat(np.arange(len(here)), asked_n[here]), asks[_ranges(asks_at[here], asked_n[here])]
+            return here, asked_n[here], asks[_ranges(asks_at[here], asked_n[here])]
 
         while b + 1 < n_blocks:
             # the next pivots of the queries that stood at block b: the next block, if its terms' maxima reach the threshold
-            here, place, q = rare_at(b + 1)
-            often = np.where(self.next[b + 1] == b + 1, self.often_max, np.float32(0))
-            sums = np.bincount(q, most[here][place], minlength=n)[moved] + frequent[moved] @ often
+            here, size, q = rare_at(b + 1)
+            sums = (np.bincount(q, np.repeat(most[here], size), minlength=n) + often_most[:, b + 1])[moved]
             pivot[moved] = b + 1
             far = moved[sums < least[moved]]
             if len(far):
                 pivot[far] = self._pivots(b + 1, frequent[far], least[far], far, first_of, of, most, cursors)
             if pivot.min() > b + 1:
-                here, place, q = rare_at(int(pivot.min()))
+                here, size, q = rare_at(int(pivot.min()))
             b = int(pivot.min())
             if b >= n_blocks:
                 break
             moved = np.flatnonzero(pivot == b)
             self.work["pivots"] += len(moved)
-            entries = cursors.at[here]
-            bound = np.bincount(q, self.entry_max[entries][place], minlength=n)[moved] + frequent[moved] @ self.block_max[b]
+            bound = (np.bincount(q, np.repeat(self.entry_max[cursors.at[here]], size), minlength=n) + often_block[:, b])[moved]
             which = moved[bound >= least[moved]]
             if not len(which):
                 continue
             self.work["read"] += len(which)
             start, end = self.starts[b], self.starts[b + 1]
-            line = np.full(n, -1)
-            line[which] = np.arange(len(which))
-            line = line[q]
-            read = line >= 0
-            entries, line = entries[place[read]], line[read]
-            size = self.entry_size[entries]
-            at = _ranges(self.entry_at[entries], size)
-            self.work["postings"] += len(at)
-            score = np.bincount(
-                np.repeat(line * (end - start) - start, size) + self.post_place[at], self.post_impact[at], minlength=len(which) * (end - start)
-            ).reshape(len(which), -1)
-            tight = score.max(1) + frequent[which] @ self.block_max[b] >= least[which]
-            which, score = which[tight], score[tight]
+            score = rare_scores(start, end)[:, which]
+            tight = score.max(0) + often_block[which, b] >= least[which]
+            which, score = which[tight], score[:, tight]
             self.work["scored"] += len(which)
-            score = score + frequent[which] @ self.dense[start:end].T
-            hit = score >= least[which][:, None]
-            some = hit.any(1)
+            score += self.dense[start:end] @ frequent[which].T
+            hit = score >= least[which]
+            some = hit.any(0)
             if some.any():
-                which, score, hit = which[some], score[some], hit[some]
+                which, score, hit = which[some], score[:, some].T, hit[:, some].T
                 i, d = np.nonzero(hit)
                 found_q.append(which[i])
                 found_at.append(start + d)
@@ -326,6 +370,38 @@ class Segment:
             docs = self.docs[at[by[bounds[i] : bounds[i + 1]]]]
             yield self._best(docs, terms, k, rank) if len(docs) else []
 
+    def _rare_scores(self, terms: np.ndarray, asks: np.ndarray, asks_at: np.ndarray, asked_n: np.ndarray, n: int) -> Callable[[int, int], np.ndarray]:
+        """A function of a range of places: the sums of rare terms of each of their documents for each of n queries.
+
+        Documents are taken a few at a time, each posting once for all queries that ask for its term; a few
+        documents' sums stay in the processor's cache.
+        """
+        local = np.full(len(self.row), -1)
+        local[terms] = np.arange(len(terms))
+        mine = local[self.line_term]
+        kept = np.flatnonzero(mine >= 0)
+        mine, impact, at = mine[kept], self.line_impact[kept], np.searchsorted(kept, self.line_at)
+        size = asked_n[mine]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        shift = asks_at[mine] - ends[:-1]
+        work = ends[at]
+
+        def scores(start: int, end: int) -> np.ndarray:
+            out = np.empty((end - start, n))
+            self.work["postings"] += int(work[end] - work[start])
+            while start < end:
+                # documents with STEP sums together, or one
+                stop = min(max(int(np.searchsorted(work, work[start] + STEP, "right")) - 1, start + 1), end)
+                some = slice(at[start], at[stop])
+                q = asks[np.arange(work[start], work[stop]) + np.repeat(shift[some], size[some])]
+                q += np.repeat(np.arange(stop - start) * n, np.diff(work[start : stop + 1]))
+                out[len(out) - (end - start) : len(out) - (end - stop)] = np.bincount(
+                    q, np.repeat(impact[some], size[some]), minlength=(stop - start) * n).reshape(-1, n)
+                start = stop
+            return out
+
+        return scores
+
     def _pivots(
         self, block: int, frequent: np.ndarray, least: np.ndarray, queries: np.ndarray,
         first_of: np.ndarray, of: np.ndarray, most: np.ndarray, cursors: Cursors,
@@ -448,34 +524,22 @@ def search(
     pick = lambda t: t.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     docs, asked = pick(df), pick(queries)
     kind = docs.schema["key"].dataType.simpleString()
-    stats = (
-        docs.select("text").mapInArrow(_lengths, "n long, words long")
-        .agg(F.sum("n").alias("n"), F.sum("words").alias("words")).first()
-    )
-    n = stats["n"] or 0
-    mean = (stats["words"] or 0) / max(1, n)
     rows = C.cut(asked.mapInArrow(_query_rows, f"key {kind}, terms binary"))
+    counts = Counts(docs, rows)
     schema = f"q int, found {kind}, score double"
     order = Window.partitionBy("q").orderBy(F.desc("score"), F.col("found").asc_nulls_last())
     parts = []
     for keys, terms in _blocks(rows):
         block = Queries(terms)
-        df_count = np.zeros(len(block.terms))
-        counted = (
-            docs.select("text").mapInArrow(partial(_frequencies, terms=block.terms), "at long, n long")
-            .groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-        )
-        df_count[counted.column("at").to_numpy()] = counted.column("n").to_numpy()
-        idf = np.log(1 + (n - df_count + 0.5) / (df_count + 0.5))
-        run = partial(_search, queries=block, idf=idf, mean=mean, k=k)
+        run = partial(_search, queries=block, idf=counts.idf(block.terms), mean=counts.mean, k=k)
         best = lambda d, floors: d.mapInArrow(partial(run, floors=floors), schema).withColumn(
             "rank", F.row_number().over(order)
         )
         floors = np.zeros(len(keys))
-        for share in _shares(n):
+        for share in _shares(counts.n):
             sample = docs.where(C.unit_hash(F.col("key"), F.col("text"), F.lit("search")) < share)
             # a sample of few rows is one shard
-            ranked = best(sample.coalesce(max(1, int(n * share / SAMPLE_LEAST))), floors)
+            ranked = best(sample.coalesce(max(1, int(counts.n * share / SAMPLE_LEAST))), floors)
             for r in ranked.where(F.col("rank") == k).select("q", "score").toLocalIterator():
                 floors[r["q"]] = max(floors[r["q"]], r["score"])
         named = spark.createDataFrame([(i, x) for i, x in enumerate(keys)], f"q int, query {kind}")
