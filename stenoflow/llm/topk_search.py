@@ -64,7 +64,7 @@ SLACK = 1e-4
 SEGMENT_BYTES = 32 << 20
 TOGETHER = 4096
 #: Sums of rare terms that are made at once, about.
-STEP = 1 << 16
+STEP = 1 << 15
 #: Terms in more than this share of a segment's documents are frequent, as long as their table
 #: has room; this bounds memory and changes no result.
 FREQUENT, DENSE_CELLS = 1 / 16, 12_000_000
@@ -386,18 +386,24 @@ class Segment:
         shift = asks_at[mine] - ends[:-1]
         work = ends[at]
 
+        ramp = np.arange(2 * STEP)
+
         def scores(start: int, end: int) -> np.ndarray:
             out = np.empty((end - start, n))
             self.work["postings"] += int(work[end] - work[start])
-            while start < end:
+            done = start
+            while done < end:
                 # documents with STEP sums together, or one
-                stop = min(max(int(np.searchsorted(work, work[start] + STEP, "right")) - 1, start + 1), end)
-                some = slice(at[start], at[stop])
-                q = asks[np.arange(work[start], work[stop]) + np.repeat(shift[some], size[some])]
-                q += np.repeat(np.arange(stop - start) * n, np.diff(work[start : stop + 1]))
-                out[len(out) - (end - start) : len(out) - (end - stop)] = np.bincount(
-                    q, np.repeat(impact[some], size[some]), minlength=(stop - start) * n).reshape(-1, n)
-                start = stop
+                stop = min(max(int(np.searchsorted(work, work[done] + STEP, "right")) - 1, done + 1), end)
+                some, count = slice(at[done], at[stop]), int(work[stop] - work[done])
+                q = np.repeat(shift[some] + work[done], size[some])
+                q += ramp[:count] if count <= len(ramp) else np.arange(count)
+                q = asks.take(q, mode="clip")
+                for d in range(done + 1, stop):
+                    q[work[d] - work[done] : work[d + 1] - work[done]] += (d - done) * n
+                sums = np.bincount(q, np.repeat(impact[some], size[some]), minlength=(stop - done) * n)
+                out[done - start : stop - start] = sums.reshape(-1, n)
+                done = stop
             return out
 
         return scores

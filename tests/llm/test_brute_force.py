@@ -522,3 +522,29 @@ def test_cursors_move_to_the_first_entry_behind():
         cursors.to(to)
         for t in range(4):
             assert cursors.block(np.array([t]))[0] == min((b for b in lists[t] if b >= to), default=segment.n_blocks)
+
+
+def test_terms_are_found_by_their_first_bits():
+    r = np.random.default_rng(5)
+    # some terms share their first bits, the first and the last ones among them
+    terms = np.unique(np.concatenate([r.integers(0, 1 << 64, 500, dtype=np.uint64), np.arange(9, dtype=np.uint64), np.uint64((1 << 64) - 1) - np.arange(9, dtype=np.uint64)]))
+    words = np.concatenate([r.choice(terms, 2_000), r.integers(0, 1 << 64, 500, dtype=np.uint64), terms + np.uint64(1)])
+    at, place = topk_search.Places(terms)(words)
+    inside = np.isin(words, terms)
+    assert at.tolist() == np.flatnonzero(inside).tolist() and (terms[place] == words[inside]).all()
+    assert [len(x) for x in topk_search.Places(terms[:0])(words)] == [0, 0]
+
+
+def test_search_counts_terms_once_for_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "QUERY_POSTINGS", 12)
+    rows = [(i, " ".join(f"w{(i * k) % 41}" for k in range(1, 9))) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    queries = df.where("doc_id % 20 = 0")
+    passes, count = [], topk_search.Counts._add
+    monkeypatch.setattr(topk_search.Counts, "_add", lambda self, docs, terms: passes.append(len(terms)) or count(self, docs, terms))
+    got = sorted(map(tuple, topk_search.search(df, queries).collect()))
+    assert len(passes) == 1
+    monkeypatch.setattr(topk_search, "COUNTED_TERMS", 5)
+    assert sorted(map(tuple, topk_search.search(df, queries).collect())) == got and len(passes) > 3
+    monkeypatch.setattr(topk_search, "QUERY_POSTINGS", 1_000_000)
+    assert sorted(map(tuple, topk_search.search(df, queries).collect())) == got
