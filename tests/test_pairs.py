@@ -20,6 +20,19 @@ def test_pairs_of_a_hot_key_are_dealt_to_tasks(spark, monkeypatch):
     assert M.all_pairs(got.select("k", "t").limit(0), got.select("k", "v"), "k", "t", "v").count() == 0
 
 
+def test_what_a_rule_leaves_is_found_once(spark):
+    day = lambda i: f"1997-01-{i:02d}"
+    t = spark.createDataFrame([("a", day(1)), ("b", day(2)), ("c", day(3)), ("d", day(5)), ("e", day(9)), ("f", None)], "transcript_id string, d string")
+    v = spark.createDataFrame([("v", day(2)), ("w", day(3)), ("x", day(3)), ("y", day(6))], "video_id string, d string")
+    t, v = (x.withColumn("date", F.to_date("d")) for x in (t, v))
+    explicit = spark.createDataFrame([("a", "w"), ("a", "w"), ("b", "none")], "transcript_id string, video_id string")
+    got = M.cascade(t, v, explicit, cutoff="1997-01-01")
+    want = [("a", "w", "explicit"), ("b", "v", "unique_date"), ("c", "w", "multi_date"), ("c", "x", "multi_date"), ("d", "y", "next_day")]
+    assert sorted(map(tuple, got.collect())) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "LeftSemi" not in plan
+
+
 def test_only_texts_near_a_segment_are_read_for_pairs(spark):
     segs = spark.createDataFrame([(1, "a b c d e f".split()), (2, ["x"])], "seg int, stoks array<string>").withColumn("asr", F.array_join("stoks", " "))
     texts = [(k, f"z{k} y w v u t".split()) for k in range(50)] + [(60, "q a b c d r".split()), (61, "f e d c b a".split()), (62, None), (63, ["a"])]
